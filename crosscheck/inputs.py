@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import exact_decimal, iso_date, iso_text, whole_number
 from tidemark.operators.scale import lookup_side
 from tidemark.schemas import PRICE_TYPE, RATE_DOCUMENT, RATE_TYPE
+from tidemark.sources.bronze import parse_documents
 
 # Last stored date of each currency. The fifth, 5-LOW, is not stored at all.
 STORED_UNTIL = {
@@ -69,7 +70,7 @@ def rate_documents(orders: DataFrame) -> DataFrame:
 
 
 def parsed_rates(documents: DataFrame) -> DataFrame:
-    return documents.select(F.from_json("document", RATE_DOCUMENT).alias("d")).select("d.*")
+    return parse_documents(documents, "document", RATE_DOCUMENT)
 
 
 def gold_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
