@@ -230,17 +230,20 @@ def watermark_min(spark, sf_dir):
 @query
 def append_new_table(spark, sf_dir):
     mark = incremental.watermark(stored_rates(spark, sf_dir), "exchange_date")
-    return incremental.newer_than_table(rates(spark, sf_dir), mark, "exchange_date")
+    orders = table(spark, sf_dir, "orders")
+    return rates_of(incremental.newer_than_table(orders, mark, "o_orderdate"))
 
 
 @query
 def append_new_per_key(spark, sf_dir):
     marks = incremental.watermark_per_key(
         stored_rates(spark, sf_dir), "currency_code", "exchange_date"
+    ).withColumnRenamed("currency_code", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders")
+    newer = incremental.newer_than_per_key(
+        orders, marks, "o_orderpriority", "o_orderdate", default=date(1995, 6, 1)
     )
-    return incremental.newer_than_per_key(
-        rates(spark, sf_dir), marks, "currency_code", "exchange_date", default=date(1995, 6, 1)
-    )
+    return rates_of(newer)
 
 
 @query

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import or_default
+from tidemark.functions import days_after, or_default
 from tidemark.operators.dedup import one_per_key
 from tidemark.operators.scale import settled_lookup
 from tidemark.operators.silver import union_by_name
@@ -41,9 +41,20 @@ def least_watermark(watermarks: Mapping[str, DataFrame]) -> DataFrame:
     return union_by_name(*watermarks.values()).agg(F.min("watermark").alias("watermark"))
 
 
+def _after(batch: DataFrame, mark: DataFrame, date_column: str) -> DataFrame:
+    """Rows dated after the day of the one-row ``mark``.
+
+    The mark is a scalar subquery that yields the next day in the type of the column,
+    so the comparison reaches the scan once the subquery has run.
+    """
+    kind = batch.schema[date_column].dataType
+    next_day = mark.select(days_after(F.col("watermark"), 1).cast(kind))
+    return batch.filter(F.col(date_column) >= next_day.scalar())
+
+
 def newer_than_table(batch: DataFrame, mark: DataFrame, date_column: str) -> DataFrame:
-    """Rows dated after the one-row ``mark``, which runs as a scalar subquery."""
-    return batch.filter(F.col(date_column) > mark.select("watermark").scalar())
+    """Rows dated after the one-row ``mark``; the column may hold dates or timestamps."""
+    return _after(batch, mark, date_column)
 
 
 def newer_than_per_key(
@@ -51,13 +62,14 @@ def newer_than_per_key(
 ) -> DataFrame:
     """Rows dated after the watermark of their own key, or after the default for a key
     without one."""
-    marks = settled_lookup(marks.select(key, "watermark"))
-    # No row at or before the least mark can pass; as a subquery it reaches the scan.
-    floor = marks.agg(F.least(F.min("watermark"), F.lit(default)).alias("floor"))
+    marks = settled_lookup(marks.select(key, F.col("watermark").alias("_mark")))
+    # No row up to the least mark can pass, and that much is known to the scan.
+    least = marks.agg(F.least(F.min("_mark"), F.lit(default)).alias("watermark"))
+    mark = or_default(F.col("_mark"), default)
     return (
-        batch.filter(F.col(date_column) > floor.scalar())
+        _after(batch, least, date_column)
         .join(marks, key, "left")
-        .filter(F.col(date_column) > or_default(F.col("watermark"), default))
+        .filter(F.col(date_column) >= days_after(mark, 1))
         .select(*batch.columns)
     )
 
