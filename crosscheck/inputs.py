@@ -73,6 +73,20 @@ def parsed_rates(documents: DataFrame) -> DataFrame:
     return parse_documents(documents, "document", RATE_DOCUMENT)
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON text per line item, with its bid and ask."""
+    ask = F.col("l_extendedprice")
+    entry = F.struct(
+        iso_text(F.col("l_shipdate")).alias("effectiveDate"),
+        (ask * (1 - F.col("l_discount"))).alias("bid"),
+        ask.alias("ask"),
+    )
+    document = F.struct(
+        F.col("l_suppkey").cast("string").alias("code"), F.array(entry).alias("rates")
+    )
+    return table(spark, sf_dir, "lineitem").select(F.to_json(document).alias("document"))
+
+
 def gold_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         iso_text(F.col("o_orderdate")).alias("data"), F.col("o_totalprice").alias("cena")
@@ -111,7 +125,7 @@ def text_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = api_bars(spark, sf_dir)
     return bars.select(
         F.when(F.col("low") != 0.08, F.col("symbol")).alias("symbol"),
-        F.when(header, "Date").otherwise(F.date_format("date", "yyyy-MM-dd")).alias("date"),
+        F.when(header, "Date").otherwise(iso_text(F.col("date"))).alias("date"),
         F.col("open").cast("string").alias("open"),
         F.col("high").cast("string").alias("high"),
         F.col("low").cast("string").alias("low"),

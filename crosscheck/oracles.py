@@ -56,6 +56,19 @@ _LATEST = """
     SELECT 'events', CAST(max(ts) AS DATE) FROM events
 """
 
+def _one_per_key(source: str, keys: str, order: str, columns: str) -> str:
+    return f"""
+        SELECT {columns}
+        FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS place
+              FROM ({source}) AS s) AS ranked
+        WHERE place = 1
+    """
+
+
+_RATE_COLUMNS = "currency_code, exchange_date, rate_value"
+_RATE_KEY = "currency_code, exchange_date"
+
+
 ORACLES: dict[str, str] = {
     "rates_flatten": _TWO_DAYS,
     "rates_float": """
@@ -289,4 +302,46 @@ ORACLES: dict[str, str] = {
                CASE WHEN count(*) > 0 THEN 'LOADED' ELSE 'EMPTY' END
         FROM events
     """,
+    "landed_rates_rebuild": f"SELECT DISTINCT * FROM ({_TWO_DAYS}) AS r",
+    "landed_spreads_append": _one_per_key(
+        """
+        SELECT *, CAST(ask_price - bid_price AS DECIMAL(11, 4)) AS spread_value
+        FROM (SELECT CAST(l_suppkey AS VARCHAR) AS currency_code,
+                     CAST(l_shipdate AS DATE) AS exchange_date,
+                     CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(10, 4)) AS bid_price,
+                     CAST(l_extendedprice AS DECIMAL(10, 4)) AS ask_price
+              FROM lineitem) AS quotes
+        """,
+        _RATE_KEY,
+        "ask_price DESC, bid_price DESC",
+        "currency_code, exchange_date, bid_price, ask_price, spread_value",
+    ),
+    "landed_gold_append_twice": """
+        SELECT 'XAU' AS currency_code, CAST(o_orderdate AS DATE) AS exchange_date,
+               max(CAST(o_totalprice AS DECIMAL(10, 2))) AS rate_value
+        FROM orders GROUP BY 2
+    """,
+    "landed_bars_rebuild": f"""
+        SELECT {_ohlc("DECIMAL(12, 2)")} FROM lineitem
+        WHERE l_discount <> 0.1 AND l_tax <> 0.08 AND l_quantity <> 1 AND l_extendedprice > 0
+    """,
+    "landed_bars_mixed_headers": f"""
+        SELECT {_ohlc("DECIMAL(12, 2)")} FROM lineitem
+        WHERE l_discount <> 0.1 AND l_tax <> 0.08 AND l_quantity <> 1 AND l_extendedprice > 0
+    """,
+    "landed_rates_per_key": f"""
+        WITH stored AS ({_one_per_key(_STORED, _RATE_KEY, "rate_value DESC", _RATE_COLUMNS)}),
+        batch AS (
+            SELECT d.* FROM ({_TWO_DAYS}) AS d
+            LEFT JOIN (SELECT currency_code, max(exchange_date) AS watermark
+                       FROM stored GROUP BY currency_code) AS m
+                ON m.currency_code = d.currency_code
+            WHERE d.exchange_date > coalesce(m.watermark, DATE '2020-01-01'))
+        SELECT {_RATE_COLUMNS} FROM stored
+        UNION ALL
+        {_one_per_key("SELECT * FROM batch", _RATE_KEY, "rate_value DESC", _RATE_COLUMNS)}
+    """,
+    "landed_rates_stream": _one_per_key(
+        _TWO_DAYS, _RATE_KEY, "rate_value DESC", _RATE_COLUMNS
+    ),
 }

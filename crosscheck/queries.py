@@ -19,6 +19,7 @@ from crosscheck.inputs import (
     rate_documents,
     rates,
     rates_of,
+    spread_documents,
     stored_rates,
     table,
     text_bars,
@@ -26,8 +27,14 @@ from crosscheck.inputs import (
 from tidemark.functions import iso_date, iso_text, safe_symbol
 from tidemark.operators import checks, dedup, incremental, planning, silver
 from tidemark.operators.scale import lookup_side
-from tidemark.schemas import FINE_PRICE_TYPE, PRICE_TYPE
+from tidemark.plans import bars as bar_plans
+from tidemark.plans import rates as rate_plans
+from tidemark.schemas import API_BARS, BARS, FINE_PRICE_TYPE, GOLD, PRICE_TYPE, RATES, SPREADS
+from tidemark.session import scratch_path
+from tidemark.sources.bronze import read_rates
+from tidemark.sources.stores import ParquetStore, append_new
 from tidemark.sources.universe import flatten_groups
+from tidemark.streaming import rate_stream, run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -386,3 +393,97 @@ def load_audit(spark, sf_dir):
         "events": (table(spark, sf_dir, "events"), "ts"),
     }
     return checks.load_audit(datasets)
+
+
+# Whole loads: the tables are landed as files below the checkpoint folder, loaded into
+# Parquet facts there, and the facts are the result.
+
+
+def _store(spark) -> ParquetStore:
+    return ParquetStore(spark, scratch_path(spark, "facts"))
+
+
+def _landed_text(documents: DataFrame, name: str) -> str:
+    path = scratch_path(documents.sparkSession, name)
+    documents.write.text(path)
+    return path
+
+
+@query
+def landed_rates_rebuild(spark, sf_dir):
+    """Two folders of documents that both cover 2000."""
+    orders = table(spark, sf_dir, "orders")
+    older = orders.filter(F.col("o_orderdate") < F.lit(date(2001, 1, 1)))
+    newer = orders.filter(F.col("o_orderdate") >= F.lit(date(2000, 1, 1)))
+    folders = [_landed_text(rate_documents(part), "rates") for part in (older, newer)]
+    store = _store(spark)
+    rate_plans.rebuild_rates(store, folders, multiline=False)
+    return store.read(RATES)
+
+
+@query
+def landed_spreads_append(spark, sf_dir):
+    folder = _landed_text(spread_documents(spark, sf_dir), "spreads")
+    store = _store(spark)
+    rate_plans.backfill_spreads(store, folder, multiline=False)
+    return store.read(SPREADS)
+
+
+@query
+def landed_gold_append_twice(spark, sf_dir):
+    quotes = gold_quotes(spark, sf_dir).select(F.to_json(F.struct("data", "cena")))
+    folder = _landed_text(quotes, "gold")
+    store = _store(spark)
+    for _ in range(2):
+        rate_plans.backfill_gold(store, folder, multiline=False)
+    return store.read(GOLD)
+
+
+@query
+def landed_bars_rebuild(spark, sf_dir):
+    folder = scratch_path(spark, "bars")
+    text_bars(spark, sf_dir).write.option("header", True).csv(folder)
+    store = _store(spark)
+    bar_plans.rebuild_bars(store, folder, API_BARS)
+    return store.read(BARS)
+
+
+@query
+def landed_bars_mixed_headers(spark, sf_dir):
+    """Bars of heavy and of light lines lie in files with different column orders."""
+    rows = text_bars(spark, sf_dir).withColumn("adj_close", F.lit("-1"))
+    heavy = F.col("volume").cast("double") > 25
+    orders = {
+        "heavy": (heavy, ["date", "adj_close", "close", "high", "low", "open", "volume", "symbol"]),
+        "light": (~heavy, ["symbol", "volume", "open", "high", "low", "close", "date"]),
+    }
+    folders = []
+    for name, (chosen, columns) in orders.items():
+        folders.append(scratch_path(spark, name))
+        rows.filter(chosen).select(*columns).write.option("header", True).csv(folders[-1])
+    store = _store(spark)
+    bar_plans.rebuild_bars(store, folders, layout=None)
+    return store.read(BARS)
+
+
+@query
+def landed_rates_per_key(spark, sf_dir):
+    """Stored rates, then a load of all documents past the watermark of each currency."""
+    store = _store(spark)
+    append_new(store, stored_rates(spark, sf_dir), RATES)
+    folder = _landed_text(rate_documents(table(spark, sf_dir, "orders")), "rates")
+    documents = read_rates(spark, folder, multiline=False)
+    newer = rate_plans.newer_rows(store, silver.flatten_rates(documents), RATES, "key")
+    append_new(store, newer, RATES)
+    return store.read(RATES)
+
+
+@query
+def landed_rates_stream(spark, sf_dir):
+    """The documents as a file stream, run twice."""
+    folder = _landed_text(rate_documents(table(spark, sf_dir, "orders")), "rates")
+    store = _store(spark)
+    progress = scratch_path(spark, "progress")
+    for _ in range(2):
+        run_available(rate_stream(spark, folder, multiline=False), store, RATES, progress)
+    return store.read(RATES)

@@ -1,5 +1,6 @@
 """Whole loads against Parquet stores: rebuild, incremental, idempotence, isolation."""
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -109,6 +110,20 @@ def test_read_with_dates_prunes_year_partitions(spark, store):
     assert "GreaterThanOrEqual(exchange_date" in plan
 
 
+def test_table_watermark_reads_dates_of_the_newest_year_only(spark, store):
+    rows = [("USD", f"{y}-06-01", "1") for y in range(2019, 2025)]
+    append_new(store, rate_rows(spark, *rows), RATES)
+    mark = store.watermark(RATES)
+    assert mark.first()[0] == day("2024-06-01")
+    scans = re.findall(
+        r"PartitionFilters: \[(.*?)\], PushedFilters: .*?ReadSchema: struct<(.*?)>",
+        mark._jdf.queryExecution().executedPlan().toString(),
+    )
+    for filters, columns in scans:
+        assert ("Subquery" in filters) is (columns == "exchange_date:date")
+    assert {columns for _, columns in scans} == {"exchange_date:date", ""}
+
+
 def test_h10_a_load_scans_its_batch_once(spark, store):
     seen = spark.sparkContext.accumulator(0)
     batch = rate_rows(spark, *(("USD", f"2025-01-{n:02d}", "1") for n in range(1, 11)))

@@ -216,7 +216,13 @@ def test_chunks_are_consecutive_and_full(spark, n):
 
 def test_ordinal_over_many_partitions(spark):
     df = spark.range(0, 20_000).select((F.col("id") * 7919 % 20_000).alias("n"))
-    placed = scale.with_ordinal(df, ["n"], "place")
+    # Without this the eight small partitions of the sort would be merged into one.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = scale.with_ordinal(df, ["n"], "place")
+        assert placed.rdd.getNumPartitions() == 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert placed.columns == ["n", "place"]
     assert placed.filter("n <> place").isEmpty() and placed.count() == 20_000
 

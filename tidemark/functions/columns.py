@@ -21,7 +21,8 @@ def iso_date(value: Column) -> Column:
 
 
 def iso_text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    """ISO text of a date or timestamp, as the cast writes it: no formatter runs."""
+    return day.cast("date").cast("string")
 
 
 def exact_decimal(value: Column, kind: T.DecimalType) -> Column:
@@ -30,13 +31,16 @@ def exact_decimal(value: Column, kind: T.DecimalType) -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """bigint of a number or its text. ``"1200.0"`` is 1200 and NaN is NULL, neither
-    of which a direct ANSI cast to bigint would give."""
-    return value.try_cast("decimal(38,6)").try_cast("bigint")
+    """bigint of a number or its text, fractions cut off. Text such as ``"1200.0"``
+    fails the plain cast and goes through a decimal; NaN is NULL."""
+    plain = value.try_cast("bigint")
+    return F.coalesce(plain, value.try_cast("decimal(38,6)").try_cast("bigint"))
 
 
 def spread(bid: Column, ask: Column) -> Column:
-    return F.round(ask - bid, 4).cast(SPREAD_TYPE)
+    """Ask less bid. The difference of two prices of scale 4 is exact at that scale, so
+    rounding it would change nothing."""
+    return (ask - bid).cast(SPREAD_TYPE)
 
 
 def days_after(day: Column, days: int) -> Column:

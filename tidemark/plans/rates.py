@@ -39,18 +39,20 @@ class RatesLanding:
         return None if self.batch is None else f"{prefix}{self.batch}.json"
 
 
-def rebuild_rates(store: FactStore, paths: Paths) -> LoadResult:
+def rebuild_rates(store: FactStore, paths: Paths, multiline: bool = True) -> LoadResult:
     """The whole history from all landed documents, replacing the table."""
-    history = flatten_rates(read_rates(store.spark, paths))
+    history = flatten_rates(read_rates(store.spark, paths, multiline=multiline))
     return store.overwrite(distinct_rows(history), RATES)
 
 
-def backfill_gold(store: FactStore, paths: Paths) -> LoadResult:
-    return append_new(store, normalise_gold(read_gold(store.spark, paths)), GOLD)
+def backfill_gold(store: FactStore, paths: Paths, multiline: bool = True) -> LoadResult:
+    quotes = read_gold(store.spark, paths, multiline=multiline)
+    return append_new(store, normalise_gold(quotes), GOLD)
 
 
-def backfill_spreads(store: FactStore, paths: Paths) -> LoadResult:
-    return append_new(store, flatten_spreads(read_spreads(store.spark, paths)), SPREADS)
+def backfill_spreads(store: FactStore, paths: Paths, multiline: bool = True) -> LoadResult:
+    documents = read_spreads(store.spark, paths, multiline=multiline)
+    return append_new(store, flatten_spreads(documents), SPREADS)
 
 
 def newer_rows(store: FactStore, batch: DataFrame, fact: FactTable, scope: str) -> DataFrame:

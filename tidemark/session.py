@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, for tables a job writes on its way."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the checkpoint folder, so that later reads of it
     neither recompute it nor depend on the executor that held it."""

@@ -106,19 +106,22 @@ class ParquetStore:
     def path(self, fact: FactTable) -> str:
         return f"{self.root.rstrip('/')}/{fact.name}"
 
-    def read(
-        self, fact: FactTable, since: date | None = None, until: date | None = None
-    ) -> DataFrame:
-        """The table, empty if it was never written. A date range also prunes the year
-        partitions."""
+    def _partitioned(self, fact: FactTable) -> DataFrame:
         year = T.StructField(fact.partition_column, T.IntegerType())
         schema = T.StructType([*fact.schema.fields, year])
         try:
-            rows = self.spark.read.schema(schema).parquet(self.path(fact))
+            return self.spark.read.schema(schema).parquet(self.path(fact))
         except AnalysisException as error:
             if not path_missing(error):
                 raise
-            rows = self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], schema)
+
+    def read(
+        self, fact: FactTable, since: date | None = None, until: date | None = None
+    ) -> DataFrame:
+        """The table, empty if it was never written. A date range also prunes the year
+        partitions."""
+        rows = self._partitioned(fact)
         if since is not None:
             rows = rows.filter(F.col(fact.partition_column) >= since.year)
         if until is not None:
@@ -127,7 +130,13 @@ class ParquetStore:
         return rows.select(*fact.schema.fieldNames())
 
     def watermark(self, fact: FactTable, default: date = RATES_START) -> DataFrame:
-        return watermark(self.read(fact), fact.date_column, default)
+        """The newest date lies in the newest year: of the other partitions only their
+        names are looked at, not their columns."""
+        rows = self._partitioned(fact)
+        newest = rows.agg(F.max(fact.partition_column)).scalar()
+        return watermark(
+            rows.filter(F.col(fact.partition_column) == newest), fact.date_column, default
+        )
 
     def watermark_per_key(self, fact: FactTable) -> DataFrame:
         return watermark_per_key(self.read(fact), fact.series, fact.date_column)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.operators.silver import clean_bars, flatten_rates, flatten_spreads, normalise_gold
 from tidemark.schemas import (
@@ -29,21 +30,29 @@ Transform = Callable[[DataFrame], DataFrame]
 FILES_PER_BATCH = 10_000
 
 
-def _json_stream(spark: SparkSession, path: str, schema, only: str | None) -> DataFrame:
+def _json_stream(
+    spark: SparkSession, path: str, schema: T.StructType, only: str | None, multiline: bool
+) -> DataFrame:
     reader = spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH)
-    return json_options(reader, schema, only, multiline=True).json(path)
+    return json_options(reader, schema, only, multiline).json(path)
 
 
-def rate_stream(spark: SparkSession, path: str, only: str | None = None) -> DataFrame:
-    return flatten_rates(_json_stream(spark, path, RATE_DOCUMENT, only))
+def rate_stream(
+    spark: SparkSession, path: str, only: str | None = None, multiline: bool = True
+) -> DataFrame:
+    return flatten_rates(_json_stream(spark, path, RATE_DOCUMENT, only, multiline))
 
 
-def spread_stream(spark: SparkSession, path: str, only: str | None = None) -> DataFrame:
-    return flatten_spreads(_json_stream(spark, path, SPREAD_DOCUMENT, only))
+def spread_stream(
+    spark: SparkSession, path: str, only: str | None = None, multiline: bool = True
+) -> DataFrame:
+    return flatten_spreads(_json_stream(spark, path, SPREAD_DOCUMENT, only, multiline))
 
 
-def gold_stream(spark: SparkSession, path: str, only: str | None = None) -> DataFrame:
-    return normalise_gold(_json_stream(spark, path, GOLD_DOCUMENT, only))
+def gold_stream(
+    spark: SparkSession, path: str, only: str | None = None, multiline: bool = True
+) -> DataFrame:
+    return normalise_gold(_json_stream(spark, path, GOLD_DOCUMENT, only, multiline))
 
 
 def bar_stream(spark: SparkSession, path: str, layout: BarLayout = HISTORY_BARS) -> DataFrame:
