@@ -141,7 +141,7 @@ def bars_of(lineitem: DataFrame, volume: str = "l_quantity") -> DataFrame:
         F.col("l_suppkey").cast("string").alias("ticker"),
         iso_date(F.col("l_shipdate")).alias("trade_date"),
         exact_decimal(F.col("l_extendedprice"), PRICE_TYPE).alias("close_price"),
-        whole_number(F.col(volume)).alias("volume"),
+        whole_number(F.col(volume), lineitem.schema[volume].dataType).alias("volume"),
     )
 
 

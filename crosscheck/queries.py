@@ -26,7 +26,6 @@ from crosscheck.inputs import (
 )
 from tidemark.functions import iso_date, iso_text, safe_symbol
 from tidemark.operators import checks, dedup, incremental, planning, silver
-from tidemark.operators.scale import lookup_side
 from tidemark.plans import bars as bar_plans
 from tidemark.plans import rates as rate_plans
 from tidemark.schemas import API_BARS, BARS, FINE_PRICE_TYPE, GOLD, PRICE_TYPE, RATES, SPREADS
@@ -96,7 +95,7 @@ def bars_with_group(spark, sf_dir):
     groups = grouped_suppliers(spark, sf_dir).select(
         F.col("s_suppkey").cast("string").alias("ticker"), "group_name"
     )
-    return silver.with_group(bars(spark, sf_dir), lookup_side(groups))
+    return silver.with_group(bars(spark, sf_dir), groups)
 
 
 @query

@@ -57,12 +57,24 @@ def test_h13_increment_with_null_zero_or_nan_close_is_dropped(spark):
 
 
 @pytest.mark.parametrize(
-    "value, expected",
-    [("1200", 1200), ("1200.0", 1200), ("1200.9", 1200), ("x", None), ("", None), (None, None)],
+    "kind, value, expected",
+    [
+        ("string", "1200", 1200),
+        ("string", "1200.0", 1200),
+        ("string", "1200.9", 1200),
+        ("string", "9007199254740993", 9007199254740993),
+        ("string", "x", None),
+        ("string", "", None),
+        ("string", None, None),
+        ("double", 1200.9, 1200),
+        ("double", float("nan"), None),
+        ("double", 1e300, None),
+        ("int", 7, 7),
+    ],
 )
-def test_whole_number(spark, value, expected):
-    df = spark.createDataFrame([(value,)], "v string")
-    assert df.select(whole_number(F.col("v"))).first()[0] == expected
+def test_whole_number(spark, kind, value, expected):
+    df = spark.createDataFrame([(value,)], f"v {kind}")
+    assert df.select(whole_number(F.col("v"), df.schema["v"].dataType)).first()[0] == expected
 
 
 def test_date_text_with_a_time_part(spark):
@@ -358,3 +370,26 @@ def test_lookup_side_is_broadcast_only_within_the_limit(spark):
         joined = big.join(scale.lookup_side(side, limit), "k", "left")
         logical = joined._jdf.queryExecution().analyzed().toString()
         assert ("ResolvedHint" in logical) is hinted
+
+
+@pytest.mark.parametrize("limit", [scale.BROADCAST_BYTES, 0])
+def test_lookup_join_matches_a_plain_join(spark, limit):
+    """Key 7 holds a third of the rows; some rows have no key, some match nothing."""
+    rows = spark.range(0, 9000, 1, 6).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 7)
+        .when(F.col("id") % 50 != 1, F.col("id") % 4000)
+        .cast("long")
+        .alias("k"),
+    )
+    side = spark.range(0, 3500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = scale.lookup_join(rows, side, "k", limit)
+    assert joined.columns == ["k", "id", "v"]
+    plain = rows.join(side, "k", "left").select("k", "id", "v")
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+
+
+def test_heavy_keys_stay_out_of_the_shuffled_join(spark):
+    rows = spark.range(0, 9000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert [r.k for r in scale.heavy_keys(rows, "k").collect()] == [-1]
+    assert scale.heavy_keys(rows.filter("k < -5"), "k").isEmpty()

@@ -30,11 +30,17 @@ def exact_decimal(value: Column, kind: T.DecimalType) -> Column:
     return value.try_cast(kind)
 
 
-def whole_number(value: Column) -> Column:
-    """bigint of a number or its text, fractions cut off. Text such as ``"1200.0"``
-    fails the plain cast and goes through a decimal; NaN is NULL."""
-    plain = value.try_cast("bigint")
-    return F.coalesce(plain, value.try_cast("decimal(38,6)").try_cast("bigint"))
+def whole_number(value: Column, kind: T.DataType) -> Column:
+    """bigint of a column of the given type, fractions cut off, NaN as NULL.
+
+    Text goes through a decimal, which reads ``"1200.0"``: the cast of text to bigint
+    refuses it, and by an exception for each such row.
+    """
+    if isinstance(kind, T.StringType):
+        value = value.try_cast("decimal(38,6)")
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = F.nanvl(value, F.lit(None))
+    return value.try_cast("bigint")
 
 
 def spread(bid: Column, ask: Column) -> Column:

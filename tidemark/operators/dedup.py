@@ -43,8 +43,8 @@ def last_n_per_key(
     descending).
 
     Rows are ranked twice: within a slice of the series, then among the rows that
-    survive. Spark keeps only ``n`` rows per group of a map task before each
-    shuffle, so no task sees a whole series.
+    survive, at most ``n * splits`` per series. Up to 1000 for ``n``, Spark also keeps
+    only ``n`` rows per group of a map task before each shuffle.
     """
     order = [F.col(c).desc() for c in newest_first]
     sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(splits)))

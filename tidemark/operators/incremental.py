@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import days_after, or_default
 from tidemark.operators.dedup import one_per_key
-from tidemark.operators.scale import settled_lookup
+from tidemark.operators.scale import lookup_join
 from tidemark.operators.silver import union_by_name
+from tidemark.session import settle
 
 RATES_START = date(2020, 1, 1)
 BARS_START = date(2024, 1, 1)
@@ -62,16 +63,13 @@ def newer_than_per_key(
 ) -> DataFrame:
     """Rows dated after the watermark of their own key, or after the default for a key
     without one."""
-    marks = settled_lookup(marks.select(key, F.col("watermark").alias("_mark")))
+    marks = settle(marks.select(key, F.col("watermark").alias("_mark")))
     # No row up to the least mark can pass, and that much is known to the scan.
     least = marks.agg(F.least(F.min("_mark"), F.lit(default)).alias("watermark"))
     mark = or_default(F.col("_mark"), default)
-    return (
-        _after(batch, least, date_column)
-        .join(marks, key, "left")
-        .filter(F.col(date_column) >= days_after(mark, 1))
-        .select(*batch.columns)
-    )
+    candidates = lookup_join(_after(batch, least, date_column), marks, key)
+    newer = candidates.filter(F.col(date_column) >= days_after(mark, 1))
+    return newer.select(*batch.columns)
 
 
 def unseen_rows(

@@ -1,4 +1,4 @@
-"""Join sides whose size decides how they travel, and numbering without one big task."""
+"""Lookups whose size decides how they travel, and numbering without one big task."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from tidemark.session import settle
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+# A key with more than one in this many rows is kept out of a shuffled join.
+HEAVY_SHARE = 1000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -25,17 +27,37 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def lookup_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast when measuring proves it small.
-
-    Beyond the limit it comes back unmarked. Spark then joins by a shuffle on the
-    key, and adaptive execution splits the partitions of a hot key.
-    """
+    """``df`` marked for broadcast when measuring proves it small, else as it came."""
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
-def settled_lookup(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``lookup_side`` for a derived table: computed once, measured, then joined."""
-    return lookup_side(settle(df), limit)
+def heavy_keys(rows: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
+    """Keys that hold more than one ``share``-th of the rows, so fewer than ``share``."""
+    counts = settle(rows.groupBy(key).agg(F.count("*").alias("_rows")))
+    total = counts.agg(F.sum("_rows")).scalar()
+    return counts.filter(F.col(key).isNotNull() & (F.col("_rows") * share > total)).select(key)
+
+
+def lookup_join(
+    rows: DataFrame, side: DataFrame, key: str, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Left join of ``rows`` with ``side``, which has one row per key.
+
+    A side that measures small is broadcast, and the rows stay where they are. A larger
+    one is joined by a shuffle, from which the heavy keys are kept out: the side's rows
+    for them are few by definition and are broadcast. Rows without a key match nothing
+    and stay out as well. No task then holds all rows of a heavy key, whatever the
+    session's settings for skewed joins.
+    """
+    if measured_bytes(side) <= limit:
+        return rows.join(F.broadcast(side), key, "left")
+    heavy = F.broadcast(settle(heavy_keys(rows, key)).withColumn("_heavy", F.lit(True)))
+    marked = rows.join(heavy, key, "left")
+    aside = F.col("_heavy").isNotNull() | F.col(key).isNull()
+    heavy_side = F.broadcast(side.join(heavy.select(key), key, "left_semi"))
+    in_place = marked.filter(aside).join(heavy_side, key, "left")
+    shuffled = marked.filter(~aside).join(side, key, "left")
+    return in_place.unionByName(shuffled).drop("_heavy")
 
 
 def with_ordinal(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import exact_decimal, iso_date, spread, whole_number
+from tidemark.operators.scale import lookup_join
 from tidemark.schemas import (
     API_BARS,
     GOLD_CODE,
@@ -81,7 +82,7 @@ def type_bars(
                 ("close", layout.close),
             )
         ),
-        whole_number(F.col(layout.volume)).alias("volume"),
+        whole_number(F.col(layout.volume), rows.schema[layout.volume].dataType).alias("volume"),
     )
 
 
@@ -156,9 +157,8 @@ def drop_empty(df: DataFrame, values: Sequence[str]) -> DataFrame:
 
 
 def with_group(bars: DataFrame, instruments: DataFrame) -> DataFrame:
-    """Bars with the group of their ticker; pass ``instruments`` through
-    ``lookup_side`` so that its size decides the join."""
-    return bars.join(instruments, "ticker", "left")
+    """Bars with the group of their ticker."""
+    return lookup_join(bars, instruments, "ticker")
 
 
 def union_by_name(*parts: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.scale import settled_lookup
+from tidemark.operators.scale import lookup_join
 from tidemark.schemas import (
     API_BARS,
     GOLD_DOCUMENT,
@@ -23,6 +23,7 @@ from tidemark.schemas import (
     TABLE_SNAPSHOT,
     BarLayout,
 )
+from tidemark.session import settle
 
 Paths = str | Sequence[str]
 
@@ -101,14 +102,17 @@ def read_mixed_bars(spark: SparkSession, paths: Paths) -> DataFrame:
     lines = spark.read.text(_paths(paths)).select(
         F.col("_metadata.file_path").alias("file"), "value"
     )
-    names_close = F.lower("value").rlike("(^|,)close(,|$)")
-    headers = settled_lookup(
+    # The plain search spares most lines the pattern.
+    lower = F.lower("value")
+    names_close = lower.contains("close") & lower.rlike("(^|,)close(,|$)")
+    headers = settle(
         lines.filter(names_close).groupBy("file").agg(F.min("value").alias("header"))
     )
     shapes = headers.select("header").distinct().limit(MAX_HEADER_SHAPES + 1).collect()
     if len(shapes) > MAX_HEADER_SHAPES:
         raise ValueError(f"more than {MAX_HEADER_SHAPES} different headers in {paths}")
-    rows = lines.join(headers, "file").filter(F.col("value") != F.col("header"))
+    # Lines of a file without a header compare with NULL and go.
+    rows = lookup_join(lines, headers, "file").filter(F.col("value") != F.col("header"))
     bar: Column = F.lit(None)
     for (header,) in shapes:
         bar = F.when(F.col("header") == header, _bar_of(header)).otherwise(bar)

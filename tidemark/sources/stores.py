@@ -47,6 +47,8 @@ def audit_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
 class FactStore(Protocol):
     spark: SparkSession
 
+    def exists(self, fact: FactTable) -> bool: ...
+
     def read(
         self, fact: FactTable, since: date | None = None, until: date | None = None
     ) -> DataFrame: ...
@@ -106,7 +108,7 @@ class ParquetStore:
     def path(self, fact: FactTable) -> str:
         return f"{self.root.rstrip('/')}/{fact.name}"
 
-    def _partitioned(self, fact: FactTable) -> DataFrame:
+    def _stored(self, fact: FactTable) -> DataFrame | None:
         year = T.StructField(fact.partition_column, T.IntegerType())
         schema = T.StructType([*fact.schema.fields, year])
         try:
@@ -114,7 +116,17 @@ class ParquetStore:
         except AnalysisException as error:
             if not path_missing(error):
                 raise
-            return self.spark.createDataFrame([], schema)
+            return None
+
+    def _partitioned(self, fact: FactTable) -> DataFrame:
+        stored = self._stored(fact)
+        if stored is not None:
+            return stored
+        empty = self.spark.createDataFrame([], fact.schema)
+        return empty.withColumn(fact.partition_column, F.year(fact.date_column))
+
+    def exists(self, fact: FactTable) -> bool:
+        return self._stored(fact) is not None
 
     def read(
         self, fact: FactTable, since: date | None = None, until: date | None = None
@@ -236,13 +248,20 @@ class JdbcStore:
             options["createTableColumnTypes"] = self.column_types[fact.name]
         return options
 
-    def _load(self, options: Mapping[str, str], missing: str) -> DataFrame:
+    def _stored(self, options: Mapping[str, str]) -> DataFrame | None:
         try:
             return self.spark.read.format("jdbc").options(**options).load()
         except Py4JJavaError as error:
             if not _table_missing(error):
                 raise
-            return self.spark.createDataFrame([], missing)
+            return None
+
+    def _load(self, options: Mapping[str, str], missing: T.StructType | str) -> DataFrame:
+        stored = self._stored(options)
+        return self.spark.createDataFrame([], missing) if stored is None else stored
+
+    def exists(self, fact: FactTable) -> bool:
+        return self._stored(self.read_options(fact)) is not None
 
     def read(
         self, fact: FactTable, since: date | None = None, until: date | None = None
@@ -286,11 +305,15 @@ def append_new(store: FactStore, batch: DataFrame, fact: FactTable) -> LoadResul
     """Append the rows whose key the table lacks; a second run adds nothing.
 
     The batch is computed once. Of the table only the key columns and the dates the
-    batch spans are read. Two loads of one table must not run at the same time: the
-    test and the append are separate steps.
+    batch spans are read; the first load has nothing to compare with and goes straight
+    through. Two loads of one table must not run at the same time: the test and the
+    append are separate steps.
     """
     keyed = conform(batch, fact).dropna(subset=list(fact.keys))
-    single = settle(one_per_key(keyed, fact.keys))
+    single = one_per_key(keyed, fact.keys)
+    if not store.exists(fact):
+        return store.append(single, fact)
+    single = settle(single)
     first, last = single.agg(F.min(fact.date_column), F.max(fact.date_column)).first()
     if first is None:
         return LoadResult(fact.name, "EMPTY")
