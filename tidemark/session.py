@@ -20,6 +20,10 @@ DEFAULTS = {
 }
 
 
+# Folders of local sessions; they go when the process ends.
+_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
+
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -43,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        named = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        _LOCAL_FOLDERS.append(
+            tempfile.TemporaryDirectory(prefix="tidemark-", ignore_cleanup_errors=True)
+        )
+        named = _LOCAL_FOLDERS[-1].name
     context.setCheckpointDir(named)
     return named
 
