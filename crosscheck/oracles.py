@@ -247,11 +247,11 @@ ORACLES: dict[str, str] = {
                string_agg(placed.ticker, ',' ORDER BY placed.ticker) AS keys,
                CAST(min(coalesce(watermark, DATE '2024-01-01')) + INTERVAL 1 DAY AS DATE)
                    AS start_date,
-               DATE '2001-10-01' AS end_date
+               DATE '2001-10-26' AS end_date
         FROM placed LEFT JOIN marks ON marks.ticker = placed.ticker
         GROUP BY place // 30
         HAVING min(coalesce(watermark, DATE '2024-01-01')) + INTERVAL 1 DAY
-               < DATE '2001-10-01'
+               < DATE '2001-10-26'
     """,
     "backfill_plan": f"""
         WITH wanted AS (

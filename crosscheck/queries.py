@@ -344,7 +344,7 @@ def fetch_plan(spark, sf_dir):
         F.col("s_suppkey").cast("string").alias("ticker")
     )
     marks = incremental.watermark_per_key(bars(spark, sf_dir), "ticker", "trade_date")
-    plan = planning.fetch_plan(suppliers, marks, "ticker", date(2001, 10, 1))
+    plan = planning.fetch_plan(suppliers, marks, "ticker", date(2001, 10, 26))
     return plan.withColumn("keys", F.array_join("keys", ","))
 
 

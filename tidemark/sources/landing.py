@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +12,12 @@ from pyspark.sql import types as T
 from tidemark.functions import safe_symbol
 
 
-def path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asks the file system of the path; a failed read would tell as much, but leaves an
+    error in the log for every table not yet written."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
 
 
 def land_documents(documents: DataFrame, path: str, period: str) -> None:
@@ -34,11 +37,9 @@ def land_bars(rows: DataFrame, path: str, ticker: str = "ticker") -> None:
 def landed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The partition values present under ``path``; no file content is decoded."""
     fields = [T.StructField(key, T.StringType()) for key in keys]
-    try:
+    if path_exists(spark, path):
         present = spark.read.schema(T.StructType(fields)).json(path)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
+    else:
         present = spark.createDataFrame([], T.StructType(fields))
     return present.select(*keys).distinct()
 

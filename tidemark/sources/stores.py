@@ -11,7 +11,6 @@ from datetime import date
 from typing import Protocol
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +19,7 @@ from tidemark.operators.dedup import one_per_key
 from tidemark.operators.incremental import RATES_START, watermark, watermark_per_key
 from tidemark.schemas import FactTable
 from tidemark.session import settle
-from tidemark.sources.landing import path_missing
+from tidemark.sources.landing import path_exists
 
 
 @dataclass(frozen=True)
@@ -108,25 +107,15 @@ class ParquetStore:
     def path(self, fact: FactTable) -> str:
         return f"{self.root.rstrip('/')}/{fact.name}"
 
-    def _stored(self, fact: FactTable) -> DataFrame | None:
+    def exists(self, fact: FactTable) -> bool:
+        return path_exists(self.spark, self.path(fact))
+
+    def _partitioned(self, fact: FactTable) -> DataFrame:
         year = T.StructField(fact.partition_column, T.IntegerType())
         schema = T.StructType([*fact.schema.fields, year])
-        try:
+        if self.exists(fact):
             return self.spark.read.schema(schema).parquet(self.path(fact))
-        except AnalysisException as error:
-            if not path_missing(error):
-                raise
-            return None
-
-    def _partitioned(self, fact: FactTable) -> DataFrame:
-        stored = self._stored(fact)
-        if stored is not None:
-            return stored
-        empty = self.spark.createDataFrame([], fact.schema)
-        return empty.withColumn(fact.partition_column, F.year(fact.date_column))
-
-    def exists(self, fact: FactTable) -> bool:
-        return self._stored(fact) is not None
+        return self.spark.createDataFrame([], schema)
 
     def read(
         self, fact: FactTable, since: date | None = None, until: date | None = None
