@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm.quality import op10_compression_quality
 from tidemark.llm.sharding import op3_hypergeometric_shards
 
 QUERIES = {
     f.__name__: f
     for f in (
         op3_hypergeometric_shards,
+        op10_compression_quality,
     )
 }
 
