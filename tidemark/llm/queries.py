@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from tidemark.llm.bpe import op6_streaming_bpe
+from tidemark.llm.language import op1_string_kernel_language
 from tidemark.llm.quality import op10_compression_quality
 from tidemark.llm.sharding import op3_hypergeometric_shards
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_string_kernel_language,
         op3_hypergeometric_shards,
+        op6_streaming_bpe,
         op10_compression_quality,
     )
 }
