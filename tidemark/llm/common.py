@@ -55,3 +55,16 @@ def with_columns(df: DataFrame, **columns: Column) -> DataFrame:
     taken = {name.lower() for name in columns}
     rest = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
     return df.select(*rest, *[c.alias(name) for name, c in columns.items()])
+
+
+def keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """`df` with `_node`, a number that tells its documents apart in joins.
+
+    It is the id where no id is null or names two texts; otherwise a hash of id and text.
+    Rows with equal id and text are one document, however often they are repeated.
+    """
+    label = F.col(f"`{doc_id}`")
+    both = F.xxhash64(F.lit("node"), label, F.col(f"`{text}`"))
+    each = df.groupBy(label.alias("id")).agg(F.min(both).alias("low"), F.max(both).alias("high"))
+    odd = each.filter(F.col("id").isNull() | (F.col("low") != F.col("high"))).limit(1).count()
+    return df.withColumn("_node", both if odd else label.cast("long"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.llm import substrings
 from tidemark.llm.bpe import op6_streaming_bpe
 from tidemark.llm.language import op1_string_kernel_language
 from tidemark.llm.quality import op10_compression_quality
 from tidemark.llm.sharding import op3_hypergeometric_shards
+from tidemark.llm.substrings import op7_difference_cover
 
 QUERIES = {
     f.__name__: f
@@ -14,7 +16,10 @@ QUERIES = {
         op3_hypergeometric_shards,
         op6_streaming_bpe,
         op10_compression_quality,
+        op7_difference_cover,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op7_difference_cover": substrings.ORACLE,
+}
