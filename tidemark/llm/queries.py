@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import substrings
+from tidemark.llm import ngrams, substrings
 from tidemark.llm.bpe import op6_streaming_bpe
 from tidemark.llm.language import op1_string_kernel_language
+from tidemark.llm.ngrams import op9_partitioned_jaccard
 from tidemark.llm.quality import op10_compression_quality
 from tidemark.llm.sharding import op3_hypergeometric_shards
 from tidemark.llm.substrings import op7_difference_cover
@@ -17,9 +18,11 @@ QUERIES = {
         op6_streaming_bpe,
         op10_compression_quality,
         op7_difference_cover,
+        op9_partitioned_jaccard,
     )
 }
 
 ORACLES = {
     "op7_difference_cover": substrings.ORACLE,
+    "op9_partitioned_jaccard": ngrams.ORACLE,
 }
