@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ngrams, substrings
+from tidemark.llm import decontaminate, ngrams, substrings
 from tidemark.llm.bpe import op6_streaming_bpe
+from tidemark.llm.decontaminate import op4_benchmark_windows
 from tidemark.llm.language import op1_string_kernel_language
 from tidemark.llm.ngrams import op9_partitioned_jaccard
 from tidemark.llm.quality import op10_compression_quality
@@ -15,6 +16,7 @@ QUERIES = {
     for f in (
         op1_string_kernel_language,
         op3_hypergeometric_shards,
+        op4_benchmark_windows,
         op6_streaming_bpe,
         op10_compression_quality,
         op7_difference_cover,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_benchmark_windows": decontaminate.ORACLE,
     "op7_difference_cover": substrings.ORACLE,
     "op9_partitioned_jaccard": ngrams.ORACLE,
 }
