@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, ngrams, substrings
+from tidemark.llm import decontaminate, ngrams, substrings, urls
 from tidemark.llm.bpe import op6_streaming_bpe
 from tidemark.llm.decontaminate import op4_benchmark_windows
 from tidemark.llm.language import op1_string_kernel_language
@@ -10,6 +10,7 @@ from tidemark.llm.ngrams import op9_partitioned_jaccard
 from tidemark.llm.quality import op10_compression_quality
 from tidemark.llm.sharding import op3_hypergeometric_shards
 from tidemark.llm.substrings import op7_difference_cover
+from tidemark.llm.urls import op5_reversed_host_rules
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +18,7 @@ QUERIES = {
         op1_string_kernel_language,
         op3_hypergeometric_shards,
         op4_benchmark_windows,
+        op5_reversed_host_rules,
         op6_streaming_bpe,
         op10_compression_quality,
         op7_difference_cover,
@@ -26,6 +28,7 @@ QUERIES = {
 
 ORACLES = {
     "op4_benchmark_windows": decontaminate.ORACLE,
+    "op5_reversed_host_rules": urls.ORACLE,
     "op7_difference_cover": substrings.ORACLE,
     "op9_partitioned_jaccard": ngrams.ORACLE,
 }
