@@ -7,6 +7,7 @@ from tidemark.llm.bpe import op6_streaming_bpe
 from tidemark.llm.decontaminate import op4_benchmark_windows
 from tidemark.llm.language import op1_string_kernel_language
 from tidemark.llm.ngrams import op9_partitioned_jaccard
+from tidemark.llm.pages import op8_text_blocks
 from tidemark.llm.quality import op10_compression_quality
 from tidemark.llm.sharding import op3_hypergeometric_shards
 from tidemark.llm.substrings import op7_difference_cover
@@ -22,6 +23,7 @@ QUERIES = {
         op6_streaming_bpe,
         op10_compression_quality,
         op7_difference_cover,
+        op8_text_blocks,
         op9_partitioned_jaccard,
     )
 }
