@@ -63,8 +63,16 @@ def keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     It is the id where no id is null or names two texts; otherwise a hash of id and text.
     Rows with equal id and text are one document, however often they are repeated.
     """
-    label = F.col(f"`{doc_id}`")
-    both = F.xxhash64(F.lit("node"), label, F.col(f"`{text}`"))
-    each = df.groupBy(label.alias("id")).agg(F.min(both).alias("low"), F.max(both).alias("high"))
-    odd = each.filter(F.col("id").isNull() | (F.col("low") != F.col("high"))).limit(1).count()
-    return df.withColumn("_node", both if odd else label.cast("long"))
+    label, both = F.col(f"`{doc_id}`"), _document(doc_id, text)
+    return df.withColumn("_node", label.cast("long") if ids_tell(df, doc_id, text) else both)
+
+
+def _document(doc_id: str, text: str) -> Column:
+    return F.xxhash64(F.lit("node"), F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+
+
+def ids_tell(df: DataFrame, doc_id: str, text: str) -> bool:
+    """Whether no id is null or names two texts."""
+    both = _document(doc_id, text)
+    each = df.groupBy(F.col(f"`{doc_id}`").alias("id")).agg(F.min(both).alias("low"), F.max(both).alias("high"))
+    return not each.filter(F.col("id").isNull() | (F.col("low") != F.col("high"))).limit(1).count()

@@ -13,9 +13,12 @@ only k segments or fewer has no such guarantee; in its band all sets also send t
 segments with each single n-gram left out (then two differences are needed to hide a
 segment), or, where even that is too little, each n-gram by itself.
 
-Equal sets become one first. Candidates of a segment are compared with its least member,
-linked ones merged, and only members of different classes compared further, so that a group
-of near copies costs its size, not its square. Every comparison is exact.
+Equal sets become one first. Candidates of a segment are compared with its least member
+and linked ones merged, so that a group of close copies costs its size, not its square.
+Where members of different classes remain, all that share segments, directly or over
+others, form a cluster, which is dealt into blocks of bounded size; each pair of blocks is
+compared in one task as a product of 0/1 matrices and gives back a spanning forest of its
+links. Pairs are never listed, and every comparison is exact.
 """
 
 from __future__ import annotations
@@ -37,6 +40,10 @@ LENGTH = 5
 SIMILARITY = (80, 100)
 #: Segments for each n-gram that two sets of a band can differ in, and a constant more.
 SPARE, MORE = 1.3, 8
+#: Members of a block, and n-grams in their sets, on average at most.
+BLOCK_SETS, BLOCK_GRAMS = 1024, 1 << 20
+#: N-grams that are columns of a matrix at a time.
+TILE = 4096
 #: Bits of the filter that keeps sets nobody compares from being sent.
 FILTER_BITS = 1 << 22
 
@@ -255,6 +262,91 @@ def linked(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     return second.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _forest(links: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a symmetric table of links."""
+    fresh, edges = np.ones(len(links), bool), []
+    for root in range(len(links)):
+        if not fresh[root]:
+            continue
+        fresh[root] = False
+        queue = [root]
+        for u in queue:
+            new = np.flatnonzero(links[u] & fresh)
+            fresh[new] = False
+            edges += [(u, v) for v in new.tolist()]
+            queue += new.tolist()
+    return edges
+
+
+def _block_links(sets: list[np.ndarray], classes: np.ndarray, cross: np.ndarray | None, bands: Bands) -> list[tuple[int, int]]:
+    """A spanning forest of the links between sets of different classes; with `cross`,
+    only of links between sets for which it is true and sets for which it is not."""
+    size = np.array([len(x) for x in sets], np.int64)
+    rows = np.repeat(np.arange(len(sets)), size)
+    _, gram, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    use = shared[gram]
+    column = (np.cumsum(shared) - 1)[gram[use]]
+    turn = np.argsort(column, kind="stable")
+    column, rows = column[turn], rows[use][turn]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(shared.sum()), TILE):
+        low, high = np.searchsorted(column, (start, start + TILE))
+        tile = np.zeros((len(sets), TILE), np.float32)
+        tile[rows[low:high], column[low:high] - start] = 1
+        both += tile @ tile.T
+    common = both.astype(np.int64)
+    links = bands.q * common >= bands.p * (size[:, None] + size[None, :] - common)
+    links &= classes[:, None] != classes[None, :]
+    if cross is not None:
+        links &= cross[:, None] != cross[None, :]
+    return _forest(links)
+
+
+def compared(clusters: DataFrame, sets: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
+    """Links `a`, `b` that connect what is linked in a cluster across classes.
+
+    `clusters` has `_node`, `cluster`. A cluster of n members in k blocks sends each member
+    k times, with k about n / BLOCK_SETS, and at once if it is small.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            found = []
+            if len(held) > 1 and len({h[1] for h in held}) > 1:
+                own = np.array([h[2] for h in held])
+                cross = own == key[1] if key[1] != key[2] else None
+                grams = [np.frombuffer(h[3], np.uint64) for h in held]
+                found = _block_links(grams, np.array([h[1] for h in held]), cross, bands)
+            ends = [[held[e[i]][0] for e in found] for i in (0, 1)]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], ["a", "b"])
+
+        key, held = None, []
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for cluster, i, j, node, label, own, grams in zip(*columns, strict=True):
+                if (cluster, i, j) != key:
+                    if held:
+                        yield flush()
+                    key, held = (cluster, i, j), []
+                held.append((node, label, own, grams))
+        if held:
+            yield flush()
+
+    members = clusters.join(sets, "_node").join(classes.withColumnRenamed("node", "_node"), "_node", "left")
+    members = members.select("cluster", "_node", F.coalesce("component", "_node").alias("c"), "grams")
+    many = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.octet_length("grams")).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("bytes") / (8 * BLOCK_GRAMS))).cast("int")
+    dealt = members.join(kept(many.select("cluster", parts.alias("parts"))), "cluster")
+    own = F.pmod(F.xxhash64(F.lit("block"), "_node"), F.col("parts")).cast("int")
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select(
+        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "_node", "c", "own", "grams"
+    )
+    order = ("cluster", "i", "j")
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
+
+
 def _fits(n: str, m: str, bands: Bands):
     """Sizes that allow the similarity at all."""
     low, high = F.least(n, m), F.greatest(n, m)
@@ -326,23 +418,10 @@ def similar_classes(
     named = found.join(class_of.withColumnRenamed("node", "_node"), "_node", "left")
     named = named.withColumn("c", F.coalesce("component", "_node"))
     mixed = named.withColumns({"low": F.min("c").over(group), "high": F.max("c").over(group)}).filter("low != high")
-    crowd = F.count("*").over(Window.partitionBy("key", "c"))
-    mixed = mixed.withColumn("crowd", crowd)
-    mixed = mixed.withColumn("big", F.max(F.struct("crowd", "c")).over(group)["c"])
-    mixed = kept(mixed.select("key", "_node", "n", "probe", "c", (F.col("c") == F.col("big")).alias("in_big")))
-    x = mixed.filter("NOT in_big").select("key", *[F.col(k).alias(f"x_{k}") for k in ("_node", "n", "probe", "c")])
-    y = mixed.select("key", *[F.col(k).alias(f"y_{k}") for k in ("_node", "n", "probe", "c", "in_big")])
-    across = x.join(y, "key").filter(
-        (F.col("x_c") != F.col("y_c"))
-        & (F.col("x_probe") | F.col("y_probe"))
-        & (F.col("y_in_big") | (F.col("x__node") < F.col("y__node")))
-        & _fits("x_n", "y_n", bands)
-    )
-    across = across.select(
-        F.greatest("x__node", "y__node").alias("a"), F.least("x__node", "y__node").alias("b")
-    ).distinct()
-    across = across.join(star, ["a", "b"], "left_anti")
-    classes = kept(components(links.union(linked(across, sets, bands))))
+    ties = mixed.select(F.col("_node").alias("a"), F.min("_node").over(group).alias("b")).distinct()
+    clusters = kept(components(ties).select(F.col("node").alias("_node"), F.col("component").alias("cluster")))
+    across = compared(clusters, sets, class_of, bands)
+    classes = kept(components(links.union(across)))
 
     # From representatives to all sets, from sets to documents. Each least id is written
     # before it is joined, so that a large class can be split.

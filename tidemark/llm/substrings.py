@@ -10,6 +10,8 @@ windows that hold it are hashed whole, and the first place of each hash is found
 
 A batch hands on one place of a hash; further places in the same batch are known to be
 repeats at once. So a passage that a third of all documents share sends one row a batch.
+Of texts that are equal as a whole only the first is looked at: all windows of the others
+start earlier in it, and so does whatever else they could be compared with.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed, table
+from tidemark.llm.common import ids_tell, keyed, kept, table
 from tidemark.llm.words import mix, signed, words_of
 
 WINDOW = 20
@@ -56,14 +58,15 @@ def _own_key(hashes: np.ndarray, known: np.ndarray, *place: np.ndarray) -> np.nd
 
 
 def anchors(docs: DataFrame, window: int) -> DataFrame:
-    """Anchor runs of all documents: `key`, `_node`, `at` (word), `known` (seen in the batch)."""
+    """Anchor runs of all documents: `key`, `_node`, `spot`: its word times two, plus 1 if
+    the run was seen more than once in the batch."""
     period, marks, length = cover_for(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = np.asarray(batch.column(0)).astype(np.int64)
+            nodes = np.asarray(batch.column(2)).astype(np.int64)
             found = []
-            for w in words_of(batch.column(1)):
+            for w in words_of(batch.column(3)):
                 hashes, starts = w.runs(length)
                 owner = w.owner()[starts]
                 at = starts - w.first[owner]
@@ -77,20 +80,18 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
             first = _first_in_batch(hashes, (node, at))
             key = _own_key(hashes, several & ~first, node, at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(key)), pa.array(node), pa.array(at.astype(np.int32)), pa.array(several)],
-                ["key", "_node", "at", "known"],
+                [pa.array(signed(key)), pa.array(node), pa.array(at * 2 + several)], ["key", "_node", "spot"]
             )
 
-    return docs.select("_node", "text").mapInArrow(run, "key long, _node long, at int, known boolean")
-
+    return docs.select("row", "_id", "_node", "text").mapInArrow(run, "key long, _node long, spot long")
 
-def windows(near: DataFrame, window: int) -> DataFrame:
-    """Windows that hold an anchor of `spots`: `key`, `_id`, `_node`, `start`, `known`.
 
-    `near` has row, _id, _node, text, spots; the row is not used, but with it the texts
-    come from the very shuffle that the last step reads, too.
-    """
+def windows(near: DataFrame, window: int, order: list[str]) -> DataFrame:
+    """Windows that hold an anchor of `spots`: `key`, the columns of `order` (`_id` and
+    `_node`, or `_node` alone where that is the id) and `spot`: the first word times two,
+    plus 1 if the window starts earlier in the batch."""
     period, _, _ = cover_for(window)
+    names = ["key", *order, "spot"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,14 +119,11 @@ def windows(near: DataFrame, window: int) -> DataFrame:
             hashes, label, node, start = map(np.concatenate, zip(*found, strict=True))
             known = ~_first_in_batch(hashes, (label, node, start))
             key = _own_key(hashes, known, label, node, start)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(key)), pa.array(label), pa.array(node),
-                 pa.array(start.astype(np.int32)), pa.array(known)],
-                ["key", "_id", "_node", "start", "known"],
-            )
+            out = {"key": signed(key), "_id": label, "_node": node, "spot": start * 2 + known}
+            yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in names], names)
 
     return near.select("row", "_id", "_node", "text", "spots").mapInArrow(
-        run, "key long, _id long, _node long, start int, known boolean"
+        run, ", ".join(f"{c} long" for c in names)
     )
 
 
@@ -135,11 +133,14 @@ def _cut(window: int):
             names = batch.schema.names
             texts = batch.column(names.index("text")).cast(pa.binary()).to_pylist()
             repeats = batch.column(names.index("repeats")).to_pylist()
-            counts, removed, kept = [], [], []
-            for text, starts in zip(texts, repeats, strict=True):
+            copies = batch.column(names.index("copy")).to_pylist()
+            counts, removed, left = [], [], []
+            for text, starts, copy in zip(texts, repeats, copies, strict=True):
                 words = (text or b"").split()
                 counts.append(len(words))
-                if starts:
+                if copy and len(words) >= window:
+                    words = []
+                elif starts:
                     gone = np.zeros(len(words) + 1, np.int32)
                     # A repeated row gives its starts twice, which covers the same words.
                     np.add.at(gone, starts, 1)
@@ -147,11 +148,11 @@ def _cut(window: int):
                     gone = np.cumsum(gone)[:-1] > 0
                     words = [x for x, out in zip(words, gone.tolist(), strict=True) if not out]
                 removed.append(counts[-1] - len(words))
-                kept.append(b" ".join(words))
-            rest = [i for i, n in enumerate(names) if n != "repeats"]
+                left.append(b" ".join(words))
+            rest = [i for i, n in enumerate(names) if n not in ("repeats", "copy")]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in rest], pa.array(counts, pa.int64()),
-                 pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                 pa.array(removed, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())],
                 [*[names[i] for i in rest], "n_words", "n_removed", "kept"],
             )
 
@@ -173,23 +174,34 @@ def repeated_words(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     plain = df.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
                       F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-(2**63))).alias("_id"),
                       F.col(f"`{text}`").alias("text"))
+    # Whoever reads texts reads all four columns, so that one shuffle of them serves all.
+    order = ["_node"] if ids_tell(plain, "_id", "text") else ["_id", "_node"]
     docs = keyed(plain, "_id", "text").select("row", "_id", "_node", "text")
-    found = anchors(docs, window)
+    whole = [F.xxhash64(F.lit(i), "text") for i in (1, 2)]
+    firsts = docs.groupBy(*whole).agg(F.min(F.struct("_id", "_node")).alias("f")).select("f._node")
+    copies = kept(docs.select("_node").distinct().join(firsts, "_node", "left_anti"))
+    # An outer join, as an anti join would be moved below the shuffle that others read.
+    again = docs.join(copies.withColumn("copy", F.lit(True)), "_node", "left").filter("copy IS NULL")
+    found = anchors(again, window)
     times = F.count("*").over(Window.partitionBy("key"))
-    live = found.withColumn("times", times).filter(F.col("known") | (F.col("times") > 1))
-    spots = live.groupBy("_node").agg(F.collect_list("at").alias("spots"))
+    live = found.withColumn("times", times).filter((F.col("spot") % 2 == 1) | (F.col("times") > 1))
+    spots = live.groupBy("_node").agg(F.collect_list(F.shiftright("spot", 1)).alias("spots"))
     near = docs.join(spots, "_node")
-    places = windows(near, window).withColumn("place", F.struct("_id", "_node", "start"))
-    first = F.min(F.when(~F.col("known"), F.col("place"))).over(Window.partitionBy("key"))
-    repeats = places.withColumn("first", first).filter(F.col("known") | (F.col("place") > F.col("first")))
-    repeats = repeats.groupBy("_node").agg(F.collect_list("start").alias("repeats"))
-    joined = docs.join(repeats, "_node", "left").select("row", "_id", "_node", "text", "repeats")
-    schema = joined.drop("repeats").withColumns(
+    known = F.col("spot") % 2 == 1
+    places = windows(near, window, order).withColumn("place", F.struct(*order, "spot"))
+    first = F.min(F.when(~known, F.col("place"))).over(Window.partitionBy("key"))
+    repeats = places.withColumn("first", first).filter(known | (F.col("place") > F.col("first")))
+    repeats = repeats.groupBy("_node").agg(F.collect_list(F.shiftright("spot", 1)).alias("repeats"))
+    marks = repeats.withColumn("copy", F.lit(False)).unionByName(
+        copies.select("_node", F.lit(None).cast("array<bigint>").alias("repeats"), F.lit(True).alias("copy"))
+    )
+    joined = docs.join(marks, "_node", "left")
+    schema = joined.select("row", "_id", "_node", "text").withColumns(
         {"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit("")}
     ).schema
-    done = joined.mapInArrow(_cut(window), schema)
-    order = [c for c in df.columns if c.lower() not in new]
-    back = [F.col("text").alias(c) if c.lower() == text.lower() else F.col(f"row.`{c}`") for c in order]
+    done = joined.select("row", "_id", "_node", "text", "repeats", "copy").mapInArrow(_cut(window), schema)
+    columns = [c for c in df.columns if c.lower() not in new]
+    back = [F.col("text").alias(c) if c.lower() == text.lower() else F.col(f"row.`{c}`") for c in columns]
     return done.select(*back, *new)
 
 
