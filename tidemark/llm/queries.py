@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, ngrams, substrings, urls
+from tidemark.llm import decontaminate, ngrams, substrings, urls, vectors
 from tidemark.llm.bpe import op6_streaming_bpe
 from tidemark.llm.decontaminate import op4_benchmark_windows
 from tidemark.llm.language import op1_string_kernel_language
@@ -12,11 +12,13 @@ from tidemark.llm.quality import op10_compression_quality
 from tidemark.llm.sharding import op3_hypergeometric_shards
 from tidemark.llm.substrings import op7_difference_cover
 from tidemark.llm.urls import op5_reversed_host_rules
+from tidemark.llm.vectors import op2_inverted_multi_index
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_string_kernel_language,
+        op2_inverted_multi_index,
         op3_hypergeometric_shards,
         op4_benchmark_windows,
         op5_reversed_host_rules,
@@ -29,6 +31,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_inverted_multi_index": vectors.ORACLE,
     "op4_benchmark_windows": decontaminate.ORACLE,
     "op5_reversed_host_rules": urls.ORACLE,
     "op7_difference_cover": substrings.ORACLE,
