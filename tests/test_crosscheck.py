@@ -5,6 +5,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import TESTDATA
+from crosscheck.oracles import ORACLES
+from crosscheck.queries import QUERIES
 
 SF_DIR = f"{TESTDATA}/sf0.01"
 TABLES = ["nation", "customer", "supplier", "orders", "lineitem", "events"]
@@ -28,21 +30,23 @@ def duck():
     return connection
 
 
-def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+def test_every_query_has_an_oracle_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_has_rows(spark):
     assert not entry(spark).isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    relation = duck.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    relation = duck.execute(ORACLES[name])
     names = [d[0] for d in relation.description]
     expected_rows = relation.fetchall()
-    described = duck.execute(f"DESCRIBE {oracle_sql()[name]}").fetchall()
+    described = duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
     expected_types = {r[0]: r[1] for r in described}
 
     assert sorted(result.columns) == sorted(names)
