@@ -1,0 +1,71 @@
+from math import comb
+
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import unit
+from tidemark.llm.sharding import hypergeometric, op3_hypergeometric_shards, shuffle_into_shards
+
+
+def places(df):
+    found = {}
+    for r in df.collect():
+        found.setdefault(r.shard, []).append(r.slot)
+    return found
+
+
+def test_shards_are_exact_and_slots_gapless(spark):
+    df = spark.range(1003).withColumn("text", F.lit("same"))
+    found = places(shuffle_into_shards(df, 7, block_rows=50))
+    sizes = [len(v) for v in found.values()]
+    assert len(found) == 7 and max(sizes) - min(sizes) <= 1 and sum(sizes) == 1003
+    assert all(sorted(v) == list(range(len(v))) for v in found.values())
+
+
+def test_runs_again_alike_and_another_seed_differs(spark):
+    df = spark.range(200)
+    take = lambda seed: sorted(map(tuple, shuffle_into_shards(df, 5, seed).collect()))
+    assert take(1) == take(1) != take(2)
+
+
+def test_draws_follow_the_law(spark):
+    draw = hypergeometric(F.lit(50.0), F.lit(20.0), F.lit(10.0), unit(F.xxhash64("id")))
+    found = {int(r.x): r["count"] for r in spark.range(20000).groupBy(draw.alias("x")).count().collect()}
+    law = [20000 * comb(20, k) * comb(30, 10 - k) / comb(50, 10) for k in range(11)]
+    assert sum((found.get(k, 0) - e) ** 2 / e for k, e in enumerate(law)) < 30
+
+
+def test_certain_draws(spark):
+    cases = [(10, 10, 4, 4), (10, 0, 4, 0), (10, 3, 10, 3), (0, 0, 0, 0), (5, 2, 0, 0)]
+    for total, marked, drawn, wanted in cases:
+        for u in (0.0, 0.5, 0.999999):
+            draw = hypergeometric(*[F.lit(float(x)) for x in (total, marked, drawn)], F.lit(u))
+            assert spark.range(1).select(draw).first()[0] == wanted
+
+
+def test_few_many_equal_and_odd_rows(spark):
+    schema = "doc_id long, text string, shard string, SLOT int"
+    assert shuffle_into_shards(spark.createDataFrame([], schema), 3).collect() == []
+    rows = [(1, "a", "x", 1)] * 5 + [(None, None, None, None)] * 3
+    found = shuffle_into_shards(spark.createDataFrame(rows, schema), 3)
+    assert found.columns == ["doc_id", "text", "shard", "slot"]
+    assert sorted(len(v) for v in places(found).values()) == [2, 3, 3]
+    assert len(places(shuffle_into_shards(spark.range(2), 5))) == 2
+
+
+def test_neighbours_are_separated(spark):
+    """Of a uniform shuffle about a fifth of the neighbours share one of five shards."""
+    rows = {r.id: r.shard for r in shuffle_into_shards(spark.range(4000), 5).collect()}
+    same = sum(rows[i] == rows[i + 1] for i in range(3999))
+    assert 650 < same < 950
+
+
+def test_query(spark):
+    rows = op3_hypergeometric_shards(spark, "/root/testdata/sf0.001").collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    import zlib
+
+    assert len(rows) == len(docs)
+    for r in rows:
+        data = (docs[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 8, zlib.crc32(data), "rows", None)
+        assert 0 <= r.shard < 24

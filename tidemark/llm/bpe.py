@@ -11,7 +11,8 @@ stable, and goes on: memory is constant, however long a run of letters is.
 
 The vocabulary file is of the `tokenizers` library: characters composed (NFC), lower case,
 split by a pattern, bytes as characters, a mark at the end of a word. Special tokens in a
-text are found before anything else.
+text are found before anything else. Characters that Python's tables do not know are
+normalised and split by the library's own, which are newer.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from functools import lru_cache
 import public_tokenizers
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +53,16 @@ def byte_characters() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+@lru_cache(maxsize=1 << 16)
+def _unassigned(char: str) -> bool:
+    return unicodedata.category(char) == "Cn"
+
+
+def _unknown(text: str) -> bool:
+    """Whether Python's tables lack a character of the text."""
+    return any(map(_unassigned, set(text)))
+
+
 class Bpe:
     """The merge list of a vocabulary file, and what follows from it."""
 
@@ -69,6 +81,10 @@ class Bpe:
         ):
             raise ValueError("a vocabulary of another kind")
         self.pieces = regex.compile(split["pattern"]["Regex"])
+        pattern = tokenizers.Regex(split["pattern"]["Regex"])
+        self.newer_split = tokenizers.pre_tokenizers.Split(pattern, "removed", invert=True)
+        names = tokenizers.normalizers
+        self.newer_form = names.Sequence([names.NFC(), names.Lowercase()])
         ids, self.ends = model["vocab"], model["end_of_word_suffix"]
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         found = sorted(map(regex.escape, self.special), key=len, reverse=True)
@@ -163,16 +179,21 @@ class Bpe:
         tokens[-1] = self.final[data[-1]]
         yield from self.merge(tokens)
 
+    def matches(self, stretch: str) -> Iterator[str]:
+        if not stretch.isascii() and _unknown(stretch):
+            return (piece for piece, _ in self.newer_split.pre_tokenize_str(stretch))
+        return (match[0] for match in self.pieces.finditer(stretch))
+
     def stretch(self, stretch: str) -> Iterator[int]:
-        for match in self.pieces.finditer(stretch):
-            yield from self.piece(match[0])
+        for match in self.matches(stretch):
+            yield from self.piece(match)
 
     def remembered(self, stretch: str) -> tuple[int, str, str]:
         """Of a stretch without white space: number of tokens, ids and names as text."""
         found = self.memory.get(stretch)
         if found is None:
             # Letters alone are one match of the pattern; so are most matches in the rest.
-            matches = (stretch,) if stretch.isalpha() else self.pieces.findall(stretch)
+            matches = (stretch,) if stretch.isalpha() else list(self.matches(stretch))
             if len(matches) == 1 and matches[0] == stretch:
                 ids = list(self.piece(stretch))
                 found = (len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]))
@@ -200,10 +221,13 @@ class Bpe:
             if end - start > SLICE and (space := _SPACES.search(text, start + SLICE, end)):
                 stop = space.end()
             part = text[start:stop]
-            if not unicodedata.is_normalized("NFC", part):
-                part = unicodedata.normalize("NFC", part)
-            # Each character by itself: str.lower() alone would heed the end of a word.
-            part = part.replace("Σ", "σ").lower()
+            if part.isascii():
+                part = part.lower()
+            elif _unknown(part):
+                part = self.newer_form.normalize_str(part)
+            else:
+                # Each character by itself: str.lower() alone would heed the end of a word.
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
             yield _SPACES.split(part) if _ODD_SPACE.search(part) else part.split()
             start = stop
 
