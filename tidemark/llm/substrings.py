@@ -29,8 +29,8 @@ from tidemark.llm.words import mix, signed, words_of
 WINDOW = 20
 #: Perfect difference sets. Every remainder is a difference of two members.
 COVERS = {1: [0], 3: [0, 1], 7: [0, 1, 3], 13: [0, 1, 3, 9]}
-#: Anchor runs shorter than this would match by chance too often.
-LEAST_RUN = 4
+#: Shorter anchor runs need fewer positions but also match in repeats that are too short.
+LEAST_RUN = 12
 
 
 def cover_for(window: int) -> tuple[int, np.ndarray, int]:
