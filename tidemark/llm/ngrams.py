@@ -38,6 +38,8 @@ from tidemark.llm.words import Words, mix, signed, words_of
 LENGTH = 5
 #: The similarity, as a fraction.
 SIMILARITY = (80, 100)
+#: Stands for a null id.
+NO_ID = -(2**63)
 #: Segments for each n-gram that two sets of a band can differ in, and a constant more.
 SPARE, MORE = 1.3, 8
 #: Members of a block, and n-grams in their sets, on average at most.
@@ -306,7 +308,7 @@ def _block_links(sets: list[np.ndarray], classes: np.ndarray, cross: np.ndarray
 def compared(clusters: DataFrame, sets: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
     """Links `a`, `b` that connect what is linked in a cluster across classes.
 
-    `clusters` has `_node`, `cluster`. A cluster of n members in k blocks sends each member
+    `clusters` has `_node`, `cluster`; `classes` has `_node`, `c` where that is another. A cluster of n members in k blocks sends each member
     k times, with k about n / BLOCK_SETS, and at once if it is small.
     """
 
@@ -333,8 +335,8 @@ def compared(clusters: DataFrame, sets: DataFrame, classes: DataFrame, bands: Ba
         if held:
             yield flush()
 
-    members = clusters.join(sets, "_node").join(classes.withColumnRenamed("node", "_node"), "_node", "left")
-    members = members.select("cluster", "_node", F.coalesce("component", "_node").alias("c"), "grams")
+    members = clusters.join(sets, "_node").join(classes, "_node", "left")
+    members = members.select("cluster", "_node", F.coalesce("c", "_node").alias("c"), "grams")
     many = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.octet_length("grams")).alias("bytes"))
     parts = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("bytes") / (8 * BLOCK_GRAMS))).cast("int")
     dealt = members.join(kept(many.select("cluster", parts.alias("parts"))), "cluster")
@@ -369,29 +371,26 @@ def searched(keys: DataFrame, copies: DataFrame) -> DataFrame:
     return found.filter("size > 1 AND any").select("key", "_node", "n", "probe")
 
 
-def similar_classes(
+def _classed(
     df: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
+    doc_id: str,
+    text: str,
     length: int = LENGTH,
     similarity: tuple[int, int] = SIMILARITY,
 ) -> DataFrame:
-    """`df` with `n_shingles` and `component_id`.
+    """`row` (of `df`), `_node`, `n` (size of the set) and `least` (`_id` and `_node` of the
+    least member of the class) of all documents.
 
     The set of a document is that of its runs of `length` words, A to Z taken as a to z;
-    with fewer words, all of them as one. `component_id` is the least id that links reach.
-    Documents without words have no set and link with nothing. Ids must be of an integer
-    type; a null id comes before all others. Rows with equal id and text are one document;
-    different texts of one id are different documents. An empty table gives no rows. Columns of the two names are
-    replaced, others pass unchanged.
+    with fewer words, all of them as one. Documents without words have no set and link with
+    nothing. Ids must be of an integer type; a null id comes before all others. Rows with
+    equal id and text are one document; different texts of one id are different documents.
+    An empty table gives no rows; other columns pass unchanged.
     """
     bands = Bands(*similarity)
-    low = F.lit(-(2**63))
-    taken = ("n_shingles", "component_id")
-    rest = [c for c in df.columns if c.lower() not in taken]
     plain = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"),
-        F.coalesce(F.col(f"`{doc_id}`").cast("long"), low).alias("_id"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("_id"),
         F.col(f"`{text}`").alias("text"),
     )
     docs = keyed(plain, "_id", "text")
@@ -413,28 +412,47 @@ def similar_classes(
     star = star.filter((F.col("_node") != F.col("p._node")) & _fits("n", "p.n", bands))
     star = kept(star.select(F.col("_node").alias("a"), F.col("p._node").alias("b")).distinct())
     links = kept(linked(star, sets, bands))
-    class_of = kept(components(links))
+    # A class so far is a least member and what links to it.
+    class_of = kept(links.groupBy(F.col("a").alias("_node")).agg(F.min("b").alias("c")))
 
-    named = found.join(class_of.withColumnRenamed("node", "_node"), "_node", "left")
-    named = named.withColumn("c", F.coalesce("component", "_node"))
+    named = found.join(class_of, "_node", "left").withColumn("c", F.coalesce("c", "_node"))
     mixed = named.withColumns({"low": F.min("c").over(group), "high": F.max("c").over(group)}).filter("low != high")
     ties = mixed.select(F.col("_node").alias("a"), F.min("_node").over(group).alias("b")).distinct()
     clusters = kept(components(ties).select(F.col("node").alias("_node"), F.col("component").alias("cluster")))
     across = compared(clusters, sets, class_of, bands)
     classes = kept(components(links.union(across)))
 
-    # From representatives to all sets, from sets to documents. Each least id is written
-    # before it is joined, so that a large class can be split.
+    # From representatives to all sets, from sets to documents. Each least member is
+    # written before it is joined, so that a large class can be split.
     named = first.join(classes.withColumnRenamed("node", "_node"), "_node", "left")
-    named = kept(named.select("set", "n", "_id", F.coalesce("component", "_node").alias("class")))
-    least = kept(named.groupBy("class").agg(F.min("_id").alias("component_id")))
-    named = kept(named.join(least, "class").select("set", "n", "component_id"))
-    members = filled.select("_node", "n", "set").join(named, ["set", "n"]).select("_node", "n", "component_id")
-    alone = sizes.filter("n = 0").select("_node", "n", F.col("_id").alias("component_id"))
-    result = members.union(alone).withColumnsRenamed({"n": "n_shingles"}).distinct()
-    out = docs.select("row", "_node").join(result, "_node")
-    component = F.when(F.col("component_id") != low, F.col("component_id"))
-    return out.select(*[F.col(f"row.`{c}`") for c in rest], "n_shingles", component.alias("component_id"))
+    own = F.struct("_id", "_node")
+    named = kept(named.select("set", "n", own.alias("own"), F.coalesce("component", "_node").alias("class")))
+    least = kept(named.groupBy("class").agg(F.min("own").alias("least")))
+    named = kept(named.join(least, "class").select("set", "n", "least"))
+    members = filled.select("_node", "n", "set").join(named, ["set", "n"]).select("_node", "n", "least")
+    alone = sizes.filter("n = 0").select("_node", "n", own.alias("least"))
+    result = members.union(alone).distinct()
+    return docs.select("row", "_node").join(result, "_node")
+
+
+def similar_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """`df` with `n_shingles` and `component_id`, which replace columns of these names.
+
+    `component_id` is the least id that links reach; see `_classed` for the rest.
+    """
+    taken = ("n_shingles", "component_id")
+    component = F.when(F.col("least._id") != NO_ID, F.col("least._id"))
+    rest = [F.col(f"row.`{c}`") for c in df.columns if c.lower() not in taken]
+    return _classed(df, doc_id, text, **how).select(
+        *rest, F.col("n").alias("n_shingles"), component.alias("component_id")
+    )
+
+
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The least document of each class, in the columns of `df`; of rows that are repeated
+    with equal id and text, one. Documents without words are all kept."""
+    found = _classed(df, doc_id, text, **how).filter("_node = least._node")
+    return found.dropDuplicates(["_node"]).select("row.*")
 
 
 def op9_partitioned_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
