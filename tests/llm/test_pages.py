@@ -1,0 +1,82 @@
+import html
+import re
+
+import pytest
+
+from tidemark.llm.pages import blocks, extract, grow, main_texts, op8_text_blocks, trained
+
+
+def one(page):
+    return main_texts([page])[0]
+
+
+ARTICLE = "<article><h1>A short head</h1><p>The <b>first</b> part has <a href='/x'>a link</a> &amp; more words than it needs.</p><p>So.</p></article>"
+TEXT = "A short head The first part has a link & more words than it needs. So."
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "%s",
+        "<nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav>%s<footer>&copy; someone. Words and more words follow here for long.</footer>",
+        "<div class='ad'>Buy this now because it is the very best that anybody could ever want to have.</div>%s",
+        "<!-- <article>no</article> --><script>var t='</p><article>x';</script><style>p{}</style>%s",
+        "<div id=cookie-notice><p>We use cookies to do many things that you may or may not want to be done.</p></div>%s",
+        "%s<section id='comments'><article class='c'><p>I like this text a lot and wanted all of you to know it.</p></article></section>",
+        "<form><label>Your name, which we keep</label><input name=a><button>Send it</button></form>%s<aside><p>Other things that are written on the side of the page, at length.</p></aside>",
+        "<header><h1>The site</h1><p>Words about the site that are in its head.</p></header>%s",
+    ],
+)
+def test_parts_that_go(around):
+    assert one("<html><head><title>T</title></head><body>" + around % ARTICLE + "</body></html>") == TEXT
+
+
+def test_no_article_element():
+    long = "Words of a long paragraph that go on and on, as they do in a text that is meant to be read. "
+    page = f"<div><a href=/>Home</a></div><div><p>{long * 2}</p><p>{long}</p></div><div><a href=/1>One</a> <a href=/2>Two</a></div>"
+    assert one(page) == " ".join((long * 3).split())
+    assert one("<div class='post-content'><p>Short.</p></div>") == "Short."
+
+
+@pytest.mark.parametrize("page", [None, "", "<", "<" * 3000, "<a " * 3000, "<script>" * 500, "<p title='" * 2000, "<!--", "</p>" * 2000, "&#x110000; &bogus;"])
+def test_broken_pages(page):
+    assert isinstance(one(page), str)
+
+
+def test_deep_and_long_pages():
+    assert one("<div>" * 5000 + ARTICLE) == TEXT
+    word = "word " * 300000
+    assert one(f"<article><p>{word}</p></article>") == word.strip()
+
+
+def test_blocks_have_their_features():
+    found = list(blocks("<nav><a>One two</a></nav><h2>Head</h2><p>x <i>y</i>z</p>"))
+    assert found == [("One two", 2, 2, -1, False), ("Head", 1, 0, 0, True), ("x yz", 2, 0, 0, False)]
+
+
+def test_tree_learns_its_table():
+    import numpy as np
+
+    rows = np.array([[1.0, 0], [2, 0], [3, 1], [4, 1]])
+    keep = np.array([True, True, False, True])
+    assert grow(rows, keep).decide(rows).tolist() == keep.tolist()
+    assert trained().feature >= 0
+
+
+def test_columns(spark):
+    rows = [(1, "u", ARTICLE, "t"), (1, "u", ARTICLE, "t"), (2, None, None, None)]
+    found = extract(spark.createDataFrame(rows, "page_id long, url string, html string, Text string"))
+    assert found.columns == ["page_id", "url", "html", "text"]
+    assert sorted(r.text for r in found.collect()) == ["", TEXT, TEXT]
+    assert extract(spark.createDataFrame([], "html string")).collect() == []
+
+
+def test_query_against_the_articles(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    rows = op8_text_blocks(spark, sf).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        inside = re.search("<article>(.*?)</article>", pages[r.page_id], re.S)[1]
+        wanted = html.unescape(re.sub("<[^>]*>", " ", re.sub("</?b>", "", inside))).split()
+        assert r.text == " ".join(wanted) and r.n_chars == len(r.text)

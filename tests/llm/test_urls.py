@@ -1,0 +1,62 @@
+import random
+
+import pytest
+
+from tidemark.llm import urls
+from tidemark.llm.urls import RULES, judge
+
+SCHEMA = "host string, path string, verdict string"
+
+
+def by_hand(url, rules):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = rest[cut:].split("?")[0].split("#")[0]
+    fits = [r for r in rules if r[0] and None not in r and (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+    best = max(fits, key=lambda r: (len(r[0] + r[1]), len(r[0]), r[0] + r[1], r[2]), default=None)
+    return host, path, best and best[0] + best[1], best[2] if best else "allow"
+
+
+def check(spark, addresses, rules):
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(addresses)], "page_id long, url string")
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge(df, spark.createDataFrame(rules, SCHEMA)).collect()}
+    assert found == {i: by_hand(u, rules) for i, u in enumerate(addresses)}
+
+
+ODD = [
+    None, "", "no scheme", "http://", "http:///", "http://net", "http://net/", "http://NET/x", "http://a.net?x=/en/", "http://a.net#/",
+    "https://example.net/en/1", "https://www.example.net/en/", "https://example.net/de/", "http://anet/", "http://.net/", "http://example.net./en/",
+    "http://x.org/fr/a?b#c", "ftp://x.org/fr", "http://example.com/de/://y", "http://exämple.net/en/", "http://example.com:80/de/", "x" * 100000 + "://net/" + "y" * 100000,
+]
+
+
+def test_odd_urls(spark):
+    check(spark, ODD + ODD, RULES)
+
+
+@pytest.mark.parametrize("limit", [3, 20_000])
+def test_many_nested_rules(spark, monkeypatch, limit):
+    monkeypatch.setattr(urls, "CELL_RULES", limit)
+    monkeypatch.setattr(urls, "LEAST_SALTS", 3)
+    source = random.Random(5)
+    label = lambda: source.choice(["a", "b", "ab", "c"])
+    host = lambda: ".".join(label() for _ in range(source.randint(1, 4)))
+    path = lambda: "/" + "/".join(source.choice(["x", "y", "xy", ""]) for _ in range(source.randint(0, 3)))
+    rules = list({(h, p): (h, p, source.choice(["allow", "block"])) for h, p in ((host(), path()) for _ in range(60))}.values())
+    check(spark, [f"http://{host()}{path()}" for _ in range(150)], rules)
+
+
+def test_rules_that_are_none_and_rules_that_disagree(spark):
+    rules = [("net", "/", "allow"), ("net", "/", "block"), ("", "/", "block"), (None, "/", "block"), ("org", None, "block"), ("com", "", "block")]
+    check(spark, ["http://x.net/a", "http://x.org/a", "http://x.com", "http:///a"], rules)
+    check(spark, ["http://x.net/a", None], [])
+
+
+def test_columns_and_empty_tables(spark):
+    rules = spark.createDataFrame(RULES, SCHEMA)
+    df = spark.createDataFrame([("h", "http://a.net/", 1, "key"), ("h", "http://a.net/", 1, "key")], "HOST string, url string, place int, key string")
+    found = judge(df, rules)
+    assert found.columns == ["url", "place", "key", "host", "path", "rule", "verdict"]
+    assert [tuple(r) for r in found.collect()] == [("http://a.net/", 1, "key", "a.net", "/", "net/", "block")] * 2
+    assert judge(df.limit(0), rules).collect() == []
