@@ -29,8 +29,8 @@ from tidemark.llm.words import mix, signed, words_of
 WINDOW = 20
 #: Perfect difference sets. Every remainder is a difference of two members.
 COVERS = {1: [0], 3: [0, 1], 7: [0, 1, 3], 13: [0, 1, 3, 9]}
-#: Shorter anchor runs need fewer positions but also match in repeats that are too short.
-LEAST_RUN = 12
+#: Anchor runs shorter than this would match by chance too often.
+LEAST_RUN = 4
 
 
 def cover_for(window: int) -> tuple[int, np.ndarray, int]:
@@ -188,7 +188,8 @@ def repeated_words(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     spots = live.groupBy("_node").agg(F.collect_list(F.shiftright("spot", 1)).alias("spots"))
     near = docs.join(spots, "_node")
     known = F.col("spot") % 2 == 1
-    places = windows(near, window, order).withColumn("place", F.struct(*order, "spot"))
+    # Dealt out here, as the window would have its structs made first and send them along.
+    places = windows(near, window, order).repartition("key").withColumn("place", F.struct(*order, "spot"))
     first = F.min(F.when(~known, F.col("place"))).over(Window.partitionBy("key"))
     repeats = places.withColumn("first", first).filter(known | (F.col("place") > F.col("first")))
     repeats = repeats.groupBy("_node").agg(F.collect_list(F.shiftright("spot", 1)).alias("repeats"))
