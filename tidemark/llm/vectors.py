@@ -100,7 +100,7 @@ def packed(df: DataFrame, vec_id: str, vector: str, label: str, rest: list[str])
         F.col(f"`{label}`").cast("string").alias("label"),
         F.col(f"`{vector}`").alias("v"),
     )
-    schema = plain.drop("v").withColumns({"vec": F.lit(b""), "size": F.lit(0)}).schema
+    schema = plain.drop("v").withColumns({"vec": F.lit(None).cast("binary"), "size": F.lit(0)}).schema
     hashes = {name: F.xxhash64(F.lit(name), "label", "vec") for name in ("same", "also")}
     return plain.mapInArrow(run, schema).withColumns(hashes)
 
