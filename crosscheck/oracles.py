@@ -329,6 +329,37 @@ ORACLES: dict[str, str] = {
         SELECT {_ohlc("DECIMAL(12, 2)")} FROM lineitem
         WHERE l_discount <> 0.1 AND l_tax <> 0.08 AND l_quantity <> 1 AND l_extendedprice > 0
     """,
+    "landed_rates_batch": _one_per_key(
+        f"""
+        SELECT currency_code, exchange_date, rate_value
+        FROM ({_RATES}) AS r WHERE year(exchange_date) = 2000
+        UNION ALL
+        SELECT currency_code, CAST(exchange_date + INTERVAL 1 DAY AS DATE), rate_value
+        FROM ({_RATES}) AS r WHERE year(exchange_date) = 2000
+        """,
+        _RATE_KEY,
+        "rate_value DESC",
+        _RATE_COLUMNS,
+    ),
+    "landed_bars_quoted_headers": f"""
+        SELECT {_ohlc("DECIMAL(12, 2)")} FROM lineitem
+        WHERE l_discount <> 0.1 AND l_tax <> 0.08 AND l_quantity <> 1 AND l_extendedprice > 0
+    """,
+    "load_gate_per_key": f"""
+        SELECT e.latest_date, m.watermark, e.latest_date > m.watermark AS needs_load
+        FROM (SELECT CAST(max(ts) AS DATE) AS latest_date FROM events) AS e,
+             (SELECT min(w) AS watermark FROM (
+                 SELECT max(exchange_date) AS w FROM ({_STORED}) AS s GROUP BY currency_code) AS k
+             ) AS m
+    """,
+    "rates_fetch_plan": f"""
+        SELECT k.code, CAST(coalesce(w, DATE '2020-01-01') + INTERVAL 1 DAY AS DATE) AS start_date,
+               DATE '2001-11-01' AS end_date
+        FROM (SELECT DISTINCT o_orderpriority AS code FROM orders) AS k
+        LEFT JOIN (SELECT currency_code AS code, max(exchange_date) AS w
+                   FROM ({_STORED}) AS s GROUP BY currency_code) AS m ON m.code = k.code
+        WHERE coalesce(w, DATE '2020-01-01') + INTERVAL 1 DAY <= DATE '2001-11-01'
+    """,
     "landed_rates_per_key": f"""
         WITH stored AS ({_one_per_key(_STORED, _RATE_KEY, "rate_value DESC", _RATE_COLUMNS)}),
         batch AS (

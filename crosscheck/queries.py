@@ -28,9 +28,19 @@ from tidemark.functions import iso_date, iso_text, safe_symbol
 from tidemark.operators import checks, dedup, incremental, planning, silver
 from tidemark.plans import bars as bar_plans
 from tidemark.plans import rates as rate_plans
-from tidemark.schemas import API_BARS, BARS, FINE_PRICE_TYPE, GOLD, PRICE_TYPE, RATES, SPREADS
+from tidemark.schemas import (
+    API_BARS,
+    BARS,
+    FINE_PRICE_TYPE,
+    GOLD,
+    PRICE_TYPE,
+    RATE_DOCUMENT,
+    RATES,
+    SPREADS,
+)
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import read_rates
+from tidemark.sources.landing import land_documents
 from tidemark.sources.stores import ParquetStore, append_new
 from tidemark.sources.universe import flatten_groups
 from tidemark.streaming import rate_stream, run_available
@@ -465,6 +475,51 @@ def landed_bars_mixed_headers(spark, sf_dir):
     return store.read(BARS)
 
 
+@query
+def landed_rates_batch(spark, sf_dir):
+    """Documents landed by order year, of which the batch of one year is loaded."""
+    orders = table(spark, sf_dir, "orders")
+    folder = scratch_path(spark, "landing")
+    for year in (1999, 2000):
+        chosen = orders.filter(F.year("o_orderdate") == year)
+        land_documents(parsed_rates(rate_documents(chosen)), folder, str(year))
+    store = _store(spark)
+    landing = rate_plans.RatesLanding(folder, folder, folder, batch="2000")
+    rows = silver.flatten_rates(landing.read(spark, folder, RATE_DOCUMENT, "rate_*_"))
+    append_new(store, rows, RATES)
+    return store.read(RATES)
+
+
+@query
+def landed_bars_quoted_headers(spark, sf_dir):
+    """Bars in files whose headers and values stand in quotes, after blanks."""
+    folder = scratch_path(spark, "bars")
+    rows = text_bars(spark, sf_dir).withColumnRenamed("close", " Close ").withColumnRenamed("date", "Date")
+    rows.write.option("header", True).option("quoteAll", True).csv(folder)
+    store = _store(spark)
+    bar_plans.rebuild_bars(store, folder, layout=None)
+    return store.read(BARS)
+
+
+@query
+def load_gate_per_key(spark, sf_dir):
+    """Whether the newest event is past the stored rate of the priority that lags most."""
+    store = _store(spark)
+    append_new(store, stored_rates(spark, sf_dir), RATES)
+    least = rate_plans.least_mark(store, RATES, "key")
+    return checks.load_gate(checks.latest_date(table(spark, sf_dir, "events"), "ts"), least)
+
+
+@query
+def rates_fetch_plan(spark, sf_dir):
+    """What to request of each priority since its last stored rate."""
+    known = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("code")).distinct()
+    stored = stored_rates(spark, sf_dir)
+    marks = incremental.watermark_per_key(stored, "currency_code", "exchange_date")
+    marks = marks.withColumnRenamed("currency_code", "code")
+    return planning.closed_fetch_plan(known, marks, "code", date(2001, 11, 1), incremental.RATES_START)
+
+
 @query
 def landed_rates_per_key(spark, sf_dir):
     """Stored rates, then a load of all documents past the watermark of each currency."""

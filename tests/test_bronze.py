@@ -1,5 +1,7 @@
 """Reading landed files (hazards H2 to H5, H11)."""
 
+import json
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -141,9 +143,59 @@ def test_h2_mixed_headers_are_read_by_name(spark, tmp_path):
     ]
 
 
-def test_mixed_bars_of_files_without_header_are_empty(spark, tmp_path):
-    put_text(tmp_path, "a.csv", "2025-01-02,1,2,3")
-    assert bronze.read_mixed_bars(spark, str(tmp_path)).isEmpty()
+def test_mixed_bars_of_files_without_header_are_refused_by_name(spark, tmp_path):
+    put_text(tmp_path, "good.csv", HISTORY_HEADER, "2025-01-02,12,13,14,15,70,MSFT")
+    put_text(tmp_path, "bad.csv", "2025-01-02,1,2,3")
+    with pytest.raises(ValueError, match="bad.csv") as error:
+        bronze.read_mixed_bars(spark, str(tmp_path))
+    assert "good.csv" not in str(error.value)
+
+
+def test_mixed_bars_with_quotes_blanks_and_a_ticker_named_close(spark, tmp_path):
+    put_text(tmp_path, "a.csv", "", '"Date","Open","Close","Volume","Ticker"', '2025-01-02,"1","2,5",3,"A ""B"""')
+    put_text(tmp_path, "b.csv", "Date, Open, High, Low, Close, Volume, Ticker", "2025-01-02, 1, 2, 3, 4, 5, CLOSE")
+    put_text(tmp_path, "c.csv", HISTORY_HEADER, "0001-01-01,4,3,2,1,5,close", "2025-01-03,4,3,2,1,5,close")
+    rows = sorted((r.symbol, r.date, r.open, r.close, r.high) for r in bronze.read_mixed_bars(spark, str(tmp_path)).collect())
+    assert rows == [
+        ('A "B"', "2025-01-02", "1", "2,5", None),
+        ("CLOSE", "2025-01-02", "1", "4", "2"),
+        ("close", "0001-01-01", "1", "4", "3"),
+        ("close", "2025-01-03", "1", "4", "3"),
+    ]
+
+
+def test_any_number_of_header_shapes(spark, tmp_path):
+    for i in range(40):
+        extra = ",".join(f"x{k}" for k in range(i))
+        put_text(tmp_path, f"{i}.csv", f"Date,Close,Ticker,{extra}", f"2025-01-02,{i + 1},T{i},{extra}")
+    rows = bronze.read_mixed_bars(spark, str(tmp_path)).collect()
+    assert sorted((r.symbol, r.close) for r in rows) == sorted((f"T{i}", str(i + 1)) for i in range(40))
+
+
+def test_both_forms_of_documents_side_by_side(spark, tmp_path):
+    put_json(tmp_path, "a.json", rates_a("USD", **{"2025-01-02": 4.0}))
+    one_a_line = [json.dumps(rates_a(c, **{"2025-01-02": 5.0})) for c in ("EUR", "CHF", "GBP")]
+    put_text(tmp_path, "b.json", "", *one_a_line)
+    put_json(tmp_path, "empty.json", "")
+    (tmp_path / "nothing.json").write_text("")
+    (tmp_path / "empty.json").write_text("\n \n")
+    found = rows_of(silver.flatten_rates(bronze.read_rates(spark, str(tmp_path))))
+    assert [r[0] for r in found] == ["CHF", "EUR", "GBP", "USD"]
+    only_lines = silver.flatten_rates(bronze.read_rates(spark, f"{tmp_path}/b.json", multiline=False))
+    assert only_lines.count() == 3
+
+
+def test_landed_documents_load_by_batch(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    for code, end in (("EUR", "2025-01-02"), ("USD", "2025-01-02"), ("EUR", "2025-01-03")):
+        document = payloads.rate_document(spark, {"code": code, "rates": [{"effectiveDate": end, "mid": 4.0}] * 2})
+        landing.land_documents(document.union(document), path, end)
+    assert silver.flatten_rates(bronze.read_rates(spark, path)).count() == 12
+    batch = silver.flatten_rates(bronze.read_batch(spark, path, RATE_DOCUMENT, "rate_*_", "2025-01-02"))
+    assert sorted({(r.currency_code, str(r.exchange_date)) for r in batch.collect()}) == [("EUR", "2025-01-02"), ("USD", "2025-01-02")]
+    assert batch.count() == 8
+    with pytest.raises(FileNotFoundError, match="2025-01-09"):
+        bronze.read_batch(spark, path, RATE_DOCUMENT, "rate_*_", "2025-01-09")
 
 
 def test_increment_layout(spark, tmp_path):

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 
 from tidemark.schemas import BARS, RATES
-from tidemark.sources.stores import JdbcStore, max_date_query
+from tidemark.sources.stores import JdbcStore, max_date_query, table_missing
 
 OPTIONS = {"url": "jdbc:postgresql://host/db", "user": "u", "password": "p", "driver": "d"}
 
@@ -51,3 +51,19 @@ def test_watermark_queries_are_valid_sql(spark):
     assert ask("trade_date", "ticker", "C") == [(date(2025, 1, 3),)]
     assert ask("trade_date", "ticker") == [("A'B", date(2025, 1, 5)), ("C", date(2025, 1, 3))]
     assert max_date_query("t", "d", "k", "A'B").endswith("WHERE k = 'A''B') sub")
+
+
+@pytest.mark.parametrize(
+    ("state", "missing"), [("42P01", True), ("42S02", True), ("28000", False), (None, False)]
+)
+def test_a_missing_table_is_told_by_the_sql_error_however_deep(spark, state, missing):
+    class Raised(Exception):
+        def __init__(self, cause):
+            self.java_exception = cause
+
+    jvm = spark.sparkContext._jvm
+    error = jvm.java.sql.SQLException("no such table", state)
+    assert table_missing(spark, Raised(error)) is missing
+    wrapped = jvm.java.lang.RuntimeException("outer", jvm.java.lang.IllegalStateException("inner", error))
+    assert table_missing(spark, Raised(wrapped)) is missing
+    assert table_missing(spark, Raised(jvm.java.lang.RuntimeException("no sql"))) is False

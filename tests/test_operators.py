@@ -337,22 +337,15 @@ def test_top_keys_break_ties_by_key(spark):
 
 def test_universe_sizes(spark):
     assert len(universe.CURRENCIES) == 30
-    sizes = [
-        sum(map(len, groups.values()))
-        for groups in (
-            universe.HISTORY_GROUPS,
-            universe.increment_groups(),
-            universe.scheduled_groups(),
-        )
-    ]
-    assert sizes == [125, 121, 126]
-    assert universe.instruments(spark, universe.scheduled_groups()).count() == 126
+    groups = (universe.HISTORY_GROUPS, universe.INCREMENT_GROUPS)
+    assert [sum(map(len, g.values())) for g in groups] == [125, 121]
+    assert len(set(universe.SCHEDULED)) == len(universe.SCHEDULED) == 126
+    assert universe.instruments(spark, universe.HISTORY_GROUPS).count() == 125
     assert universe.currencies(spark).count() == 30
 
 
-def test_listing_order(spark):
-    listed = universe.instruments(spark, universe.scheduled_groups())
-    order = [r.ticker for r in listed.orderBy(universe.listing_order()).collect()]
+def test_scheduled_order(spark):
+    order = [r.ticker for r in universe.scheduled(spark).orderBy("position").collect()]
     assert order[:3] == ["11B.WA", "AAPL", "ABBV"]
     assert order[order.index("DBC") + 1] == "^DJI"
     assert order[order.index("UNH") + 1 :][:2] == ["UNI7083-USD", "UNI-USD"]

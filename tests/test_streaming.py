@@ -24,7 +24,7 @@ def test_stream_equals_batch_and_second_run_adds_nothing(spark, store, tmp_path)
     checkpoint = str(tmp_path / "checkpoint")
 
     def run():
-        stream = streaming.rate_stream(spark, folder)
+        stream = streaming.rate_stream(spark, folder, multiline=True)
         return sum(r.n_rows for r in streaming.run_available(stream, store, RATES, checkpoint))
 
     assert run() == 3
@@ -39,7 +39,7 @@ def test_stream_equals_batch_and_second_run_adds_nothing(spark, store, tmp_path)
 def test_replayed_files_add_nothing(spark, store, tmp_path):
     folder = put_json(tmp_path / "in", "usd.json", rates_a("USD", **{"2025-01-02": 4.1}))
     for n in range(2):
-        stream = streaming.rate_stream(spark, folder)
+        stream = streaming.rate_stream(spark, folder, multiline=True)
         results = streaming.run_available(stream, store, RATES, str(tmp_path / f"lost{n}"))
         assert sum(r.n_rows for r in results) == (1 if n == 0 else 0)
 
@@ -50,7 +50,7 @@ def test_stream_behind_a_watermark(spark, store, tmp_path):
     days = {"2025-01-01": 4.0, "2025-01-03": 4.1}
     folder = put_json(tmp_path / "in", "usd.json", rates_a("USD", **days))
     streaming.run_available(
-        streaming.rate_stream(spark, folder),
+        streaming.rate_stream(spark, folder, multiline=True),
         store,
         RATES,
         str(tmp_path / "checkpoint"),
@@ -68,8 +68,8 @@ def test_the_other_streams(spark, store, tmp_path):
         "2025-01-03,0,2,1,1.25,70,AAPL",
     )
     streams = {
-        SPREADS: streaming.spread_stream(spark, mixed, only="spread_*.json"),
-        GOLD: streaming.gold_stream(spark, mixed, only="gold_*.json"),
+        SPREADS: streaming.spread_stream(spark, mixed, only="spread_*.json", multiline=True),
+        GOLD: streaming.gold_stream(spark, mixed, only="gold_*.json", multiline=True),
         BARS: streaming.bar_stream(spark, bars, HISTORY_BARS),
     }
     counts = {}

@@ -48,6 +48,18 @@ def fetch_plan(
     return plan.withColumn("end_date", F.lit(as_of)).filter(F.col("start_date") < F.lit(as_of))
 
 
+def closed_fetch_plan(
+    known: DataFrame, marks: DataFrame, key: str, source_date: date, default: date
+) -> DataFrame:
+    """(key, start_date, end_date) for each key that lags behind its source: the day after
+    its watermark, or after the default, to the date of the source. Both ends are asked
+    for."""
+    placed = known.select(key).distinct().join(marks.select(key, "watermark"), key, "left")
+    start = days_after(or_default(F.col("watermark"), default), 1)
+    plan = placed.select(key, start.alias("start_date"), F.lit(source_date).alias("end_date"))
+    return plan.filter(F.col("start_date") <= F.col("end_date"))
+
+
 def backfill_plan(
     instruments: DataFrame, landed: DataFrame, key: str, first_year: int, last_year: int
 ) -> DataFrame:

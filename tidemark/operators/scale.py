@@ -16,11 +16,18 @@ HEAVY_SHARE = 1000
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Bytes of the values in ``df``: text by its length, other columns by width."""
+    """Bytes of the values in ``df``: text by its length, nested values by the length of
+    their JSON text with a width for each element, other columns by width."""
     per_row = F.lit(0).cast("long")
     for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            per_row = per_row + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+            per_row = per_row + F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(F.struct(column))
+            # A number of one digit takes eight bytes, so a comma counts for sixteen.
+            commas = F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+            per_row = per_row + F.octet_length(text) + 16 * commas + 16
         else:
             per_row = per_row + 16
     return df.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]

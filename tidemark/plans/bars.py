@@ -14,7 +14,7 @@ from tidemark.operators.silver import clean_bars
 from tidemark.schemas import API_BARS, BARS, HISTORY_BARS, INCREMENT_BARS, PRICE_TYPE, BarLayout
 from tidemark.sources.bronze import Paths, read_bars, read_mixed_bars
 from tidemark.sources.stores import FactStore, LoadResult, append_new
-from tidemark.sources.universe import instruments, listing_order, scheduled_groups
+from tidemark.sources.universe import scheduled
 
 # Instrument whose last bar tells whether a session is complete.
 PROXY_TICKER = "AAPL"
@@ -77,13 +77,15 @@ def plan_bar_fetch(
     universe: DataFrame | None = None,
     size: int = PACKAGE_SIZE,
 ) -> DataFrame:
-    """Packages of the scheduled universe that lag, with the range to request."""
-    known = instruments(store.spark, scheduled_groups()) if universe is None else universe
+    """Packages of the scheduled universe that lag, with the range to request. Packages
+    follow the column ``position``; a universe without one is taken by ticker."""
+    known = scheduled(store.spark) if universe is None else universe
+    placed = [c for c in ("position", "ticker") if c in known.columns]
     return fetch_plan(
-        known.select("ticker"),
+        known.select(*placed),
         store.watermark_per_key(BARS),
         "ticker",
         as_of,
-        order=[listing_order()],
+        order=placed,
         size=size,
     )

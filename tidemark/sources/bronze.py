@@ -2,12 +2,12 @@
 
 Schemas are explicit, so a number keeps its type whatever else is in the scan and no
 extra pass infers anything. JSON is read in FAILFAST mode: a malformed document is an
-error, not a document without rates.
+error, not a document without rates. So is a pattern that no file matches, and a bar file
+whose header is not one of bars.
 """
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -27,10 +27,6 @@ from tidemark.session import settle
 
 Paths = str | Sequence[str]
 
-# Header shapes one folder may mix; more than this is taken for unheadered files.
-MAX_HEADER_SHAPES = 32
-
-
 def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
@@ -41,37 +37,133 @@ def json_options(reader, schema: T.StructType, only: str | None, multiline: bool
     return reader.option("pathGlobFilter", only) if only else reader
 
 
-def _documents(
-    spark: SparkSession, paths: Paths, schema: T.StructType, only: str | None, multiline: bool
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that a pattern names, as the file system lists them."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(target)
+    return [status.getPath().toString() for status in found or ()]
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    return "*" not in path and "{" not in path and files.exists(target) and files.getFileStatus(target).isDirectory()
+
+
+def _first_lines(lines: DataFrame, name: str) -> DataFrame:
+    """(file, ``name``): the first line of each file that is not blank, from (file, block,
+    value). A file's first block is read by one task, in order."""
+    told = lines.filter((F.trim("value") != "") & (F.col("block") == 0))
+    told = told.withColumn("_at", F.monotonically_increasing_id())
+    return told.groupBy("file").agg(F.min_by("value", "_at").alias(name))
+
+
+def _forms(spark: SparkSession, paths: list[str], only: str | None) -> dict[bool, list[str]]:
+    """Files by form: True for one document over several lines, False for one a line.
+
+    The first line of a file that is not blank tells: it is a whole document or it is not.
+    """
+    reader = spark.read.option("pathGlobFilter", only) if only else spark.read
+    lines = reader.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
+    )
+    firsts = _first_lines(lines, "line")
+    whole = F.get_json_object("line", "$").isNotNull()
+    forms = firsts.groupBy((~whole).alias("spread")).agg(F.collect_list("file").alias("files"))
+    # The driver lists the files of a read in any case.
+    return {r.spread: r.files for r in forms.collect()}
+
+
+def read_documents(
+    spark: SparkSession,
+    paths: Paths,
+    schema: T.StructType,
+    only: str | None = None,
+    multiline: bool | None = None,
+) -> DataFrame:
+    """Documents of files that hold one over several lines or one a line. With a pattern in
+    ``paths``, name files or the last folders: partition values above are not told apart."""
+
+    def read(some: list[str], form: bool, **options: str) -> DataFrame:
+        return json_options(spark.read.options(**options), schema, only, form).json(some)
+
+    given = _paths(paths)
+    if multiline is not None:
+        return read(given, multiline)
+    parts = []
+    for path in given:
+        # Files are named one by one; the base path tells which of their folders are values.
+        base = {"basePath": path} if _is_folder(spark, path) else {}
+        parts += [read(files, form, **base) for form, files in _forms(spark, [path], only).items()]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    whole = parts[0].select(*schema.fieldNames())
+    for part in parts[1:]:
+        whole = whole.unionByName(part.select(*schema.fieldNames()))
+    return whole
+
+
+def batch_paths(spark: SparkSession, paths: Paths, prefix: str, batch: str) -> list[str]:
+    """Where the documents of one batch lie: files named by prefix and batch, and folders
+    of the period as the landing writes them. None at all is an error."""
+    wanted = []
+    for path in _paths(paths):
+        root = path.rstrip("/")
+        for pattern in (f"{root}/{prefix}{batch}.json", f"{root}/code=*/period={batch}", f"{root}/period={batch}"):
+            wanted += matching(spark, pattern)
+    if not wanted:
+        raise FileNotFoundError(f"nothing has landed for {prefix}{batch} in {paths}")
+    return wanted
+
+
+def read_batch(
+    spark: SparkSession, paths: Paths, schema: T.StructType, prefix: str, batch: str
 ) -> DataFrame:
-    reader: DataFrameReader = json_options(spark.read, schema, only, multiline)
-    return reader.json(_paths(paths))
+    """All documents of one batch, of whichever form; the code of a folder is the code of
+    its documents."""
+    wanted = batch_paths(spark, paths, prefix, batch)
+    files = [p for p in wanted if p.endswith(".json")]
+    parts = [read_documents(spark, files, schema)] if files else []
+    for folder in (p for p in wanted if not p.endswith(".json")):
+        code = folder.rpartition("/code=")[2].partition("/")[0] if "/code=" in folder else None
+        part = read_documents(spark, folder, schema)
+        if code is not None and "code" in schema.fieldNames():
+            part = part.withColumn("code", F.coalesce("code", F.url_decode(F.lit(code))))
+        parts.append(part.select(*schema.fieldNames()))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def read_rates(
-    spark: SparkSession, paths: Paths, only: str | None = None, multiline: bool = True
+    spark: SparkSession, paths: Paths, only: str | None = None, multiline: bool | None = None
 ) -> DataFrame:
     """Mid-rate documents of one or more folders; ``only`` is a file name pattern such
-    as ``rate_*_2025-01-03.json`` for the files of one batch. Files of one document per
-    line need ``multiline=False``."""
-    return _documents(spark, paths, RATE_DOCUMENT, only, multiline)
+    as ``rate_*_2025-01-03.json``. Files may hold one document over several lines, or one
+    a line; ``multiline`` saves the look at their first lines where all are of one form."""
+    return read_documents(spark, paths, RATE_DOCUMENT, only, multiline)
 
 
 def read_spreads(
-    spark: SparkSession, paths: Paths, only: str | None = None, multiline: bool = True
+    spark: SparkSession, paths: Paths, only: str | None = None, multiline: bool | None = None
 ) -> DataFrame:
-    return _documents(spark, paths, SPREAD_DOCUMENT, only, multiline)
+    return read_documents(spark, paths, SPREAD_DOCUMENT, only, multiline)
 
 
 def read_gold(
-    spark: SparkSession, paths: Paths, only: str | None = None, multiline: bool = True
+    spark: SparkSession, paths: Paths, only: str | None = None, multiline: bool | None = None
 ) -> DataFrame:
-    return _documents(spark, paths, GOLD_DOCUMENT, only, multiline)
+    return read_documents(spark, paths, GOLD_DOCUMENT, only, multiline)
 
 
-def read_snapshot(spark: SparkSession, paths: Paths) -> DataFrame:
+def read_snapshot(spark: SparkSession, paths: Paths, multiline: bool | None = None) -> DataFrame:
     """Snapshots of a whole table, of which only the effective date is read."""
-    return _documents(spark, paths, TABLE_SNAPSHOT, None, True)
+    return read_documents(spark, paths, TABLE_SNAPSHOT, None, multiline)
 
 
 def parse_documents(texts: DataFrame, column: str, schema: T.StructType) -> DataFrame:
@@ -96,53 +188,55 @@ def read_bars(spark: SparkSession, paths: Paths, layout: BarLayout) -> DataFrame
     )
 
 
+# The names a column of bars may have. The date has three: "price" stands over the dates
+# of history files.
+BAR_NAMES = {
+    "symbol": ("ticker", "symbol"),
+    "date": ("date", "price"),
+    "open": ("open",),
+    "high": ("high",),
+    "low": ("low",),
+    "close": ("close",),
+    "volume": ("volume",),
+}
+
+
+def _cells(line: Column) -> Column:
+    """The cells of a CSV line, without the quotes around them."""
+    cells = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit('("(?:[^"]|"")*"|[^,]*),'), F.lit(1))
+
+    def bare(cell: Column) -> Column:
+        cell = F.trim(cell)
+        inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        return F.when(cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1), inner).otherwise(cell)
+
+    return F.transform(cells, bare)
+
+
 def read_mixed_bars(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Bar files whose headers differ in order or in extra columns, as text columns of
-    the vendor layout. Every row is read by the header of its own file."""
-    lines = spark.read.text(_paths(paths)).select(
-        F.col("_metadata.file_path").alias("file"), "value"
-    )
-    # The plain search spares most lines the pattern.
-    lower = F.lower("value")
-    names_close = lower.contains("close") & lower.rlike("(^|,)close(,|$)")
-    headers = settle(
-        lines.filter(names_close).groupBy("file").agg(F.min("value").alias("header"))
+    """Bar files whose headers differ in order, in quotes or in extra columns, as text
+    columns of the vendor layout. Every row is read by the header of its own file: the
+    first line that is not blank. A file whose header names no date or no close is an error.
+    """
+    lines = spark.read.text(_paths(paths)).filter(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
     )
-    shapes = headers.select("header").distinct().limit(MAX_HEADER_SHAPES + 1).collect()
-    if len(shapes) > MAX_HEADER_SHAPES:
-        raise ValueError(f"more than {MAX_HEADER_SHAPES} different headers in {paths}")
-    # Lines of a file without a header compare with NULL and go.
-    rows = lookup_join(lines, headers, "file").filter(F.col("value") != F.col("header"))
-    bar: Column = F.lit(None)
-    for (header,) in shapes:
-        bar = F.when(F.col("header") == header, _bar_of(header)).otherwise(bar)
-    if not shapes:
-        bar = bar.cast(_text_struct())
-    return rows.select(F.inline(F.array(bar)))
-
-
-def _text_struct() -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in API_BARS.needed])
-
-
-def _bar_of(header: str) -> Column:
-    """The text line as a bar, given the header of its file."""
-    names = [name.strip().lower() or f"_c{i}" for i, name in enumerate(next(csv.reader([header])))]
-    # The date has three names: "price" stands over the dates of history files.
-    known = {
-        "symbol": ("ticker", "symbol"),
-        "date": ("date", "price"),
-        "open": ("open",),
-        "high": ("high",),
-        "low": ("low",),
-        "close": ("close",),
-        "volume": ("volume",),
-    }
-    shape = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(names))])
-    line = F.from_csv("value", shape.simpleString()[len("struct<") : -1].replace(":", " "))
-    fields = []
-    for field, aliases in known.items():
-        found = next((names.index(a) for a in aliases if a in names), None)
-        value = F.lit(None).cast("string") if found is None else line[f"f{found}"]
-        fields.append(value.alias(field))
-    return F.struct(*fields)
+    first = _first_lines(lines, "header")
+    names = F.transform(_cells(F.col("header")), lambda n: F.lower(F.trim(n)))
+    headers = settle(first.select("file", "header", names.alias("names")))
+    lacking = [~F.arrays_overlap("names", F.array(*map(F.lit, BAR_NAMES[k]))) for k in ("date", "close")]
+    odd = [r.file for r in headers.filter(lacking[0] | lacking[1]).select("file").limit(20).collect()]
+    if odd:
+        raise ValueError(f"no header of bars in {', '.join(odd)}")
+    rows = lookup_join(lines.drop("block"), headers, "file").filter(F.col("value") != F.col("header"))
+    cells = rows.select("names", _cells(F.col("value")).alias("cells"))
+
+    def named(aliases: Sequence[str]) -> Column:
+        found = [F.array_position("names", a).cast("int") for a in aliases]
+        place = F.coalesce(*[F.when(p > 0, p) for p in found])
+        value = F.try_element_at("cells", place)
+        return F.when(value != "", value)
+
+    return cells.select(*(named(BAR_NAMES[n]).alias(n) for n in API_BARS.needed))

@@ -10,7 +10,9 @@ from dataclasses import asdict, dataclass, field
 from datetime import date
 from typing import Protocol
 
+from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -173,11 +175,14 @@ class ParquetStore:
 MISSING_TABLE_STATES = {"42P01", "42S02"}
 
 
-def _table_missing(error: Py4JJavaError) -> bool:
-    cause = error.java_exception
+def table_missing(spark: SparkSession, error: Exception) -> bool:
+    """Whether a SQL error among the causes says that the table does not exist."""
+    gateway = spark.sparkContext._gateway
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
     while cause is not None:
-        if hasattr(cause, "getSQLState") and cause.getSQLState() in MISSING_TABLE_STATES:
-            return True
+        if is_instance_of(gateway, cause, "java.sql.SQLException"):
+            if cause.getSQLState() in MISSING_TABLE_STATES:
+                return True
         cause = cause.getCause()
     return False
 
@@ -240,8 +245,8 @@ class JdbcStore:
     def _stored(self, options: Mapping[str, str]) -> DataFrame | None:
         try:
             return self.spark.read.format("jdbc").options(**options).load()
-        except Py4JJavaError as error:
-            if not _table_missing(error):
+        except (Py4JJavaError, PySparkException) as error:
+            if not table_missing(self.spark, error):
                 raise
             return None
 

@@ -26,38 +26,64 @@ from tidemark.sources.stores import FactStore, LoadResult, append_new
 
 Transform = Callable[[DataFrame], DataFrame]
 
-# Files per micro-batch, which bounds the size of one append.
-FILES_PER_BATCH = 10_000
+
+def _reader(spark: SparkSession, files: int | None):
+    """``files`` bounds a micro-batch; without it, one takes whatever has landed."""
+    return spark.readStream.option("maxFilesPerTrigger", files) if files else spark.readStream
 
 
 def _json_stream(
-    spark: SparkSession, path: str, schema: T.StructType, only: str | None, multiline: bool
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    only: str | None,
+    multiline: bool,
+    files: int | None,
 ) -> DataFrame:
-    reader = spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH)
-    return json_options(reader, schema, only, multiline).json(path)
+    """A stream reads files of one form. Documents over several lines in a stream of
+    one a line are an error; the other way round all but the first would be lost, so that
+    form has to be asked for."""
+    return json_options(_reader(spark, files), schema, only, multiline).json(path)
 
 
 def rate_stream(
-    spark: SparkSession, path: str, only: str | None = None, multiline: bool = True
+    spark: SparkSession,
+    path: str,
+    only: str | None = None,
+    multiline: bool = False,
+    files: int | None = None,
 ) -> DataFrame:
-    return flatten_rates(_json_stream(spark, path, RATE_DOCUMENT, only, multiline))
+    return flatten_rates(_json_stream(spark, path, RATE_DOCUMENT, only, multiline, files))
 
 
 def spread_stream(
-    spark: SparkSession, path: str, only: str | None = None, multiline: bool = True
+    spark: SparkSession,
+    path: str,
+    only: str | None = None,
+    multiline: bool = False,
+    files: int | None = None,
 ) -> DataFrame:
-    return flatten_spreads(_json_stream(spark, path, SPREAD_DOCUMENT, only, multiline))
+    return flatten_spreads(_json_stream(spark, path, SPREAD_DOCUMENT, only, multiline, files))
 
 
 def gold_stream(
-    spark: SparkSession, path: str, only: str | None = None, multiline: bool = True
+    spark: SparkSession,
+    path: str,
+    only: str | None = None,
+    multiline: bool = False,
+    files: int | None = None,
 ) -> DataFrame:
-    return normalise_gold(_json_stream(spark, path, GOLD_DOCUMENT, only, multiline))
+    return normalise_gold(_json_stream(spark, path, GOLD_DOCUMENT, only, multiline, files))
 
 
-def bar_stream(spark: SparkSession, path: str, layout: BarLayout = HISTORY_BARS) -> DataFrame:
+def bar_stream(
+    spark: SparkSession,
+    path: str,
+    layout: BarLayout = HISTORY_BARS,
+    files: int | None = None,
+) -> DataFrame:
     rows = (
-        spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH)
+        _reader(spark, files)
         .schema(layout.schema)
         .option("header", True)
         .option("enforceSchema", False)
