@@ -25,6 +25,7 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -34,12 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import table, with_columns
+from tidemark.llm.common import in_arrow, table, with_columns
 
 #: Characters of a text that are taken at a time; a slice ends at white space.
 SLICE = 1 << 16
 #: Distinct stretches without white space whose tokens a worker remembers, and the longest.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 250_000, 64
 _NEVER = 1 << 60
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")
@@ -310,8 +311,8 @@ def _mapped(df: DataFrame, column: str, made: dict[str, T.DataType], each) -> Da
 
         convert = each()
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
+            for start in range(0, whole.num_rows, 128):
+                batch = whole.slice(start, 128)
                 rows = [convert(v.as_py()) for v in batch.column(at)]
                 columns = [
                     pa.array([r[k] for r in rows], to_arrow_type(kind)) for k, kind in enumerate(made.values())
@@ -320,7 +321,7 @@ def _mapped(df: DataFrame, column: str, made: dict[str, T.DataType], each) -> Da
                     [*[batch.column(i) for i in rest], *columns], [*[batch.schema.names[i] for i in rest], *made]
                 )
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def encode(df: DataFrame, words: Broadcast, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -329,7 +330,7 @@ def encode(df: DataFrame, words: Broadcast, text: str = "text", ids: str = "ids"
 
     def each():
         bpe = _load(words.value)
-        return lambda value: (list(bpe.encode(value)),)
+        return lambda value: (np.fromiter(bpe.encode(value), np.int32),)
 
     return _mapped(df, text, {ids: T.ArrayType(T.IntegerType())}, each)
 

@@ -20,6 +20,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Rows, and bytes, of an Arrow batch: texts can be long, and a batch is held several times.
+BATCH = {"maxRecordsPerBatch": 1000, "maxBytesPerBatch": 8 << 20}
+
+
+def in_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
+    """`mapInArrow` with batches that are small enough for long texts; where the session
+    asks for smaller ones, these stay."""
+    conf = df.sparkSession.conf
+    for name, most in BATCH.items():
+        now = conf.get(f"spark.sql.execution.arrow.{name}", None)
+        digits = (now or "").rstrip("b")
+        if not digits.isdigit() or not 0 < int(digits) <= most:
+            conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+    return df.mapInArrow(function, schema)
+
+
 def row_hash(df: DataFrame, *salts: int | str) -> Column:
     """64 bits of all columns of a row; columns that hold maps have no hash and are left out."""
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]

@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, row_hash, table
+from tidemark.llm.common import held_out, in_arrow, row_hash, table
 from tidemark.llm.sampling import stratified
 
 N_MAX = 4
 FEATURES = 1 << 16
-#: Sample texts of a language, of which an equal share serves as landmarks.
-FIT_TEXTS, LANDMARKS = 300, 256
+#: Sample texts of a language, and of all languages, at most; and landmarks among them.
+FIT_TEXTS, FIT_MOST, LANDMARKS = 300, 1500, 256
 RIDGE = 1e-2
 UNDETERMINED = "und"
 #: Characters that are hashed at a time.
@@ -100,18 +100,18 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_language(df: DataFrame, text: str = "text", lang: str = "lang", each: int = FIT_TEXTS) -> LanguageModel:
     """Model from the labelled rows of `df`: about `each` texts of every language (of up
-    to 256 languages), chosen by a hash. What comes to the driver is, for each of them, its
-    features, 128 KB at most. Null languages and texts without letters are not learned
+    to 256 languages) and `FIT_MOST` in all, chosen by a hash. What comes to the driver is,
+    for each of them, its features, 128 KB at most. Null languages and texts without letters are not learned
     from. Without any labelled text the model knows no language.
     """
     labelled = df.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     place = row_hash(labelled, "language")
-    chosen, sizes = stratified(labelled, "lang", each, place)
+    chosen, sizes = stratified(labelled, "lang", each, place, FIT_MOST)
     if not sizes:
         return LanguageModel((), np.zeros((FEATURES, 0), np.float32))
-    rows = chosen.withColumn("place", place).mapInArrow(
-        _sample_rows, "found binary, lang string, place long"
+    rows = in_arrow(
+        chosen.withColumn("place", place), _sample_rows, "found binary, lang string, place long"
     ).collect()
     rows.sort(key=lambda r: (r.place, r.lang))
     languages = tuple(sorted({r.lang for r in rows}))
@@ -165,7 +165,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
                     [*[batch.schema.names[i] for i in rest], "lang_pred", "score"],
                 )
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def op1_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed, kept, table
+from tidemark.llm.common import in_arrow, keyed, kept, table
 from tidemark.llm.graph import components
 from tidemark.llm.words import Words, mix, signed, words_of
+from tidemark.llm.words import gathered as joined
 
 LENGTH = 5
 #: The similarity, as a fraction.
@@ -162,20 +163,17 @@ def describe(docs: DataFrame, length: int, bands: Bands) -> DataFrame:
                     ["_node", "_id", "n", "set", "weak"],
                 )
 
-    return docs.select("_node", "_id", "text").mapInArrow(run, "_node long, _id long, n long, set long, weak array<int>")
+    return in_arrow(docs.select("_node", "_id", "text"), run, "_node long, _id long, n long, set long, weak array<int>")
 
 
 def signatures(docs: DataFrame, length: int, bands: Bands, levels: dict[int, int]) -> DataFrame:
     """`key` (hash of a segment), `_node`, `code`: of the set, its size (times two, plus
     the side) and, from bit 32 on, how many of its segments a linked set must share.
-
-    A set that a task has seen before is not sent again.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             nodes = np.asarray(batch.column(0)).astype(np.int64)
-            out = []
             for words in words_of(batch.column(1), fold=True):
                 hashes, first = sets_of(words, length)
                 size = np.diff(first)
@@ -187,7 +185,7 @@ def signatures(docs: DataFrame, length: int, bands: Bands, levels: dict[int, int
                     level = np.array([levels.get(int(b), 1) for b in band])
                     share = np.where(level > 1, 0, np.maximum(parts.filled - differ, 0))
                     code = (share.astype(np.int64) << 32) | (size << 1) | side
-                    out.append((parts.hash, node[parts.owner], code[parts.owner]))
+                    yield parts.hash, node[parts.owner], code[parts.owner]
                     gram_owner = parts.owner[parts.gram_segment]
                     if (level > 1).any():
                         use = level[gram_owner] > 1
@@ -195,18 +193,19 @@ def signatures(docs: DataFrame, length: int, bands: Bands, levels: dict[int, int
                         # A segment of one n-gram, without it, is empty and says nothing.
                         alone = np.bincount(parts.gram_segment, minlength=len(parts.owner))[parts.gram_segment] == 1
                         use2 = ~alone[use]
-                        out.append((less[use2], node[gram_owner[use]][use2], code[gram_owner[use]][use2]))
+                        yield less[use2], node[gram_owner[use]][use2], code[gram_owner[use]][use2]
                     if (level > 2).any():
                         use = level[gram_owner] > 2
                         single = mix(parts.grams[use] ^ np.uint64(0x2545F4914F6CDD1D))
-                        out.append((single, node[gram_owner[use]], code[gram_owner[use]]))
-            if out:
-                key, node, code = map(np.concatenate, zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(key)), pa.array(node), pa.array(code)], ["key", "_node", "code"]
-                )
+                        yield single, node[gram_owner[use]], code[gram_owner[use]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, node, code in joined(found_in(batches)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(key)), pa.array(node), pa.array(code)], ["key", "_node", "code"]
+            )
 
-    return docs.select("_node", "text").mapInArrow(run, "key long, _node long, code long")
+    return in_arrow(docs.select("_node", "text"), run, "key long, _node long, code long")
 
 
 
@@ -241,7 +240,7 @@ def gathered(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     ["_node", "grams"],
                 )
 
-    found = docs.select("_node", "text").mapInArrow(run, "_node long, grams binary")
+    found = in_arrow(docs.select("_node", "text"), run, "_node long, grams binary")
     # A repeated row of the table gives its set once.
     return found.join(wanted, "_node", "left_semi").dropDuplicates(["_node"])
 
@@ -261,7 +260,7 @@ def linked(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
 
     first = pairs.join(sets.select(F.col("_node").alias("a"), F.col("grams").alias("x")), "a")
     second = first.join(sets.select(F.col("_node").alias("b"), F.col("grams").alias("y")), "b")
-    return second.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return in_arrow(second.select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def _forest(links: np.ndarray) -> list[tuple[int, int]]:
@@ -346,7 +345,7 @@ def compared(clusters: DataFrame, sets: DataFrame, classes: DataFrame, bands: Ba
         "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "_node", "c", "own", "grams"
     )
     order = ("cluster", "i", "j")
-    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
+    return in_arrow(dealt.repartition(*order).sortWithinPartitions(*order), run, "a long, b long")
 
 
 def _fits(n: str, m: str, bands: Bands):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import in_arrow, table
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "around", "heading")
 
@@ -285,7 +285,7 @@ def extract(df: DataFrame, page: str = "html", text: str = "text") -> DataFrame:
                     [*[batch.schema.names[i] for i in rest], text],
                 )
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def op8_text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

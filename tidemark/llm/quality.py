@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import held_out, in_arrow, table
 from tidemark.llm.sampling import stratified
 
 BLOCK = 2048
@@ -129,15 +129,15 @@ def fit_quality(documents: DataFrame, labels: DataFrame, each: int = FIT_DOCUMEN
         .filter(F.col("label") == F.col("most"))
         .select("doc_id", "label")
     )
-    chosen, sizes = stratified(sure, "label", each, F.xxhash64(F.lit("quality"), "doc_id"))
+    chosen, sizes = stratified(sure, "label", each, F.xxhash64(F.lit("quality"), "doc_id"), 2 * each)
     prior = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 1)
     if not (sizes.get(0) and sizes.get(1)):
         return QualityModel(prior)
     # The ids of a bounded sample: about 2 * each rows of two numbers.
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     turn = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("turn")
-    found = rows.select("text", "label", turn).mapInArrow(
-        _fit_blocks, "label int, turn long, blocks array<binary>"
+    found = in_arrow(
+        rows.select("text", "label", turn), _fit_blocks, "label int, turn long, blocks array<binary>"
     ).collect()
     found.sort(key=lambda r: (r.label, r.turn, r.blocks))
     words = {}
@@ -186,7 +186,7 @@ def score_quality(df: DataFrame, model: QualityModel, text: str = "text", score:
                 [*[batch.schema.names[i] for i in rest], score],
             )
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,12 +11,14 @@ from tidemark.llm.common import unit
 MOST_STRATA = 256
 
 
-def stratified(df: DataFrame, stratum: str, each: int, place: Column) -> tuple[DataFrame, dict]:
-    """About `each` rows of every value of `stratum` (all, if it has no more), chosen by
-    the hash `place`; and how many rows each value has. Rows without a value are left out.
+def stratified(
+    df: DataFrame, stratum: str, each: int, place: Column, most: int
+) -> tuple[DataFrame, dict]:
+    """About `each` rows of every value of `stratum` (all, if it has no more; fewer of each,
+    if there would be over `most` in all), chosen by the hash `place`; and how many rows
+    each value has. Rows without a value are left out.
 
-    What comes back is bounded by `each` times `MOST_STRATA` rows, up to the scatter of
-    hashing, and is spread over the tasks as the rows were: nothing is sorted or moved.
+    What comes back is bounded by `most` rows, up to the scatter of hashing, and is spread over the tasks as the rows were: nothing is sorted or moved.
     """
     counts = (
         df.filter(F.col(stratum).isNotNull())
@@ -29,5 +31,6 @@ def stratified(df: DataFrame, stratum: str, each: int, place: Column) -> tuple[D
     sizes = {r[0]: r[1] for r in counts}
     if not sizes:
         return df.filter(F.lit(False)), sizes
+    each = max(1, min(each, most // len(sizes)))
     shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, each / n))])
     return df.filter(unit(place) < F.coalesce(shares[F.col(stratum)], F.lit(0.0))), sizes

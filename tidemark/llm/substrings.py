@@ -8,8 +8,8 @@ equal windows share a run that is hashed at both places, as long as a run and a
 in the window together. Runs that occur once are then out; around each of the others the
 windows that hold it are hashed whole, and the first place of each hash is found.
 
-A batch hands on one place of a hash; further places in the same batch are known to be
-repeats at once. So a passage that a third of all documents share sends one row a batch.
+Of a few hundred thousand places a task hands on one for each hash; the others are known to
+be repeats at once. So a passage that a third of all documents share sends few rows.
 Of texts that are equal as a whole only the first is looked at: all windows of the others
 start earlier in it, and so does whatever else they could be compared with.
 """
@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ids_tell, keyed, kept, table
-from tidemark.llm.words import mix, signed, words_of
+from tidemark.llm.common import ids_tell, in_arrow, keyed, kept, table
+from tidemark.llm.words import gathered, mix, signed, words_of
 
 WINDOW = 20
 #: Perfect difference sets. Every remainder is a difference of two members.
@@ -59,22 +59,21 @@ def _own_key(hashes: np.ndarray, known: np.ndarray, *place: np.ndarray) -> np.nd
 
 def anchors(docs: DataFrame, window: int) -> DataFrame:
     """Anchor runs of all documents: `key`, `_node`, `spot`: its word times two, plus 1 if
-    the run was seen more than once in the batch."""
+    the task has just seen the run more than once."""
     period, marks, length = cover_for(window)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             nodes = np.asarray(batch.column(2)).astype(np.int64)
-            found = []
             for w in words_of(batch.column(3)):
                 hashes, starts = w.runs(length)
                 owner = w.owner()[starts]
                 at = starts - w.first[owner]
                 chosen = marks[at % period] & (w.counts[owner] >= window)
-                found.append((hashes[chosen], nodes[w.row + owner[chosen]], at[chosen]))
-            if not found:
-                continue
-            hashes, node, at = map(np.concatenate, zip(*found, strict=True))
+                yield hashes[chosen], nodes[w.row + owner[chosen]], at[chosen]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, node, at in gathered(found_in(batches)):
             _, back, counts = np.unique(hashes, return_inverse=True, return_counts=True)
             several = counts[back] > 1
             first = _first_in_batch(hashes, (node, at))
@@ -83,21 +82,20 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
                 [pa.array(signed(key)), pa.array(node), pa.array(at * 2 + several)], ["key", "_node", "spot"]
             )
 
-    return docs.select("row", "_id", "_node", "text").mapInArrow(run, "key long, _node long, spot long")
+    return in_arrow(docs.select("row", "_id", "_node", "text"), run, "key long, _node long, spot long")
 
 
 def windows(near: DataFrame, window: int, order: list[str]) -> DataFrame:
     """Windows that hold an anchor of `spots`: `key`, the columns of `order` (`_id` and
     `_node`, or `_node` alone where that is the id) and `spot`: the first word times two,
-    plus 1 if the window starts earlier in the batch."""
+    plus 1 if the task has just seen an earlier one."""
     period, _, _ = cover_for(window)
     names = ["key", *order, "spot"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
             ids, nodes = (np.asarray(batch.column(i)).astype(np.int64) for i in (1, 2))
             spots = batch.column(4)
-            found = []
             for w in words_of(batch.column(3)):
                 hashes, starts = w.runs(window)
                 wanted = np.zeros(len(w.hashes) + 1, np.int32)
@@ -111,19 +109,17 @@ def windows(near: DataFrame, window: int, order: list[str]) -> DataFrame:
                 near_one = np.cumsum(wanted)[starts] > 0
                 starts = starts[near_one]
                 owner = w.owner()[starts]
-                found.append(
-                    (hashes[near_one], ids[w.row + owner], nodes[w.row + owner], starts - w.first[owner])
-                )
-            if not found:
-                continue
-            hashes, label, node, start = map(np.concatenate, zip(*found, strict=True))
+                yield hashes[near_one], ids[w.row + owner], nodes[w.row + owner], starts - w.first[owner]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, label, node, start in gathered(found_in(batches)):
             known = ~_first_in_batch(hashes, (label, node, start))
             key = _own_key(hashes, known, label, node, start)
             out = {"key": signed(key), "_id": label, "_node": node, "spot": start * 2 + known}
             yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in names], names)
 
-    return near.select("row", "_id", "_node", "text", "spots").mapInArrow(
-        run, ", ".join(f"{c} long" for c in names)
+    return in_arrow(
+        near.select("row", "_id", "_node", "text", "spots"), run, ", ".join(f"{c} long" for c in names)
     )
 
 
@@ -200,7 +196,7 @@ def repeated_words(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     schema = joined.select("row", "_id", "_node", "text").withColumns(
         {"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit("")}
     ).schema
-    done = joined.select("row", "_id", "_node", "text", "repeats", "copy").mapInArrow(_cut(window), schema)
+    done = in_arrow(joined.select("row", "_id", "_node", "text", "repeats", "copy"), _cut(window), schema)
     columns = [c for c in df.columns if c.lower() not in new]
     back = [F.col("text").alias(c) if c.lower() == text.lower() else F.col(f"row.`{c}`") for c in columns]
     return done.select(*back, *new)

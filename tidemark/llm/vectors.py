@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept, table, unit
+from tidemark.llm.common import in_arrow, kept, table, unit
 from tidemark.llm.graph import components
 
 THRESHOLD = 0.98
@@ -102,7 +102,7 @@ def packed(df: DataFrame, vec_id: str, vector: str, label: str, rest: list[str])
     )
     schema = plain.drop("v").withColumns({"vec": F.lit(None).cast("binary"), "size": F.lit(0)}).schema
     hashes = {name: F.xxhash64(F.lit(name), "label", "vec") for name in ("same", "also")}
-    return plain.mapInArrow(run, schema).withColumns(hashes)
+    return in_arrow(plain, run, schema).withColumns(hashes)
 
 
 def fit_codebooks(vectors: DataFrame, rows: int = FIT_ROWS) -> Codebooks | None:
@@ -254,8 +254,8 @@ def near_copies(
     nodes = kept(first.select(F.col("same").alias("node"), "same", "also", "r.*", "weight"))
     books = fit_codebooks(nodes)
     reach = (steps**2) * (2 - 2 * threshold) / max(1, books.size if books else 1)
-    placed = nodes.select("node", "label", "size", "weight", "vec").mapInArrow(
-        _cells(books, reach), "label string, size int, a int, b int, member boolean, _id long, weight long, vec binary"
+    placed = in_arrow(
+        nodes.select("node", "label", "size", "weight", "vec"), _cells(books, reach), "label string, size int, a int, b int, member boolean, _id long, weight long, vec binary"
     )
     placed = kept(placed)
     cell = ["label", "size", "a", "b"]
@@ -273,7 +273,7 @@ def near_copies(
     j = F.when(F.col("member"), F.col("other")).otherwise(F.col("own")).alias("j")
     order = [*cell, "i", "j"]
     dealt = dealt.select(*cell, i, j, "member", "_id", "weight", "vec").repartition(*order).sortWithinPartitions(*order)
-    links = kept(dealt.mapInArrow(_links(books, reach, threshold), "u long, v long, n long"))
+    links = kept(in_arrow(dealt, _links(books, reach, threshold), "u long, v long, n long"))
     counts = kept(links.filter("u = v").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n")))
     classes = kept(components(links.filter("u != v").select(F.col("u").alias("a"), F.col("v").alias("b"))))
 

@@ -121,3 +121,21 @@ def words_of(column: pa.Array, fold: bool = False) -> Iterator[Words]:
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+#: Entries that a task gathers before it hands them on, and in which it looks for repeats.
+GATHERED = 400_000
+
+
+def gathered(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Parts of columns, joined to at least GATHERED entries each, as long as there are."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= GATHERED:
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
