@@ -9,6 +9,7 @@ whose header is not one of bars.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -74,8 +75,8 @@ def _forms(spark: SparkSession, paths: list[str], only: str | None) -> dict[bool
     firsts = _first_lines(lines, "line")
     whole = F.get_json_object("line", "$").isNotNull()
     forms = firsts.groupBy((~whole).alias("spread")).agg(F.collect_list("file").alias("files"))
-    # The driver lists the files of a read in any case.
-    return {r.spread: r.files for r in forms.collect()}
+    # The driver lists the files of a read in any case. The names come as parts of URLs.
+    return {r.spread: [unquote(f) for f in r.files] for r in forms.collect()}
 
 
 def read_documents(
@@ -132,7 +133,7 @@ def read_batch(
         code = folder.rpartition("/code=")[2].partition("/")[0] if "/code=" in folder else None
         part = read_documents(spark, folder, schema)
         if code is not None and "code" in schema.fieldNames():
-            part = part.withColumn("code", F.coalesce("code", F.url_decode(F.lit(code))))
+            part = part.withColumn("code", F.coalesce("code", F.lit(unquote(code))))
         parts.append(part.select(*schema.fieldNames()))
     whole = parts[0]
     for part in parts[1:]:
