@@ -341,6 +341,16 @@ ORACLES: dict[str, str] = {
         "rate_value DESC",
         _RATE_COLUMNS,
     ),
+    "landed_backfill_plan": """
+        SELECT c.code AS currency_code, CAST(y.year AS INTEGER) AS year,
+               make_date(y.year, 1, 1) AS start_date, make_date(y.year, 12, 31) AS end_date
+        FROM (SELECT DISTINCT o_orderpriority AS code FROM orders WHERE o_orderstatus = 'P') AS c,
+             (SELECT unnest(range(1998, 2002)) AS year) AS y
+        WHERE NOT EXISTS (
+            SELECT 1 FROM orders
+            WHERE o_orderstatus = 'P' AND o_orderpriority = c.code AND c.code < '3'
+              AND year(o_orderdate) = y.year AND y.year IN (1999, 2001))
+    """,
     "landed_bars_quoted_headers": f"""
         SELECT {_ohlc("DECIMAL(12, 2)")} FROM lineitem
         WHERE l_discount <> 0.1 AND l_tax <> 0.08 AND l_quantity <> 1 AND l_extendedprice > 0

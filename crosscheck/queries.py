@@ -40,7 +40,7 @@ from tidemark.schemas import (
 )
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import read_rates
-from tidemark.sources.landing import land_documents
+from tidemark.sources.landing import land_documents, land_new_documents
 from tidemark.sources.stores import ParquetStore, append_new
 from tidemark.sources.universe import flatten_groups
 from tidemark.streaming import rate_stream, run_available
@@ -490,6 +490,19 @@ def landed_rates_batch(spark, sf_dir):
     return store.read(RATES)
 
 
+@query
+def landed_backfill_plan(spark, sf_dir):
+    """The years from 1998 to 2001 of which a priority has nothing landed, after two
+    landings of the same documents."""
+    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    folder = scratch_path(spark, "landing")
+    codes = [r.o_orderpriority for r in orders.select("o_orderpriority").distinct().collect()]
+    for year in (1999, 2001, 1999):
+        chosen = orders.filter((F.year("o_orderdate") == year) & (F.col("o_orderpriority") < "3"))
+        land_new_documents(parsed_rates(rate_documents(chosen)), folder, str(year))
+    return rate_plans.plan_rate_backfill(spark, sorted(codes), folder, 1998, 2001)
+
+
 @query
 def landed_bars_quoted_headers(spark, sf_dir):
     """Bars in files whose headers and values stand in quotes, after blanks."""

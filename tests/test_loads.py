@@ -302,3 +302,24 @@ def test_rows_on_a_date_reach_the_scan(spark, store):
     assert rows.count() == 1
     chosen = store.read(RATES).filter(F.expr("exchange_date = '2025-01-02'"))
     assert chosen.count() == 1
+
+
+def test_rejects_are_counted(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path / "facts"))
+    rows = [("EUR", "2025-01-02", 4.0), ("EUR", "2025-01-03", 1e9), ("EUR", "no date", 4.0), (None, "2025-01-02", 4.0), ("USD", "2025-01-02", None)]
+    batch = spark.createDataFrame(rows, "currency_code string, exchange_date string, rate_value double")
+    for stored in (3, 0):
+        result = append_new(store, batch, RATES)
+        assert (result.n_rows, result.n_no_key, result.n_misfit) == (stored, 2, 1)
+    audit = audit_frame(spark, [result]).first()
+    assert (audit.n_no_key, audit.n_misfit) == (2, 1)
+
+
+def test_the_gate_follows_the_currency_that_lags(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path / "facts"))
+    mid = [("EUR", "2025-01-01", 4.0), ("USD", "2025-01-03", 4.0)]
+    append_new(store, spark.createDataFrame(mid, "currency_code string, exchange_date string, rate_value double"), RATES)
+    table_gate = rate_plans.least_mark(store, RATES, "table").first().watermark
+    key_gate = rate_plans.least_mark(store, RATES, "key").first().watermark
+    assert (str(table_gate), str(key_gate)) == ("2025-01-03", "2025-01-01")
+    assert str(rate_plans.least_mark(store, RATES, "key", ["EUR", "CHF"]).first().watermark) == "2020-01-01"

@@ -20,7 +20,7 @@ from tidemark.operators.incremental import (
     newer_than_per_key,
     newer_than_table,
 )
-from tidemark.operators.planning import closed_fetch_plan
+from tidemark.operators.planning import backfill_plan, closed_fetch_plan
 from tidemark.operators.silver import (
     flatten_rates,
     flatten_spreads,
@@ -46,6 +46,7 @@ from tidemark.sources.bronze import (
     read_snapshot,
     read_spreads,
 )
+from tidemark.sources.landing import landed
 from tidemark.sources.stores import FactStore, LoadResult, append_new
 from tidemark.sources.universe import CURRENCIES, SPREAD_CURRENCIES, currencies
 
@@ -152,6 +153,17 @@ def plan_rate_fetch(
     )
 
 
+def plan_rate_backfill(
+    spark: SparkSession, codes: Sequence[str], path: str, first_year: int, last_year: int
+) -> DataFrame:
+    """(currency_code, year, start_date, end_date) of the years that have not landed under
+    ``path``, where the period of a document is its year."""
+    present = landed(spark, path, ["code", "period"]).select(
+        F.col("code").alias("currency_code"), F.col("period").try_cast("int").alias("year")
+    )
+    return backfill_plan(currencies(spark, codes), present, "currency_code", first_year, last_year)
+
+
 def load_rates(store: FactStore, landing: RatesLanding, scope: str = "key") -> list[LoadResult]:
     """The incremental load of all three tables, each on its own. A batch of which nothing
     has landed is a failure, not an empty load."""

@@ -25,6 +25,7 @@ from tidemark.schemas import (
     BarLayout,
 )
 from tidemark.session import settle
+from tidemark.sources.landing import matching
 
 Paths = str | Sequence[str]
 
@@ -38,14 +39,6 @@ def json_options(reader, schema: T.StructType, only: str | None, multiline: bool
     return reader.option("pathGlobFilter", only) if only else reader
 
 
-def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Files and folders that a pattern names, as the file system lists them."""
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = target.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(target)
-    return [status.getPath().toString() for status in found or ()]
-
-
 def _is_folder(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,6 +4,7 @@ period, and the list of what has landed."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,28 +21,45 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that a pattern names, as the file system lists them."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(target)
+    return [status.getPath().toString() for status in found or ()]
+
+
 def land_documents(documents: DataFrame, path: str, period: str) -> None:
-    """Append documents as JSON lines under ``code=…/period=…``."""
-    documents.withColumn("period", F.lit(period)).write.mode("append").partitionBy(
-        "code", "period"
-    ).json(path)
+    """Append documents as JSON lines under ``code=…/period=…``. The rows of a folder are
+    gathered first, so it gets few files; a large folder is split."""
+    placed = documents.withColumn("period", F.lit(period)).hint("rebalance", "code")
+    placed.write.mode("append").partitionBy("code", "period").json(path)
+
+
+def land_new_documents(documents: DataFrame, path: str, period: str) -> None:
+    """``land_documents`` for the codes that have nothing of the period yet; a second run
+    adds nothing."""
+    present = landed(documents.sparkSession, path, ["code", "period"])
+    done = present.filter(F.col("period") == period).select("code")
+    land_documents(not_landed(documents, done, ["code"]), path, period)
 
 
 def land_bars(rows: DataFrame, path: str, ticker: str = "ticker") -> None:
     """Append bars as CSV with a header under one safely named folder per ticker."""
-    rows.withColumn("folder", safe_symbol(F.col(ticker))).write.mode("append").partitionBy(
-        "folder"
-    ).option("header", True).csv(path)
+    placed = rows.withColumn("folder", safe_symbol(F.col(ticker))).hint("rebalance", "folder")
+    placed.write.mode("append").partitionBy("folder").option("header", True).csv(path)
 
 
 def landed(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The partition values present under ``path``; no file content is decoded."""
+    """The partition values present under ``path``, from the names of its folders; no file
+    is opened."""
+    folders = matching(spark, "/".join([path.rstrip("/"), *(f"{key}=*" for key in keys)]))
+    rows = [
+        tuple(unquote(part.partition("=")[2]) for part in folder.split("/")[-len(keys) :])
+        for folder in folders
+    ]
     fields = [T.StructField(key, T.StringType()) for key in keys]
-    if path_exists(spark, path):
-        present = spark.read.schema(T.StructType(fields)).json(path)
-    else:
-        present = spark.createDataFrame([], T.StructType(fields))
-    return present.select(*keys).distinct()
+    return spark.createDataFrame(rows, T.StructType(fields)).distinct()
 
 
 def not_landed(wanted: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:

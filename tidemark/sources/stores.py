@@ -6,14 +6,15 @@ Both stores have the same methods, so a load runs against either.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import date
+from functools import reduce
 from typing import Protocol
 
 from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +27,8 @@ from tidemark.sources.landing import path_exists
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What one load did to one table."""
+    """What one load did to one table. ``n_no_key`` rows came without a key and were not
+    stored; in ``n_misfit`` rows a value did not fit its type and was stored as NULL."""
 
     dataset: str
     status: str
@@ -34,10 +36,13 @@ class LoadResult:
     min_date: date | None = None
     max_date: date | None = None
     error: str | None = None
+    n_no_key: int = 0
+    n_misfit: int = 0
 
 
 AUDIT_SCHEMA = (
-    "dataset string, status string, n_rows bigint, min_date date, max_date date, error string"
+    "dataset string, status string, n_rows bigint, min_date date, max_date date, error string, "
+    "n_no_key bigint, n_misfit bigint"
 )
 
 
@@ -295,6 +300,21 @@ class JdbcStore:
         return watched.result()
 
 
+def _counted(batch: DataFrame, fact: FactTable) -> tuple[DataFrame, Observation]:
+    """The batch, and counts of the rows that a load rejects in whole or in part, taken
+    when it is computed."""
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in fact.schema.fields}
+
+    def any_of(tests: list[Column]) -> Column:
+        return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+    no_key = any_of([typed[k].isNull() for k in fact.keys])
+    misfit = any_of([F.col(n).isNotNull() & c.isNull() for n, c in typed.items() if n not in fact.keys])
+    seen = Observation()
+    counts = (F.count_if(no_key).alias("n_no_key"), F.count_if(~no_key & misfit).alias("n_misfit"))
+    return batch.observe(seen, *counts), seen
+
+
 def append_new(store: FactStore, batch: DataFrame, fact: FactTable) -> LoadResult:
     """Append the rows whose key the table lacks; a second run adds nothing.
 
@@ -303,13 +323,14 @@ def append_new(store: FactStore, batch: DataFrame, fact: FactTable) -> LoadResul
     through. Two loads of one table must not run at the same time: the test and the
     append are separate steps.
     """
-    keyed = conform(batch, fact).dropna(subset=list(fact.keys))
-    single = one_per_key(keyed, fact.keys)
+    counted, seen = _counted(batch, fact)
+    single = one_per_key(conform(counted, fact).dropna(subset=list(fact.keys)), fact.keys)
     if not store.exists(fact):
-        return store.append(single, fact)
+        return replace(store.append(single, fact), **seen.get)
     single = settle(single)
     first, last = single.agg(F.min(fact.date_column), F.max(fact.date_column)).first()
     if first is None:
-        return LoadResult(fact.name, "EMPTY")
+        return LoadResult(fact.name, "EMPTY", **seen.get)
     held = store.read(fact, first, last).select(*fact.keys).distinct()
-    return store.append(single.join(held, list(fact.keys), "left_anti"), fact)
+    stored = store.append(single.join(held, list(fact.keys), "left_anti"), fact)
+    return replace(stored, **seen.get)
