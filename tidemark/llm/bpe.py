@@ -40,7 +40,7 @@ from tidemark.llm.common import in_arrow, table, with_columns
 #: Characters of a text that are taken at a time; a slice ends at white space.
 SLICE = 1 << 16
 #: Distinct stretches without white space whose tokens a worker remembers, and the longest.
-REMEMBERED, LONGEST = 250_000, 64
+REMEMBERED, LONGEST = 150_000, 64
 _NEVER = 1 << 60
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")

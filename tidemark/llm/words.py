@@ -10,29 +10,35 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are handled at a time; a longer text is handled alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _BYTE, _WORD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd
 
 
-@lru_cache(maxsize=8)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Entries of a table of powers that stays in a worker; a longer one is made for its text.
+KEPT_POWERS = 1 << 20
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of `base` from 0 to size - 1, and those of its inverse modulo 2**64."""
-    made = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        p = np.full(size, b, np.uint64)
-        p[0] = 1
-        made.append(np.cumprod(p, dtype=np.uint64))
-    return made[0], made[1]
+    """Powers of `base` from 0 to size - 1 at least, and those of its inverse modulo 2**64."""
+    made = _POWERS.get(base)
+    if made is None or len(made[0]) < size:
+        room = 1 << max(10, int(size).bit_length())
+        made = tuple(_table(b, room) for b in (base, pow(base, -1, 1 << 64)))
+        if room <= KEPT_POWERS:
+            _POWERS[base] = made
+    return made
 
 
-def _room(size: int) -> int:
-    return 1 << max(10, int(size).bit_length())
+def _table(base: int, room: int) -> np.ndarray:
+    powers = np.full(room, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64, out=powers)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -65,7 +71,7 @@ class Words:
         n = len(self.hashes)
         if n < length:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        power, back = _powers(_WORD, _room(n))
+        power, back = _powers(_WORD, n)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.hashes * power[:n], out=sums[1:])
         ends = np.repeat(self.first[1:], self.counts)
@@ -87,7 +93,7 @@ def _words(data: np.ndarray, offsets: np.ndarray, row: int, fold: bool) -> Words
     last = cuts[cuts > 0] - 1
     ends[last] = inside[last]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    power, back = _powers(_BYTE, _room(n))
+    power, back = _powers(_BYTE, n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
     hashes = mix((sums[stops] - sums[starts]) * back[starts])
@@ -124,7 +130,7 @@ def signed(h: np.ndarray) -> np.ndarray:
 
 
 #: Entries that a task gathers before it hands them on, and in which it looks for repeats.
-GATHERED = 400_000
+GATHERED = 300_000
 
 
 def gathered(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
