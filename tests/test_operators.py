@@ -376,7 +376,7 @@ def test_lookup_join_matches_a_plain_join(spark, limit):
         .alias("k"),
     )
     side = spark.range(0, 3500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    joined = scale.lookup_join(rows, side, "k", limit)
+    joined = scale.lookup_join(rows, side, "k", limit, most=500)
     assert joined.columns == ["k", "id", "v"]
     plain = rows.join(side, "k", "left").select("k", "id", "v")
     assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
@@ -384,5 +384,11 @@ def test_lookup_join_matches_a_plain_join(spark, limit):
 
 def test_heavy_keys_stay_out_of_the_shuffled_join(spark):
     rows = spark.range(0, 9000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    assert [r.k for r in scale.heavy_keys(rows, "k").collect()] == [-1]
-    assert scale.heavy_keys(rows.filter("k < -5"), "k").isEmpty()
+    assert [r.k for r in scale.heavy_keys(rows, "k", most=500).collect()] == [-1]
+    assert scale.heavy_keys(rows.filter("k < -5"), "k", most=500).isEmpty()
+    assert scale.heavy_keys(rows, "k").isEmpty()
+
+
+def test_measured_bytes_of_nested_values(spark):
+    rows = spark.range(10).select(F.array_repeat(F.lit(7), 1000).alias("a"), F.struct(F.repeat(F.lit("x"), 500).alias("t")).alias("s"))
+    assert scale.measured_bytes(rows) >= 10 * (8 * 1000 + 500)

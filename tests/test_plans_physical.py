@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from crosscheck.queries import QUERIES
 from conftest import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.01"
@@ -16,14 +16,14 @@ def plan_of(spark):
 
     def plan(name):
         if name not in plans:
-            df = queries()[name](spark, SF_DIR)
+            df = QUERIES[name](spark, SF_DIR)
             plans[name] = df._jdf.queryExecution().executedPlan().toString()
         return plans[name]
 
     return plan
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_cartesian_product(plan_of, name):
     plan = plan_of(name)
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "CollectLimit"):

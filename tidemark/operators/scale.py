@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from tidemark.session import settle
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more than one in this many rows is kept out of a shuffled join.
-HEAVY_SHARE = 1000
+# A key with more rows than one task should get is kept out of a shuffled join; of such
+# keys there are at most HEAVY_KEYS, the ones with most rows.
+HEAVY_ROWS = 1_000_000
+HEAVY_KEYS = 100_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -38,31 +40,37 @@ def lookup_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
-def heavy_keys(rows: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
-    """Keys that hold more than one ``share``-th of the rows, so fewer than ``share``."""
+def heavy_keys(rows: DataFrame, key: str, most: int = HEAVY_ROWS) -> DataFrame:
+    """Keys with more than ``most`` rows, or more than one in HEAVY_KEYS of all rows where
+    that is more; so there are fewer than HEAVY_KEYS of them."""
     counts = settle(rows.groupBy(key).agg(F.count("*").alias("_rows")))
     total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(F.col(key).isNotNull() & (F.col("_rows") * share > total)).select(key)
+    limit = F.greatest(F.lit(most), total / HEAVY_KEYS)
+    return counts.filter(F.col(key).isNotNull() & (F.col("_rows") > limit)).select(key)
 
 
 def lookup_join(
-    rows: DataFrame, side: DataFrame, key: str, limit: int = BROADCAST_BYTES
+    rows: DataFrame, side: DataFrame, key: str, limit: int = BROADCAST_BYTES, most: int = HEAVY_ROWS
 ) -> DataFrame:
     """Left join of ``rows`` with ``side``, which has one row per key.
 
     A side that measures small is broadcast, and the rows stay where they are. A larger
     one is joined by a shuffle, from which the heavy keys are kept out: the side's rows
-    for them are few by definition and are broadcast. Rows without a key match nothing
-    and stay out as well. No task then holds all rows of a heavy key, whatever the
-    session's settings for skewed joins.
+    for them are few by definition and are broadcast if they measure small, too. Rows
+    without a key match nothing and stay out as well. No task then holds all rows of a
+    heavy key, whatever the session's settings for skewed joins.
     """
     if measured_bytes(side) <= limit:
         return rows.join(F.broadcast(side), key, "left")
-    heavy = F.broadcast(settle(heavy_keys(rows, key)).withColumn("_heavy", F.lit(True)))
+    found = settle(heavy_keys(rows, key, most))
+    few = settle(side.join(F.broadcast(found), key, "left_semi"))
+    if measured_bytes(few) > BROADCAST_BYTES:
+        # Rows of the side this wide can't be broadcast: adaptive execution has to split.
+        return rows.join(side, key, "left")
+    heavy = F.broadcast(found.withColumn("_heavy", F.lit(True)))
     marked = rows.join(heavy, key, "left")
     aside = F.col("_heavy").isNotNull() | F.col(key).isNull()
-    heavy_side = F.broadcast(side.join(heavy.select(key), key, "left_semi"))
-    in_place = marked.filter(aside).join(heavy_side, key, "left")
+    in_place = marked.filter(aside).join(F.broadcast(few), key, "left")
     shuffled = marked.filter(~aside).join(side, key, "left")
     return in_place.unionByName(shuffled).drop("_heavy")
 
