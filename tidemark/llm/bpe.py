@@ -39,8 +39,9 @@ from tidemark.llm.common import in_arrow, table, with_columns
 
 #: Characters of a text that are taken at a time; a slice ends at white space.
 SLICE = 1 << 16
-#: Distinct stretches without white space whose tokens a worker remembers, and the longest.
-REMEMBERED, LONGEST = 150_000, 64
+#: Distinct stretches without white space whose tokens a worker remembers (as many again may
+#: be left from before, until they are asked for or replaced), and the longest.
+REMEMBERED, LONGEST = 120_000, 64
 _NEVER = 1 << 60
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")
@@ -108,6 +109,7 @@ class Bpe:
             i: t.encode() if t in self.special else self._raw(t, bytes_of) for i, t in self.names.items()
         }
         self.memory: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def _raw(self, token: str, bytes_of: dict[str, int]) -> bytes:
         """Bytes that a token stands for; the end of a word stands for a space."""
@@ -192,6 +194,9 @@ class Bpe:
     def remembered(self, stretch: str) -> tuple[int, str, str]:
         """Of a stretch without white space: number of tokens, ids and names as text."""
         found = self.memory.get(stretch)
+        if found is not None:
+            return found
+        found = self.older.get(stretch)
         if found is None:
             # Letters alone are one match of the pattern; so are most matches in the rest.
             matches = (stretch,) if stretch.isalpha() else list(self.matches(stretch))
@@ -201,9 +206,9 @@ class Bpe:
             else:
                 counts, ids, names = zip(*map(self.remembered, matches), strict=True) if matches else ((), (), ())
                 found = (sum(counts), " ".join(ids), " ".join(names))
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            self.memory[stretch] = found
+        if len(self.memory) >= REMEMBERED:
+            self.older, self.memory = self.memory, {}
+        self.memory[stretch] = found
         return found
 
     def sections(self, text: str) -> Iterator[list[str] | int]:

@@ -29,12 +29,12 @@ from tidemark.llm.common import in_arrow, kept, table, unit
 from tidemark.llm.graph import components
 
 THRESHOLD = 0.98
-#: Steps, as above, that a search goes: a link is missed with a chance of about 1 in 15,000
-#: at each plane if vectors differ in all directions alike.
-STEPS = 4.0
+#: Steps, as above, that a search goes: past a plane a link is missed with a chance of about
+#: 1 in 4,000, and only if the search from its other end misses it as well.
+STEPS = 3.5
 #: Vectors that codebooks are fitted on, about, at most; codewords of a half at most;
 #: vectors in a cell on average, as long as the codebooks can still grow.
-FIT_ROWS, MOST_WORDS, CELL_ROWS = 20_000, 256, 64
+FIT_ROWS, MOST_WORDS, CELL_ROWS = 20_000, 256, 1024
 BLOCK = 1024
 
 
