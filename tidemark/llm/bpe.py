@@ -316,8 +316,8 @@ def _mapped(df: DataFrame, column: str, made: dict[str, T.DataType], each) -> Da
 
         convert = each()
         for whole in batches:
-            for start in range(0, whole.num_rows, 128):
-                batch = whole.slice(start, 128)
+            for start in range(0, whole.num_rows, 64):
+                batch = whole.slice(start, 64)
                 rows = [convert(v.as_py()) for v in batch.column(at)]
                 columns = [
                     pa.array([r[k] for r in rows], to_arrow_type(kind)) for k, kind in enumerate(made.values())
@@ -325,6 +325,8 @@ def _mapped(df: DataFrame, column: str, made: dict[str, T.DataType], each) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(i) for i in rest], *columns], [*[batch.schema.names[i] for i in rest], *made]
                 )
+        # The worker lives on, perhaps for a stage that needs the room.
+        _load.cache_clear()
 
     return in_arrow(df, run, schema)
 

@@ -44,9 +44,9 @@ NO_ID = -(2**63)
 #: Segments for each n-gram that two sets of a band can differ in, and a constant more.
 SPARE, MORE = 1.3, 8
 #: Members of a block, and n-grams in their sets, on average at most.
-BLOCK_SETS, BLOCK_GRAMS = 1024, 1 << 20
+BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 18
 #: N-grams that are columns of a matrix at a time.
-TILE = 4096
+TILE = 2048
 #: Bits of the filter that keeps sets nobody compares from being sent.
 FILTER_BITS = 1 << 22
 
@@ -296,8 +296,10 @@ def _block_links(sets: list[np.ndarray], classes: np.ndarray, cross: np.ndarray
         tile = np.zeros((len(sets), TILE), np.float32)
         tile[rows[low:high], column[low:high] - start] = 1
         both += tile @ tile.T
-    common = both.astype(np.int64)
-    links = bands.q * common >= bands.p * (size[:, None] + size[None, :] - common)
+    # q * common >= p * (x + y - common), row by row so that no large table of sums is made.
+    links = np.empty(both.shape, bool)
+    for i, common in enumerate(both):
+        links[i] = (bands.p + bands.q) * common.astype(np.int64) >= bands.p * (size[i] + size)
     links &= classes[:, None] != classes[None, :]
     if cross is not None:
         links &= cross[:, None] != cross[None, :]
