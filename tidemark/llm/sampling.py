@@ -18,7 +18,8 @@ def stratified(
     if there would be over `most` in all), chosen by the hash `place`; and how many rows
     each value has. Rows without a value are left out.
 
-    What comes back is bounded by `most` rows, up to the scatter of hashing, and is spread over the tasks as the rows were: nothing is sorted or moved.
+    What comes back is bounded by `most` rows (and one a value), up to the scatter of
+    hashing, and is spread over the tasks as the rows were: nothing is sorted or moved.
     """
     counts = (
         df.filter(F.col(stratum).isNotNull())
