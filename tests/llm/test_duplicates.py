@@ -84,6 +84,17 @@ def test_repeats_with_shared_and_null_ids(spark):
     assert substrings.repeated_words(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_repeated_rows_of_unique_words_lose_nothing(spark):
+    first, later = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(5, first, "k", 1)] * 2 + [(6, later, "k", 1)] * 2 + [(7, "c " + later, "k", 1)] * 2
+    for more in ([], [(6, "d", "k", 1)]):  # an id that names two texts as well
+        df = spark.createDataFrame(rows + more, DOCS)
+        for parts in (1, 5):
+            found = substrings.repeated_words(df.repartition(parts)).collect()
+            wanted = [(5, 0)] * 2 + [(6, 0)] * (2 + len(more)) + [(7, 30)] * 2
+            assert sorted((r.doc_id, r.n_removed) for r in found) == wanted
+
+
 def shingles(text, n=5):
     found = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(found[i : i + n]) for i in range(max(1, len(found) - n + 1))} if found else set()

@@ -41,12 +41,16 @@ def cover_for(window: int) -> tuple[int, np.ndarray, int]:
     return period, marks, window - period + 1
 
 
-def _first_in_batch(hashes: np.ndarray, order: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Which entries come first among those of equal hash; later keys of `order` decide last."""
-    turn = np.lexsort((*reversed(order), hashes))
-    first = np.ones(len(hashes), bool)
-    first[turn[1:]] = hashes[turn[1:]] != hashes[turn[:-1]]
-    return first
+def _in_turn(hashes: np.ndarray, *place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries to hand on, each place of a hash once, and whether no smaller place has
+    their hash; later columns of a place decide last. A place is there twice if its row is."""
+    turn = np.lexsort((*reversed(place), hashes))
+    first = np.ones(len(turn), bool)
+    first[1:] = hashes[turn[1:]] != hashes[turn[:-1]]
+    new = first.copy()
+    for p in place:
+        new[1:] |= p[turn[1:]] != p[turn[:-1]]
+    return turn[new], first[new]
 
 
 def _own_key(hashes: np.ndarray, known: np.ndarray, *place: np.ndarray) -> np.ndarray:
@@ -74,9 +78,10 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes, node, at in gathered(found_in(batches)):
+            chosen, first = _in_turn(hashes, node, at)
+            hashes, node, at = hashes[chosen], node[chosen], at[chosen]
             _, back, counts = np.unique(hashes, return_inverse=True, return_counts=True)
             several = counts[back] > 1
-            first = _first_in_batch(hashes, (node, at))
             key = _own_key(hashes, several & ~first, node, at)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(key)), pa.array(node), pa.array(at * 2 + several)], ["key", "_node", "spot"]
@@ -113,7 +118,10 @@ def windows(near: DataFrame, window: int, order: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes, label, node, start in gathered(found_in(batches)):
-            known = ~_first_in_batch(hashes, (label, node, start))
+            # A repeated row gives its places twice, of which none is earlier.
+            chosen, first = _in_turn(hashes, label, node, start)
+            hashes, label, node, start = hashes[chosen], label[chosen], node[chosen], start[chosen]
+            known = ~first
             key = _own_key(hashes, known, label, node, start)
             out = {"key": signed(key), "_id": label, "_node": node, "spot": start * 2 + known}
             yield pa.RecordBatch.from_arrays([pa.array(out[c]) for c in names], names)
@@ -138,7 +146,7 @@ def _cut(window: int):
                     words = []
                 elif starts:
                     gone = np.zeros(len(words) + 1, np.int32)
-                    # A repeated row gives its starts twice, which covers the same words.
+                    # A row repeated over tasks gives its starts twice, which covers the same words.
                     np.add.at(gone, starts, 1)
                     np.add.at(gone, np.asarray(starts) + window, -1)
                     gone = np.cumsum(gone)[:-1] > 0
