@@ -31,6 +31,40 @@ def test_parts_that_go(around):
     assert one("<html><head><title>T</title></head><body>" + around % ARTICLE + "</body></html>") == TEXT
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<main class='layout with-sidebar'>%s</main>",
+        "<main class='sidebar'>%s</main>",
+        "<div class='content no-sidebar'>%s</div>",
+        "<div class='content'><div id='search-methods'>%s</div></div>",
+        "<article class='post comments-open'>%s</article>",
+        "<article class='widget post'>%s</article>",
+        "<article><section id='market-share'>%s</section></article>",
+        "<article><header class='entry-header with-menu'>%s</header></article>",
+        "<aside class='sidebar-left'><p>Words of a side.</p></aside><article>%s</article>",
+    ],
+)
+@pytest.mark.parametrize("end", ["", "<div class='site-footer'>&copy; someone</div>", "<ol class='comment-list'><li><article id='comment-7'><p>So I say.</p></article></ol>"])
+def test_names_that_hold_words_of_asides(page, end):
+    text = "The last part has just nine words in it."
+    first = "This is the part before it, which is a little longer than the last one."
+    assert one("<body>" + page % f"<h2>Head</h2><p>{first}</p><p>{text}</p>" + end + "</body>") == f"Head {first} {text}"
+
+
+@pytest.mark.parametrize("name", ["sidebar", "sidebar-left", "cookie-notice", "related-posts", "entry-footer", "post-comments", "c-footer", "comment-list", "widget widget-2"])
+def test_names_of_asides(name):
+    aside = "Words that stand beside the text, and many more of them than a short line has, so that they look like it."
+    assert one(f"{ARTICLE}<div class='{name}'><p>{aside}</p></div>") == TEXT
+    assert one(f"<article><p>A text.</p><section id='{name}'><p>{aside}</p></section></article>") == "A text."
+
+
+@pytest.mark.parametrize("many", range(1, 40))
+def test_last_paragraph_of_an_article(many):
+    text = " ".join(["word"] * many)
+    assert one(f"<article><p>Before it.</p><p>{text}</p></article>") == f"Before it. {text}"
+
+
 def test_no_article_element():
     long = "Words of a long paragraph that go on and on, as they do in a text that is meant to be read. "
     page = f"<div><a href=/>Home</a></div><div><p>{long * 2}</p><p>{long}</p></div><div><a href=/1>One</a> <a href=/2>Two</a></div>"

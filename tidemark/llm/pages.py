@@ -8,6 +8,8 @@ that is grown from `LABELLED` by Gini impurity decides which blocks stay.
 What the elements say: 1 inside an article or main part or an element whose class, id or
 role is named like one; -1 inside navigation, footer, aside, form and the like or an
 element named like an advert, a notice, a menu, comments and so on; 0 if nothing is said.
+A name counts against the text only as a whole: `sidebar` or `sidebar-left`, but neither
+`with-sidebar` nor `search-methods`. The tag or a name of a main part weighs against it.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ LABELLED = """
  1 0.00   1 0.00   1 0.00  1 0 keep
  3 1.00  28 0.00  30 0.00  1 0 keep
  4 1.00   3 1.00   5 1.00  1 0 keep
+ 8 0.00  40 0.00   0 0.00  1 0 keep
+ 9 0.00   0 0.00   0 0.00  1 0 keep
 18 0.00   5 1.00   0 0.00  1 0 keep
 70 0.02   8 0.00   3 0.00  1 0 keep
  1 1.00   0 0.00   1 1.00 -1 0 drop
@@ -76,6 +80,9 @@ LABELLED = """
  1 0.00   4 1.00   0 0.00  0 0 drop
  4 0.00  10 1.00   2 1.00  0 0 drop
 12 0.00  45 0.00  38 0.00  0 0 keep
+ 9 0.00  30 0.00   3 0.00  0 0 keep
+ 9 0.40  30 0.00  20 0.00  0 0 keep
+12 0.00  30 0.00   0 0.00  0 0 keep
  6 0.00  33 0.00  41 0.00  0 0 keep
  3 0.00  27 0.00  52 0.00  0 0 keep
  8 0.00   2 1.00  45 0.00  0 1 keep
@@ -112,7 +119,7 @@ UNSEEN = "script style noscript template title textarea select option button ifr
 PLAIN = frozenset("div section ul ol dl table tbody thead tr td th figure details fieldset blockquote center".split())
 MAIN = frozenset(("article", "main"))
 ASIDE = frozenset("nav footer aside form dialog menu header".split())
-#: Names in class, id and role, cut at what is no letter or digit.
+#: Words of the names in class, id and role. A name is cut at what is no letter.
 ASIDE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share "
@@ -120,7 +127,20 @@ ASIDE_NAMES = frozenset(
     "breadcrumbs pagination pager comment comments disqus reply replies respond footer foot header masthead "
     "topbar toolbar widget widgets complementary contentinfo search form".split()
 )
+COMMENT_NAMES = frozenset("comment comments reply replies disqus".split())
 MAIN_NAMES = frozenset("article main content post entry story maincontent articlebody".split())
+#: Next to a main name in one name, as in `entry-header` or `content-sidebar`, these say nothing.
+LAYOUT_NAMES = frozenset(
+    "header head masthead sidebar aside menu nav navbar widget widgets toolbar topbar search form notice notices "
+    "alert banner".split()
+)
+#: Words of place and shape, which leave the meaning of a name as it is.
+SHAPE_NAMES = frozenset(
+    "area articles bar block body bottom box btn button buttons card cards center col column container desktop div "
+    "first fixed global google gpt group holder icon icons inner item items last left link links list media middle "
+    "mobile outer page panel placeholder posts primary right row secondary section site slot sticky stories text "
+    "title top unit wrap wrapper zone".split()
+)
 
 # Every part matches in one way only, so a broken page takes no more steps than a whole one.
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
@@ -183,22 +203,42 @@ def trained() -> Tree:
     return grow(np.array([line[:-1] for line in lines], float), np.array([line[-1] == "keep" for line in lines]))
 
 
+def _named(rest: str) -> tuple[bool, bool, bool]:
+    """Whether the names of an element are those of a main part, of an aside, of comments."""
+    main = aside = comments = False
+    for m in _NAMED.finditer(rest):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            words = {w for w in _WORD.findall(name) if len(w) > 1}
+            known = words & ASIDE_NAMES
+            if known and words <= ASIDE_NAMES | SHAPE_NAMES:
+                aside = True
+                comments |= bool(known & COMMENT_NAMES)
+            elif known and words <= ASIDE_NAMES | SHAPE_NAMES | MAIN_NAMES:
+                aside |= not known & LAYOUT_NAMES
+            else:
+                main |= bool(words & MAIN_NAMES)
+    return main, aside, comments
+
+
 def _says(tag: str, rest: str, above: int, fixed: bool) -> tuple[int, bool]:
     """What an element says about text in it, and whether nothing inside can unsay it."""
     if fixed:
         return above, True
-    names: set[str] = set()
+    main = aside = comments = False
     if "=" in rest and tag not in ("html", "body"):
-        for m in _NAMED.finditer(rest):
-            names.update(_WORD.findall((m[1] or m[2] or m[3] or "").lower()))
-    if names & ASIDE_NAMES:
-        return -1, bool(names & {"comment", "comments", "reply", "replies", "disqus"})
+        main, aside, comments = _named(rest)
+    if comments and not main and tag != "main":
+        return -1, True
+    # One sign of a main part makes the name doubtful, two or the tag `main` outweigh it.
+    signs = main + (tag in MAIN)
+    if aside and signs < 2 and tag != "main":
+        return (above, False) if signs and tag not in ASIDE else (-1, False)
     if tag in ASIDE:
         # The heading part of an article is part of it.
         return (1, False) if tag == "header" and above == 1 else (-1, tag != "header")
     if tag in MAIN:
         return 1, False
-    if above == 0 and names & MAIN_NAMES:
+    if above == 0 and main:
         return 1, False
     return above, False
 
