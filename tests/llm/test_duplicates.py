@@ -249,6 +249,21 @@ def test_recall_on_the_given_vectors(spark):
     assert all(n <= m for (_, n), (_, m) in zip(found, wanted, strict=True))
 
 
+def test_recall_over_hundreds_of_cells(spark, monkeypatch):
+    """Vectors that differ along one direction, that in which the codewords lie."""
+    monkeypatch.setattr(vectors, "CELL_ROWS", 4)
+    source = np.random.default_rng(3)
+    angles, others = source.random(1600) * 2 * np.pi, source.normal(size=(20, 32))
+    others /= np.sqrt((others**2).sum(1))[:, None]
+    x = np.zeros((1600, 64))
+    x[:, 0], x[:, 1], x[:, 32:] = np.cos(angles), np.sin(angles), others[np.arange(1600) % 20]
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    unit = x / np.sqrt((x**2).sum(1))[:, None]
+    wanted = ((unit @ unit.T >= 0.98).sum(1) - 1).tolist()
+    assert sum(wanted) > 5000
+    assert [r.n_links for r in vectors.near_copies(df.repartition(4)).orderBy("vec_id").collect()] == wanted
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     source = random.Random(seed)

@@ -4,10 +4,9 @@ Vectors are scaled to length 1 and cut in halves; each half has its own codebook
 k-means on a bounded sample. A vector's cell is the pair of its nearest codewords, so two
 small codebooks make a large grid. A search visits cells in the order of how far the vector
 is from them, which for each half is its distance to the plane between its own codeword's
-region and the other's, until the next cell is too far for the wanted recall: two vectors
-at the distance that the threshold allows differ along any one direction by that distance
-over the square root of the dimensions, times a normal variate, and the visit goes on for as
-many of these steps as the recall asks for. All that is found is verified by cosine.
+region and the other's, until the next cell is farther than two vectors that link can be
+apart. A vector is never nearer to a region than to its plane, so the target recall is 1,
+whichever way vectors differ. All that is found is verified by cosine.
 
 Every vector is a member of its cell and a visitor of the cells it searches. Members and
 visitors of a large cell are dealt into blocks, and each pair of blocks is one product of
@@ -29,13 +28,14 @@ from tidemark.llm.common import in_arrow, kept, table, unit
 from tidemark.llm.graph import components
 
 THRESHOLD = 0.98
-#: Steps, as above, that a search goes: past a plane a link is missed with a chance of about
-#: 1 in 4,000, and only if the search from its other end misses it as well.
-STEPS = 3.5
+#: Squared distances of vectors of length 1 are taken to be wrong by less than this.
+ROUNDING = 1e-12
 #: Vectors that codebooks are fitted on, about, at most; codewords of a half at most;
 #: vectors in a cell on average, as long as the codebooks can still grow.
 FIT_ROWS, MOST_WORDS, CELL_ROWS = 20_000, 256, 1024
 BLOCK = 1024
+#: Rows of members and visitors that a task makes at a time, about.
+VISITS = 8192
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ class Codebooks:
             square = (half**2).sum(1)[:, None] - 2 * half @ words.T + (words**2).sum(1)[None, :]
             best = square.argmin(1)
             apart = np.sqrt(((words[:, None, :] - words[None, :, :]) ** 2).sum(2))[best]
-            far = square - square[np.arange(len(rows)), best][:, None]
+            far = square - square[np.arange(len(rows)), best][:, None] - ROUNDING
             own.append(best)
             gaps.append((np.maximum(far, 0) / np.where(apart > 0, 2 * apart, np.inf)) ** 2)
         return own, gaps
@@ -127,35 +127,39 @@ def fit_codebooks(vectors: DataFrame, rows: int = FIT_ROWS) -> Codebooks | None:
 def _cells(books: Codebooks | None, reach: float):
     """Rows of members and visitors: label, size, cell, who, own cell, weight, vector."""
 
+    def made(batch: pa.RecordBatch, at: list[int], cell: list[tuple[int, int]], member: list[bool]) -> pa.RecordBatch:
+        rows = batch.take(pa.array(at, pa.int64()))
+        a, b = zip(*cell, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [rows.column(1), rows.column(2), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
+             pa.array(member, pa.bool_()), rows.column(0), rows.column(3), rows.column(4)],
+            ["label", "size", "a", "b", "member", "_id", "weight", "vec"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
                 sizes = np.asarray(batch.column(2))
                 own = np.zeros((2, len(sizes)), np.int64)
-                visits = [[(0, 0)] for _ in range(len(sizes))]
-                fit = np.flatnonzero(sizes == books.size) if books else ()
+                fit = np.flatnonzero(sizes == books.size) if books else np.zeros(0, np.int64)
+                turn = {int(i): k for k, i in enumerate(fit)}
                 if len(fit):
                     found = _unit_rows(batch.column(4).take(pa.array(fit)).to_pylist())
                     words, (x, y) = books.gaps(found)
                     own[0, fit], own[1, fit] = words
-                    for k, i in enumerate(fit.tolist()):
-                        # Nearest first in each half, so that what is too far ends the walk.
-                        p, q = np.argsort(x[k], kind="stable"), np.argsort(y[k], kind="stable")
-                        p = p[x[k][p] <= reach]
-                        visits[i] = [(int(a), int(b)) for a in p for b in q[y[k][q] <= reach - x[k][a]]]
                 at, cell, member = [], [], []
                 for i in range(len(sizes)):
-                    at += [i] * (len(visits[i]) + 1)
-                    cell += [(int(own[0, i]), int(own[1, i])), *visits[i]]
-                    member += [True] + [False] * len(visits[i])
-                rows = batch.take(pa.array(at, pa.int64()))
-                a, b = zip(*cell, strict=True) if cell else ((), ())
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(1), rows.column(2), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
-                     pa.array(member, pa.bool_()), rows.column(0), rows.column(3), rows.column(4)],
-                    ["label", "size", "a", "b", "member", "_id", "weight", "vec"],
-                )
+                    visits = [(0, 0)]
+                    if (k := turn.get(i)) is not None:
+                        a, b = np.nonzero(x[k][:, None] + y[k][None, :] <= reach)
+                        visits = list(zip(a.tolist(), b.tolist(), strict=True))
+                    at += [i] * (len(visits) + 1)
+                    cell += [(int(own[0, i]), int(own[1, i])), *visits]
+                    member += [True] + [False] * len(visits)
+                    if len(at) >= VISITS or i == len(sizes) - 1:
+                        yield made(batch, at, cell, member)
+                        at, cell, member = [], [], []
 
     return run
 
@@ -232,7 +236,6 @@ def near_copies(
     vector: str = "embedding",
     label: str = "label",
     threshold: float = THRESHOLD,
-    steps: float = STEPS,
 ) -> DataFrame:
     """`df` with `n_links` (other rows linked directly), `component_id` (least id that links
     reach) and `kept` (whether that is its own).
@@ -253,7 +256,8 @@ def near_copies(
     # The hash is the number of a distinct vector; ids can be shared.
     nodes = kept(first.select(F.col("same").alias("node"), "same", "also", "r.*", "weight"))
     books = fit_codebooks(nodes)
-    reach = (steps**2) * (2 - 2 * threshold) / max(1, books.size if books else 1)
+    # The squared distance of vectors of length 1 at the threshold.
+    reach = 2 - 2 * threshold + 1e-9
     placed = in_arrow(
         nodes.select("node", "label", "size", "weight", "vec"), _cells(books, reach), "label string, size int, a int, b int, member boolean, _id long, weight long, vec binary"
     )
