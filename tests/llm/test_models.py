@@ -40,6 +40,16 @@ def test_language_of_odd_texts(spark):
     assert language.identify(df.limit(0), model).collect() == []
 
 
+def test_language_sample_takes_equal_texts_once(spark, monkeypatch):
+    """Whichever of the texts a third of all rows hold, the sample keeps its bound."""
+    read, whole = [], language.in_arrow
+    monkeypatch.setattr(language, "in_arrow", lambda df, *rest: (read.append(df.select("text").collect()), whole(df, *rest))[1])
+    rows = [(f"hot text {k}", "en") for k in range(30) for _ in range(40)]
+    model = language.fit_language(spark.createDataFrame(rows, "text string, lang string"), each=400)
+    assert model.languages == ("en",)
+    assert sorted(r.text for r in read[0]) == sorted({t for t, _ in rows})
+
+
 def test_language_without_labels(spark):
     df = spark.createDataFrame([(1, "text", None), (2, None, "en"), (3, "..", "en")], "doc_id long, text string, lang string")
     model = language.fit_language(df)

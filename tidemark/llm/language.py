@@ -100,19 +100,26 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_language(df: DataFrame, text: str = "text", lang: str = "lang", each: int = FIT_TEXTS) -> LanguageModel:
     """Model from the labelled rows of `df`: about `each` texts of every language (of up
-    to 256 languages) and `FIT_MOST` in all, chosen by a hash. What comes to the driver is,
-    for each of them, its features, 128 KB at most. Null languages and texts without letters are not learned
+    to 256 languages) and `FIT_MOST` in all, chosen by a hash. Equal texts of a language
+    count as one, however many there are. What comes to the driver is, for each of them,
+    its features, 128 KB at most. Null languages and texts without letters are not learned
     from. Without any labelled text the model knows no language.
     """
     labelled = df.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     labelled = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # Counted and chosen by their hashes; of equal texts, which share one, one row is read.
     place = row_hash(labelled, "language")
-    chosen, sizes = stratified(labelled, "lang", each, place, FIT_MOST)
+    hashes = labelled.select("lang", place.alias("place")).distinct()
+    few, sizes = stratified(hashes, "lang", each, F.col("place"), FIT_MOST)
     if not sizes:
         return LanguageModel((), np.zeros((FEATURES, 0), np.float32))
-    rows = in_arrow(
-        chosen.withColumn("place", place), _sample_rows, "found binary, lang string, place long"
-    ).collect()
+    # The hashes of a bounded sample; `first` keeps one text for each in every task.
+    few = few.withColumnRenamed("place", "wanted").withColumnRenamed("lang", "of")
+    chosen = labelled.withColumn("place", place).join(
+        F.broadcast(few), (F.col("place") == F.col("wanted")) & (F.col("lang") == F.col("of")), "left_semi"
+    )
+    chosen = chosen.groupBy("lang", "place").agg(F.first("text").alias("text")).select("text", "lang", "place")
+    rows = in_arrow(chosen, _sample_rows, "found binary, lang string, place long").collect()
     rows.sort(key=lambda r: (r.place, r.lang))
     languages = tuple(sorted({r.lang for r in rows}))
     matrix = np.zeros((len(rows), FEATURES), np.float32)
