@@ -6,7 +6,7 @@ import pytest
 from tidemark.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
-TABLES = ["documents", "embeddings", "pages", "benchmark", "labels"]
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
