@@ -79,7 +79,8 @@ def shared_lines(
         "kept": F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(left, "\n")),
     }
     others = [F.col(f"row.`{c}`") for c in df.columns if c.lower() not in made]
-    return joined.select(*others, *[c.alias(name) for name, c in made.items()])
+    done = joined.select("row", *[c.alias(name) for name, c in made.items()])
+    return done.select(*others, *made)
 
 
 def op13_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,7 +279,8 @@ def periodic_runs(
     if least < 2 or times < 2:
         raise ValueError("a run has two periods at least")
     columns = [c for c in df.columns if c.lower() not in MADE]
-    rows = df.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in columns]).alias("row"),
+    filler = "_" * (1 + max(map(len, df.columns)))  # a struct needs a field
+    rows = df.select(F.struct(F.lit(0).alias(filler), *[F.col(f"`{c}`") for c in columns]).alias("row"),
                      F.col(f"`{text}`").cast("string").alias("_text"))
     schema = rows.select(
         "row",
