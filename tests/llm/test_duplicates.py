@@ -281,3 +281,71 @@ def test_components(spark, seed):
     wanted = {n: c for n, c in least.items() if n not in own or any(n in x and x[0] != x[1] for x in links)}
     assert {r.node: r.component for r in found.collect()} == wanted
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def alternating(first, second, size=1024):
+    """Two words whose letters differ at every place, by the parity of its binary digits."""
+    odd = [bin(i).count("1") % 2 for i in range(size)]
+    return "".join(first if o else second for o in odd), "".join(second if o else first for o in odd)
+
+
+def test_words_that_cancel_in_a_polynomial_differ(spark):
+    one, other = alternating("a", "b")
+    tail = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{one} {tail}", "k", 1), (2, f"{other} {tail}", "k", 1)]
+    done = substrings.repeated_words(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: r.n_removed for r in done} == {1: 0, 2: 0}
+    rows = [(1, " ".join([one] * 3 + ["x"] * 9), "k", 1), (2, " ".join([other] * 3 + ["y"] * 9), "k", 1)]
+    done = ngrams.similar_classes(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: r.component_id for r in done} == {1: 1, 2: 2}
+
+
+def test_hashes_of_words_and_runs():
+    import pyarrow as pa
+
+    from tidemark.llm.words import CHUNK, Hasher, words_of
+
+    source, hasher = random.Random(1), Hasher(b"k" * 16)
+    one, other = alternating("a", "b")
+    texts = [" ".join(source.choice("ab") for _ in range(100)) for _ in range(20)]
+    texts += [f"{one} {other}", None, "", " ", "x" * 63, "x" * 64, "x" * 65, "é" * CHUNK, "ab " * CHUNK, "\t\r" * CHUNK, "z"]
+    column, by_hash = pa.array(texts), {}
+    for length in (1, 2, 3, 5, 8, 13, 20):
+        for found in words_of(column, hasher):
+            hashes, starts = found.runs(length)
+            for h, s, o in zip(hashes.tolist(), starts.tolist(), found.owner()[starts].tolist()):
+                if len(texts[found.row + o]) > 10_000 and s > found.first[o] + 40:
+                    continue
+                at = s - found.first[o]
+                run = tuple(words(texts[found.row + o])[at : at + length])
+                assert len(run) == length and by_hash.setdefault(h, run) == run
+    assert len(set(by_hash.values())) == len(by_hash)
+    counts = [c for found in words_of(column, hasher) for c in found.counts.tolist()]
+    assert counts == [len(words(t)) for t in texts]
+    # Runs of words alternate as letters do: no window of them cancels, however long.
+    for a, b in [alternating("a", "b", 64)]:
+        pair = [next(iter(words_of(pa.array([" ".join(t)]), hasher))).runs(64)[0][0] for t in (a, b)]
+        assert pair[0] != pair[1]
+
+
+def test_folded_words_take_only_latin_letters():
+    import pyarrow as pa
+
+    from tidemark.llm.words import Hasher, words_of
+
+    hasher = Hasher(b"k" * 16)
+    low, high, other = (next(iter(words_of(pa.array([t]), hasher, fold=True))).hashes[0] for t in ("azé", "AZé", "AZÉ"))
+    assert low == high != other
+
+
+def test_large_clusters_are_compared_by_segment_where_that_is_less(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "BLOCK_SETS", 2)
+    # A chain of groups that share one key each: few pairs by key, many in the cluster.
+    mixed = spark.createDataFrame([(k, n) for k in range(30) for n in (k, k + 1)], "key long, _node long")
+    dealt = ngrams._dealt(mixed).collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault(r.cluster, set()).add(r._node)
+    assert sorted(map(sorted, groups.values())) == [[k, k + 1] for k in range(30)]
+    star = spark.createDataFrame([(k, n) for k in range(40) for n in range(6)], "key long, _node long")
+    assert {r.cluster for r in ngrams._dealt(star).collect()} == {0}

@@ -13,12 +13,15 @@ only k segments or fewer has no such guarantee; in its band all sets also send t
 segments with each single n-gram left out (then two differences are needed to hide a
 segment), or, where even that is too little, each n-gram by itself.
 
-Equal sets become one first. Candidates of a segment are compared with its least member
-and linked ones merged, so that a group of close copies costs its size, not its square.
-Where members of different classes remain, all that share segments, directly or over
-others, form a cluster, which is dealt into blocks of bounded size; each pair of blocks is
-compared in one task as a product of 0/1 matrices and gives back a spanning forest of its
-links. Pairs are never listed, and every comparison is exact.
+Equal sets are one: a set goes by a hash of its n-grams, and a task sends what it has to say
+of a set once, so that a text which a third of all documents have sends few rows. Candidates
+of a segment are compared with its least member and linked ones merged, so that a group of
+close copies costs its size, not its square. Where members of different classes remain, all
+that share segments, directly or over others, form a cluster. A large cluster whose segments
+have few members each is compared segment by segment instead, where that is less work. Either
+way members are dealt into blocks of bounded size; each pair of blocks is compared in one
+task as a product of 0/1 matrices and gives back a spanning forest of its links. Pairs are
+never listed, and every comparison is of whole sets.
 """
 
 from __future__ import annotations
@@ -33,8 +36,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_arrow, keyed, kept, table
 from tidemark.llm.graph import components
-from tidemark.llm.words import Words, mix, signed, words_of
+from tidemark.llm.words import Hasher, Words, mix, new_key, signed, words_of
 from tidemark.llm.words import gathered as joined
+from tidemark.operators.scale import lookup_join
 
 LENGTH = 5
 #: The similarity, as a fraction.
@@ -47,6 +51,8 @@ SPARE, MORE = 1.3, 8
 BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 18
 #: N-grams that are columns of a matrix at a time.
 TILE = 2048
+#: Sets that a task remembers to have sent; then it begins anew.
+REMEMBERED = 200_000
 #: Bits of the filter that keeps sets nobody compares from being sent.
 FILTER_BITS = 1 << 22
 
@@ -107,6 +113,30 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def set_names(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of each row's set, whatever order its n-grams are in."""
+    size = np.diff(first).astype(np.uint64)
+    return signed(mix(_sums(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), first) + size))
+
+
+class _Fresh:
+    """Whether a task meets a set for the first time, as far back as it remembers."""
+
+    def __init__(self) -> None:
+        self.seen: set[int] = set()
+
+    def __call__(self, names: np.ndarray) -> np.ndarray:
+        fresh = np.ones(len(names), bool)
+        for i, name in enumerate(names.tolist()):
+            if name in self.seen:
+                fresh[i] = False
+            else:
+                if len(self.seen) >= REMEMBERED:
+                    self.seen.clear()
+                self.seen.add(name)
+        return fresh
+
+
 @dataclass
 class Segments:
     """Filled segments of sets on one side: their set, hash, and the n-grams in them."""
@@ -139,16 +169,17 @@ class Segments:
         )
 
 
-def describe(docs: DataFrame, length: int, bands: Bands) -> DataFrame:
+def describe(docs: DataFrame, length: int, bands: Bands, secret: bytes) -> DataFrame:
     """`_node`, `_id`, `n`, `set` (hash) of all documents, and `weak`: bands, times four,
     plus 2 or 3, in which the set fills too few segments, and what has to be sent there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(secret)
         for batch in batches:
-            for words in words_of(batch.column(2), fold=True):
+            for words in words_of(batch.column(2), hasher, fold=True):
                 hashes, first = sets_of(words, length)
                 size = np.diff(first)
-                whole = mix(_sums(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), first) + size.astype(np.uint64))
+                whole = set_names(hashes, first)
                 weak: list[list[int]] = [[] for _ in size]
                 some = np.maximum(size, 1)
                 for _, chosen, band, differ in bands.sides(some):
@@ -159,28 +190,30 @@ def describe(docs: DataFrame, length: int, bands: Bands) -> DataFrame:
                 rows = len(size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(words.row, rows), batch.column(1).slice(words.row, rows),
-                     pa.array(size.astype(np.int64)), pa.array(signed(whole)), pa.array(weak, pa.list_(pa.int32()))],
+                     pa.array(size.astype(np.int64)), pa.array(whole), pa.array(weak, pa.list_(pa.int32()))],
                     ["_node", "_id", "n", "set", "weak"],
                 )
 
     return in_arrow(docs.select("_node", "_id", "text"), run, "_node long, _id long, n long, set long, weak array<int>")
 
 
-def signatures(docs: DataFrame, length: int, bands: Bands, levels: dict[int, int]) -> DataFrame:
-    """`key` (hash of a segment), `_node`, `code`: of the set, its size (times two, plus
-    the side) and, from bit 32 on, how many of its segments a linked set must share.
+def signatures(docs: DataFrame, length: int, bands: Bands, levels: dict[int, int], secret: bytes) -> DataFrame:
+    """`key` (hash of a segment), `_node` (name of the set), `code`: its size (times two,
+    plus the side) and, from bit 32 on, how many of its segments a linked set must share.
+    Several tasks may send the same rows.
     """
 
     def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        hasher, fresh = Hasher(secret), _Fresh()
         for batch in batches:
-            nodes = np.asarray(batch.column(0)).astype(np.int64)
-            for words in words_of(batch.column(1), fold=True):
+            for words in words_of(batch.column(0), hasher, fold=True):
                 hashes, first = sets_of(words, length)
                 size = np.diff(first)
                 some = np.maximum(size, 1)
-                node = nodes[words.row : words.row + len(size)]
+                node = set_names(hashes, first)
+                wanted = fresh(node) & (size > 0)
                 for side, chosen, band, differ in bands.sides(some):
-                    chosen = chosen & (size > 0)
+                    chosen = chosen & wanted
                     parts = Segments.of(hashes, first, chosen, band, bands.segments(np.maximum(band, 0)))
                     level = np.array([levels.get(int(b), 1) for b in band])
                     share = np.where(level > 1, 0, np.maximum(parts.filled - differ, 0))
@@ -205,8 +238,7 @@ def signatures(docs: DataFrame, length: int, bands: Bands, levels: dict[int, int
                 [pa.array(signed(key)), pa.array(node), pa.array(code)], ["key", "_node", "code"]
             )
 
-    return in_arrow(docs.select("_node", "text"), run, "key long, _node long, code long")
-
+    return in_arrow(docs.select("text"), run, "key long, _node long, code long")
 
 
 def _filter_of(nodes: DataFrame) -> np.ndarray:
@@ -221,28 +253,28 @@ def _filter_of(nodes: DataFrame) -> np.ndarray:
     return table
 
 
-def gathered(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """`_node`, `grams` (sorted, 8 bytes each) of the wanted nodes."""
+def gathered(docs: DataFrame, wanted: DataFrame, length: int, secret: bytes) -> DataFrame:
+    """`_node` (name of the set), `grams` (sorted, 8 bytes each) of the sets wanted, from
+    (`set`, `_node`): their names, and documents that have them."""
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(_filter_of(wanted)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = np.unpackbits(packed.value).view(bool)
+        hasher, fresh = Hasher(secret), _Fresh()
         for batch in batches:
             nodes = np.asarray(batch.column(0)).astype(np.int64)
-            use = passes[nodes % FILTER_BITS]
-            texts = batch.column(1).filter(pa.array(use))
-            nodes = nodes[use]
-            for words in words_of(texts, fold=True):
+            texts = batch.column(1).filter(pa.array(passes[nodes % FILTER_BITS]))
+            for words in words_of(texts, hasher, fold=True):
                 hashes, first = sets_of(words, length)
-                grams = [hashes[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[words.row : words.row + len(grams)]), pa.array(grams, pa.binary())],
-                    ["_node", "grams"],
-                )
+                names = set_names(hashes, first)
+                new = np.flatnonzero(fresh(names))
+                grams = [hashes[first[i] : first[i + 1]].tobytes() for i in new]
+                yield pa.RecordBatch.from_arrays([pa.array(names[new]), pa.array(grams, pa.binary())], ["_node", "grams"])
 
     found = in_arrow(docs.select("_node", "text"), run, "_node long, grams binary")
+    names = wanted.select(F.col("set").alias("_node"))
     # A repeated row of the table gives its set once.
-    return found.join(wanted, "_node", "left_semi").dropDuplicates(["_node"])
+    return found.join(names, "_node", "left_semi").dropDuplicates(["_node"])
 
 
 def linked(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
@@ -356,11 +388,12 @@ def _fits(n: str, m: str, bands: Bands):
     return low * bands.q >= high * bands.p
 
 
-def searched(keys: DataFrame, copies: DataFrame) -> DataFrame:
+def searched(keys: DataFrame) -> DataFrame:
     """Segments that several sets share and at least one is searched by: `key`, `_node`,
-    `n`, `probe`. `copies` are nodes whose set has another representative."""
-    shared = keys.withColumn("times", F.count("*").over(Window.partitionBy("key"))).filter("times > 1")
-    shared = shared.join(copies, "_node", "left_anti")
+    `n`, `probe`."""
+    each = Window.partitionBy("key")
+    told = {"times": F.count("*").over(each), "low": F.min("_node").over(each), "high": F.max("_node").over(each)}
+    shared = keys.withColumns(told).filter("low != high").drop("low", "high").distinct()
     own = Window.partitionBy("_node", F.col("code") % 2)
     rank = F.row_number().over(own.orderBy("times", "key"))
     # Of its shared segments a set must have `code >> 32` in common with any that it links to.
@@ -372,6 +405,23 @@ def searched(keys: DataFrame, copies: DataFrame) -> DataFrame:
     return found.filter("size > 1 AND any").select("key", "_node", "n", "probe")
 
 
+def _dealt(mixed: DataFrame) -> DataFrame:
+    """`_node`, `cluster`: what has to be compared with one another, from (`key`, `_node`),
+    the segments with members of different classes."""
+    ties = mixed.select(F.col("_node").alias("a"), F.min("_node").over(Window.partitionBy("key")).alias("b"))
+    clusters = kept(components(ties.distinct()).select(F.col("node").alias("_node"), F.col("component").alias("cluster")))
+    placed = kept(mixed.join(clusters, "_node"))
+    # Pairs that are compared, and members that are sent (each for as many as a block has).
+    each = placed.groupBy("cluster", "key").agg(F.count("*").alias("m"))
+    work = each.groupBy("cluster").agg(F.sum(F.col("m") * (F.col("m") + BLOCK_SETS)).alias("by_key"))
+    size = clusters.groupBy("cluster").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK_SETS)
+    apart = size.join(work, "cluster").filter(F.col("by_key") < 2.0 * F.col("n") * F.col("n"))
+    apart = kept(apart.select("cluster", F.lit(True).alias("apart")))
+    whole = lookup_join(clusters, apart, "cluster").filter("apart IS NULL").select("_node", "cluster")
+    single = lookup_join(placed, apart, "cluster").filter("apart")
+    return whole.union(single.select("_node", F.xxhash64(F.lit("key"), "key")))
+
+
 def _classed(
     df: DataFrame,
     doc_id: str,
@@ -394,19 +444,18 @@ def _classed(
         F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("_id"),
         F.col(f"`{text}`").alias("text"),
     )
-    docs = keyed(plain, "_id", "text")
-    sizes = kept(describe(docs, length, bands))
+    docs, secret = keyed(plain, "_id", "text"), new_key()
+    sizes = kept(describe(docs, length, bands, secret))
     filled = sizes.filter("n > 0")
     weak = filled.select(F.explode("weak").alias("w")).groupBy((F.col("w") / 4).cast("int").alias("band"))
     levels = {r.band: r.level for r in weak.agg(F.max(F.col("w") % 4).alias("level")).collect()}  # one row a band
 
     first = filled.groupBy("set", "n").agg(F.min(F.struct("_id", "_node")).alias("r"))
     first = kept(first.select("set", "n", "r._id", "r._node"))
-    copies = filled.join(first, "_node", "left_anti").select("_node")
-    # Of rows that repeat, one counts.
-    keys = signatures(docs, length, bands, levels)
-    found = kept(searched(keys, copies).distinct())
-    sets = kept(gathered(docs, found.select("_node").distinct(), length))
+    found = kept(searched(signatures(docs, length, bands, levels, secret)))
+    names = found.select(F.col("_node").alias("set")).distinct()
+    wanted = kept(first.select("set", "_node").join(names, "set", "left_semi"))
+    sets = kept(gathered(docs, wanted, length, secret))
 
     group = Window.partitionBy("key")
     star = found.withColumn("p", F.min(F.struct("_node", "n")).over(group))
@@ -418,16 +467,15 @@ def _classed(
 
     named = found.join(class_of, "_node", "left").withColumn("c", F.coalesce("c", "_node"))
     mixed = named.withColumns({"low": F.min("c").over(group), "high": F.max("c").over(group)}).filter("low != high")
-    ties = mixed.select(F.col("_node").alias("a"), F.min("_node").over(group).alias("b")).distinct()
-    clusters = kept(components(ties).select(F.col("node").alias("_node"), F.col("component").alias("cluster")))
+    clusters = _dealt(kept(mixed.select("key", "_node").distinct()))
     across = compared(clusters, sets, class_of, bands)
     classes = kept(components(links.union(across)))
 
     # From representatives to all sets, from sets to documents. Each least member is
     # written before it is joined, so that a large class can be split.
-    named = first.join(classes.withColumnRenamed("node", "_node"), "_node", "left")
+    named = first.join(classes.withColumnRenamed("node", "set"), "set", "left")
     own = F.struct("_id", "_node")
-    named = kept(named.select("set", "n", own.alias("own"), F.coalesce("component", "_node").alias("class")))
+    named = kept(named.select("set", "n", own.alias("own"), F.coalesce("component", "set").alias("class")))
     least = kept(named.groupBy("class").agg(F.min("own").alias("least")))
     named = kept(named.join(least, "class").select("set", "n", "least"))
     members = filled.select("_node", "n", "set").join(named, ["set", "n"]).select("_node", "n", "least")

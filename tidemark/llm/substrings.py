@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ids_tell, in_arrow, keyed, kept, table
-from tidemark.llm.words import gathered, mix, signed, words_of
+from tidemark.llm.words import Hasher, gathered, mix, new_key, signed, words_of
 
 WINDOW = 20
 #: Perfect difference sets. Every remainder is a difference of two members.
@@ -61,15 +61,16 @@ def _own_key(hashes: np.ndarray, known: np.ndarray, *place: np.ndarray) -> np.nd
     return np.where(known, other, hashes)
 
 
-def anchors(docs: DataFrame, window: int) -> DataFrame:
+def anchors(docs: DataFrame, window: int, secret: bytes) -> DataFrame:
     """Anchor runs of all documents: `key`, `_node`, `spot`: its word times two, plus 1 if
     the task has just seen the run more than once."""
     period, marks, length = cover_for(window)
 
     def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        by_key = Hasher(secret)
         for batch in batches:
             nodes = np.asarray(batch.column(2)).astype(np.int64)
-            for w in words_of(batch.column(3)):
+            for w in words_of(batch.column(3), by_key):
                 hashes, starts = w.runs(length)
                 owner = w.owner()[starts]
                 at = starts - w.first[owner]
@@ -90,7 +91,7 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
     return in_arrow(docs.select("row", "_id", "_node", "text"), run, "key long, _node long, spot long")
 
 
-def windows(near: DataFrame, window: int, order: list[str]) -> DataFrame:
+def windows(near: DataFrame, window: int, order: list[str], secret: bytes) -> DataFrame:
     """Windows that hold an anchor of `spots`: `key`, the columns of `order` (`_id` and
     `_node`, or `_node` alone where that is the id) and `spot`: the first word times two,
     plus 1 if the task has just seen an earlier one."""
@@ -98,10 +99,11 @@ def windows(near: DataFrame, window: int, order: list[str]) -> DataFrame:
     names = ["key", *order, "spot"]
 
     def found_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        by_key = Hasher(secret)
         for batch in batches:
             ids, nodes = (np.asarray(batch.column(i)).astype(np.int64) for i in (1, 2))
             spots = batch.column(4)
-            for w in words_of(batch.column(3)):
+            for w in words_of(batch.column(3), by_key):
                 hashes, starts = w.runs(window)
                 wanted = np.zeros(len(w.hashes) + 1, np.int32)
                 rows = len(w.first) - 1
@@ -181,19 +183,20 @@ def repeated_words(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     # Whoever reads texts reads all four columns, so that one shuffle of them serves all.
     order = ["_node"] if ids_tell(plain, "_id", "text") else ["_id", "_node"]
     docs = keyed(plain, "_id", "text").select("row", "_id", "_node", "text")
-    whole = [F.xxhash64(F.lit(i), "text") for i in (1, 2)]
-    firsts = docs.groupBy(*whole).agg(F.min(F.struct("_id", "_node")).alias("f")).select("f._node")
+    whole = F.unhex(F.sha2("text", 256))
+    firsts = docs.groupBy(whole).agg(F.min(F.struct("_id", "_node")).alias("f")).select("f._node")
     copies = kept(docs.select("_node").distinct().join(firsts, "_node", "left_anti"))
     # An outer join, as an anti join would be moved below the shuffle that others read.
     again = docs.join(copies.withColumn("copy", F.lit(True)), "_node", "left").filter("copy IS NULL")
-    found = anchors(again, window)
+    secret = new_key()
+    found = anchors(again, window, secret)
     times = F.count("*").over(Window.partitionBy("key"))
     live = found.withColumn("times", times).filter((F.col("spot") % 2 == 1) | (F.col("times") > 1))
     spots = live.groupBy("_node").agg(F.collect_list(F.shiftright("spot", 1)).alias("spots"))
     near = docs.join(spots, "_node")
     known = F.col("spot") % 2 == 1
     # Dealt out here, as the window would have its structs made first and send them along.
-    places = windows(near, window, order).repartition("key").withColumn("place", F.struct(*order, "spot"))
+    places = windows(near, window, order, secret).repartition("key").withColumn("place", F.struct(*order, "spot"))
     first = F.min(F.when(~known, F.col("place"))).over(Window.partitionBy("key"))
     repeats = places.withColumn("first", first).filter(known | (F.col("place") > F.col("first")))
     repeats = repeats.groupBy("_node").agg(F.collect_list(F.shiftright("spot", 1)).alias("repeats"))
