@@ -50,8 +50,9 @@ def stored_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates_of(table(spark, sf_dir, "orders").filter(F.col("o_orderdate") <= until))
 
 
-def rate_documents(orders: DataFrame) -> DataFrame:
-    """One JSON text per order: its rate on the day and, unchanged, on the next day.
+def rate_documents(orders: DataFrame, spread: bool = False) -> DataFrame:
+    """One JSON text per order: its rate on the day and, unchanged, on the next day. With
+    ``spread`` two of three texts go over several lines.
 
     Documents stay one per order: one per currency would gather a fifth of all rows
     into a single text.
@@ -66,7 +67,10 @@ def rate_documents(orders: DataFrame) -> DataFrame:
         )
     )
     document = F.struct(F.col("o_orderpriority").alias("code"), entries.alias("rates"))
-    return orders.select(F.to_json(document).alias("document"))
+    text = F.to_json(document)
+    if spread:
+        text = F.when(F.col("o_orderkey") % 3 == 0, text).otherwise(F.to_json(document, {"pretty": "true"}))
+    return orders.select(text.alias("document"))
 
 
 def parsed_rates(documents: DataFrame) -> DataFrame:

@@ -303,6 +303,7 @@ ORACLES: dict[str, str] = {
         FROM events
     """,
     "landed_rates_rebuild": f"SELECT DISTINCT * FROM ({_TWO_DAYS}) AS r",
+    "landed_rates_multiline": f"SELECT DISTINCT * FROM ({_TWO_DAYS}) AS r",
     "landed_spreads_append": _one_per_key(
         """
         SELECT *, CAST(ask_price - bid_price AS DECIMAL(11, 4)) AS spread_value
@@ -329,6 +330,10 @@ ORACLES: dict[str, str] = {
         SELECT {_ohlc("DECIMAL(12, 2)")} FROM lineitem
         WHERE l_discount <> 0.1 AND l_tax <> 0.08 AND l_quantity <> 1 AND l_extendedprice > 0
     """,
+    "landed_bars_line_breaks": f"""
+        SELECT {_ohlc("DECIMAL(12, 2)")} FROM lineitem
+        WHERE l_discount <> 0.1 AND l_tax <> 0.08 AND l_quantity <> 1 AND l_extendedprice > 0
+    """,
     "landed_rates_batch": _one_per_key(
         f"""
         SELECT currency_code, exchange_date, rate_value
@@ -344,11 +349,11 @@ ORACLES: dict[str, str] = {
     "landed_backfill_plan": """
         SELECT c.code AS currency_code, CAST(y.year AS INTEGER) AS year,
                make_date(y.year, 1, 1) AS start_date, make_date(y.year, 12, 31) AS end_date
-        FROM (SELECT DISTINCT o_orderpriority AS code FROM orders WHERE o_orderstatus = 'P') AS c,
+        FROM (SELECT DISTINCT o_orderpriority AS code FROM orders) AS c,
              (SELECT unnest(range(1998, 2002)) AS year) AS y
         WHERE NOT EXISTS (
             SELECT 1 FROM orders
-            WHERE o_orderstatus = 'P' AND o_orderpriority = c.code AND c.code < '3'
+            WHERE o_orderpriority = c.code AND c.code < '3'
               AND year(o_orderdate) = y.year AND y.year IN (1999, 2001))
     """,
     "landed_bars_quoted_headers": f"""

@@ -430,6 +430,15 @@ def landed_rates_rebuild(spark, sf_dir):
     return store.read(RATES)
 
 
+@query
+def landed_rates_multiline(spark, sf_dir):
+    """Documents of which two of three go over several lines, many of them in each file."""
+    texts = rate_documents(table(spark, sf_dir, "orders"), spread=True)
+    store = _store(spark)
+    rate_plans.rebuild_rates(store, _landed_text(texts, "rates"))
+    return store.read(RATES)
+
+
 @query
 def landed_spreads_append(spark, sf_dir):
     folder = _landed_text(spread_documents(spark, sf_dir), "spreads")
@@ -494,13 +503,13 @@ def landed_rates_batch(spark, sf_dir):
 def landed_backfill_plan(spark, sf_dir):
     """The years from 1998 to 2001 of which a priority has nothing landed, after two
     landings of the same documents."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    orders = table(spark, sf_dir, "orders")
     folder = scratch_path(spark, "landing")
-    codes = [r.o_orderpriority for r in orders.select("o_orderpriority").distinct().collect()]
     for year in (1999, 2001, 1999):
         chosen = orders.filter((F.year("o_orderdate") == year) & (F.col("o_orderpriority") < "3"))
         land_new_documents(parsed_rates(rate_documents(chosen)), folder, str(year))
-    return rate_plans.plan_rate_backfill(spark, sorted(codes), folder, 1998, 2001)
+    codes = orders.select(F.col("o_orderpriority").alias("currency_code"))
+    return rate_plans.plan_rate_backfill(spark, codes, folder, 1998, 2001)
 
 
 @query
@@ -514,6 +523,17 @@ def landed_bars_quoted_headers(spark, sf_dir):
     return store.read(BARS)
 
 
+@query
+def landed_bars_line_breaks(spark, sf_dir):
+    """Bars with a quoted remark that goes over two lines, on every third of them."""
+    folder = scratch_path(spark, "bars")
+    remark = F.when(F.col("volume").cast("double") % 3 == 0, 'late,\n"amended"').otherwise("none")
+    text_bars(spark, sf_dir).withColumn("remark", remark).write.option("header", True).option("escape", '"').csv(folder)
+    store = _store(spark)
+    bar_plans.rebuild_bars(store, folder, layout=None)
+    return store.read(BARS)
+
+
 @query
 def load_gate_per_key(spark, sf_dir):
     """Whether the newest event is past the stored rate of the priority that lags most."""

@@ -19,8 +19,11 @@ from landing import (
     rows_of,
 )
 from tidemark.operators import silver
-from tidemark.schemas import BARS, HISTORY_BARS, INCREMENT_BARS, RATE_DOCUMENT, RATES, SPREADS
+from tidemark.plans import bars as bar_plans
+from tidemark.plans import rates as rate_plans
+from tidemark.schemas import BARS, GOLD_DOCUMENT, HISTORY_BARS, INCREMENT_BARS, RATE_DOCUMENT, RATES, SPREADS
 from tidemark.sources import bronze, landing, payloads
+from tidemark.sources.stores import ParquetStore
 
 
 def test_rate_documents_become_typed_rows(spark, tmp_path):
@@ -270,3 +273,126 @@ def test_h14_landed_bars_have_safe_folders(spark, tmp_path):
         )
     )
     assert sorted(r.ticker for r in back.collect()) == ["BRK-B", "GC=F", "^GSPC"]
+
+
+def test_documents_of_any_form_in_one_file(spark, tmp_path):
+    spread = json.dumps(rates_a("USD", **{"2025-01-02": 1.5}), indent=1)
+    second = json.dumps(rates_a("EUR", **{"2025-01-03": 2.5}), indent=2)
+    line = json.dumps(rates_a("CHF", **{"2025-01-04": 3.5}))
+    brackets = json.dumps({"code": "a{[\"}\\", "rates": [{"effectiveDate": "2025-01-05", "mid": 4.5}]})
+    array = json.dumps([rates_a("GBP", **{"2025-01-06": 5.5}), rates_a("NOK", **{"2025-01-07": 6.5})], indent=1)
+    put_text(tmp_path, "a.json", spread, second, line, "", brackets, array, line + " " + brackets)
+    put_text(tmp_path, "b.json", line, line.replace("CHF", "SEK"))
+    put_text(tmp_path, "c.json", array.replace("\n", " "))
+    got = sorted((r.code, len(r.rates), r.rates[0].mid) for r in bronze.read_rates(spark, str(tmp_path)).collect())
+    assert [g[0] for g in got] == sorted(
+        ["USD", "EUR", "CHF", 'a{["}\\', "GBP", "NOK", "CHF", 'a{["}\\', "CHF", "SEK", "GBP", "NOK"]
+    )
+    assert all(n == 1 for _, n, _ in got)
+    forced = bronze.read_rates(spark, str(tmp_path), multiline=True)
+    assert forced.count() == len(got)
+
+
+def test_two_spread_documents_are_both_loaded(spark, tmp_path):
+    documents = [json.dumps(rates_a(c, **{"2025-01-02": 1.5}), indent=1) for c in ("USD", "EUR")]
+    put_text(tmp_path / "in", "a.json", *documents)
+    store = ParquetStore(spark, str(tmp_path / "facts"))
+    result = rate_plans.rebuild_rates(store, str(tmp_path / "in"))
+    assert (result.status, result.n_rows) == ("LOADED", 2)
+
+
+def test_documents_over_many_blocks_of_a_file(spark, tmp_path):
+    documents = [rates_a(f"C{i}", **{"2025-01-02": i + 0.5}) for i in range(300)]
+    texts = [json.dumps(d, indent=1 if i % 3 else None) for i, d in enumerate(documents)]
+    put_text(tmp_path, "a.json", *texts)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(n) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, "2000")
+        lines = bronze.json_lines(spark, [str(tmp_path)])
+        assert lines.select("block").distinct().count() > 5
+        got = {r.code: r.rates[0].mid for r in bronze.read_rates(spark, str(tmp_path)).collect()}
+    finally:
+        for n, value in zip(names, old):
+            spark.conf.set(n, value)
+    assert got == {d["code"]: i + 0.5 for i, d in enumerate(documents)}
+
+
+def test_a_document_that_never_ends_is_an_error(spark, tmp_path):
+    put_text(tmp_path, "a.json", json.dumps(rates_a("USD", **{"2025-01-02": 1.5})), '{"code": "EUR", "rates": [')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        bronze.read_rates(spark, str(tmp_path)).collect()
+
+
+def test_a_batch_of_many_codes_is_one_scan(spark, tmp_path):
+    codes = [f"{i:03d}" for i in range(30)]
+    for code in codes:
+        put_text(tmp_path / f"code={code}" / "period=2025", "part.json", json.dumps({"rates": [{"effectiveDate": "2025-01-02", "mid": 1.0}]}))
+        put_text(tmp_path / f"code={code}" / "period=2024", "part.json", "broken")
+    batch = bronze.read_batch(spark, str(tmp_path), RATE_DOCUMENT, "rate_*_", "2025")
+    assert sorted(r.code for r in batch.collect()) == codes
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_cells_with_line_breaks_keep_their_rows(spark, tmp_path):
+    put_text(tmp_path, "a.csv", "Date,Close,Note,Symbol,Open,High,Low,Volume", '2025-01-02,1,"two', 'lines, and ""more""', '",AAPL,1,1,1,5', "2025-01-03,2,,AAPL,1,1,1,6")
+    put_text(tmp_path, "b.csv", "Date,Close,Symbol,Open,High,Low,Volume", "2025-01-02,3,MSFT,1,1,1,7")
+    store = ParquetStore(spark, str(tmp_path / "facts"))
+    (tmp_path / "in").mkdir()
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / name).rename(tmp_path / "in" / name)
+    result = bar_plans.rebuild_bars(store, str(tmp_path / "in"), layout=None)
+    assert (result.status, result.n_rows) == ("LOADED", 3)
+    assert sorted((r.ticker, str(r.close_price)) for r in store.read(BARS).collect()) == [("AAPL", "1.00"), ("AAPL", "2.00"), ("MSFT", "3.00")]
+
+
+def files_below(folder):
+    return sorted(str(p) for p in folder.rglob("part-*") if landing.MANIFEST not in str(p))
+
+
+@pytest.mark.parametrize("dataset", ["rates", "spreads", "gold", "bars"])
+def test_a_second_landing_adds_nothing(spark, tmp_path, dataset):
+    path = tmp_path / "in"
+    tables = {
+        "rates": ([("USD", 1.0), ("EUR/X", 2.0)], "code string, mid double"),
+        "spreads": ([("USD", 1.0), ("EUR/X", 2.0)], "code string, bid double"),
+        "gold": ([("2025-01-02", 1.0)], "data string, cena double"),
+        "bars": ([("GC=F", 1.0), ("AAPL", 2.0)], "ticker string, Close double"),
+    }
+    df = spark.createDataFrame(*tables[dataset])
+    land = landing.land_new_bars if dataset == "bars" else landing.land_new_documents
+    land(df, str(path), "2024")
+    first = files_below(path)
+    land(df, str(path), "2024")
+    assert first and files_below(path) == first
+    land(df, str(path), "2025")
+    assert len(files_below(path)) == 2 * len(first)
+    told = landing.manifest(spark, str(path))
+    assert told.count() == 2 * df.count() and told.columns == ["key", "period", "folder"]
+    # What was never noted down is told by the files.
+    assert rows_of(landing._lying(spark, str(path)).select("key", "period")) == rows_of(told.select("key", "period"))
+
+
+def test_new_keys_of_a_landed_period_land(spark, tmp_path):
+    rows = spark.createDataFrame([("USD", 1.0), ("EUR", 2.0)], "code string, mid double")
+    landing.land_documents(rows.filter("code = 'USD'"), str(tmp_path / "in"), "2024")
+    landing.land_new_documents(rows, str(tmp_path / "in"), "2024")
+    assert len(files_below(tmp_path / "in")) == 2
+    more = spark.createDataFrame([("EUR", 3.0)], "code string, mid double")
+    landing.land_documents(more, str(tmp_path / "in"), "2023")
+    landing.land_new_documents(more, str(tmp_path / "in"), "2023")
+    assert len(files_below(tmp_path / "in")) == 3
+    plan = rate_plans.plan_rate_backfill(spark, ["USD", "EUR", "CHF"], str(tmp_path / "in"), 2024, 2025)
+    assert sorted((r.currency_code, r.year) for r in plan.collect()) == [("CHF", 2024), ("CHF", 2025), ("EUR", 2025), ("USD", 2025)]
+
+
+def test_gold_lands_loads_and_is_planned(spark, tmp_path):
+    quotes = spark.createDataFrame([("2024-01-02", 250.5)], "data string, cena double")
+    landing.land_new_documents(quotes, str(tmp_path / "in"), "2024")
+    batch = bronze.read_batch(spark, str(tmp_path / "in"), GOLD_DOCUMENT, "gold_", "2024")
+    assert [(r.data, r.cena) for r in batch.collect()] == [("2024-01-02", 250.5)]
+    plan = rate_plans.plan_gold_backfill(spark, str(tmp_path / "in"), 2023, 2024)
+    assert [(r.currency_code, r.year) for r in plan.collect()] == [("XAU", 2023)]
+    assert [r.year for r in rate_plans.plan_gold_backfill(spark, str(tmp_path / "none"), 2024, 2024).collect()] == [2024]

@@ -46,7 +46,7 @@ from tidemark.sources.bronze import (
     read_snapshot,
     read_spreads,
 )
-from tidemark.sources.landing import landed
+from tidemark.sources.landing import GOLD_KEY, manifest
 from tidemark.sources.stores import FactStore, LoadResult, append_new
 from tidemark.sources.universe import CURRENCIES, SPREAD_CURRENCIES, currencies
 
@@ -153,15 +153,24 @@ def plan_rate_fetch(
     )
 
 
+def _backfill(wanted: DataFrame, present: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    years = present.select(F.col("key").alias("currency_code"), F.col("period").try_cast("int").alias("year"))
+    return backfill_plan(wanted, years, "currency_code", first_year, last_year)
+
+
 def plan_rate_backfill(
-    spark: SparkSession, codes: Sequence[str], path: str, first_year: int, last_year: int
+    spark: SparkSession, codes: Sequence[str] | DataFrame, path: str, first_year: int, last_year: int
 ) -> DataFrame:
     """(currency_code, year, start_date, end_date) of the years that have not landed under
-    ``path``, where the period of a document is its year."""
-    present = landed(spark, path, ["code", "period"]).select(
-        F.col("code").alias("currency_code"), F.col("period").try_cast("int").alias("year")
-    )
-    return backfill_plan(currencies(spark, codes), present, "currency_code", first_year, last_year)
+    ``path``, where the period of a document is its year. ``codes`` is a list, or a table
+    with ``currency_code``."""
+    wanted = codes if isinstance(codes, DataFrame) else currencies(spark, codes)
+    return _backfill(wanted, manifest(spark, path), first_year, last_year)
+
+
+def plan_gold_backfill(spark: SparkSession, path: str, first_year: int, last_year: int) -> DataFrame:
+    """``plan_rate_backfill`` of gold, whose documents name no code."""
+    return _backfill(currencies(spark, [GOLD_KEY]), manifest(spark, path), first_year, last_year)
 
 
 def load_rates(store: FactStore, landing: RatesLanding, scope: str = "key") -> list[LoadResult]:

@@ -9,7 +9,6 @@ whose header is not one of bars.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +25,7 @@ from tidemark.schemas import (
 )
 from tidemark.session import settle
 from tidemark.sources.landing import matching
+from tidemark.sources.records import file_lines, json_lines, open_brackets, quotes, whole_records
 
 Paths = str | Sequence[str]
 
@@ -39,37 +39,11 @@ def json_options(reader, schema: T.StructType, only: str | None, multiline: bool
     return reader.option("pathGlobFilter", only) if only else reader
 
 
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(context._jsc.hadoopConfiguration())
-    return "*" not in path and "{" not in path and files.exists(target) and files.getFileStatus(target).isDirectory()
-
-
-def _first_lines(lines: DataFrame, name: str) -> DataFrame:
-    """(file, ``name``): the first line of each file that is not blank, from (file, block,
-    value). A file's first block is read by one task, in order."""
-    told = lines.filter((F.trim("value") != "") & (F.col("block") == 0))
-    told = told.withColumn("_at", F.monotonically_increasing_id())
-    return told.groupBy("file").agg(F.min_by("value", "_at").alias(name))
-
-
-def _forms(spark: SparkSession, paths: list[str], only: str | None) -> dict[bool, list[str]]:
-    """Files by form: True for one document over several lines, False for one a line.
-
-    The first line of a file that is not blank tells: it is a whole document or it is not.
-    """
-    reader = spark.read.option("pathGlobFilter", only) if only else spark.read
-    lines = reader.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        "value",
-    )
-    firsts = _first_lines(lines, "line")
-    whole = F.get_json_object("line", "$").isNotNull()
-    forms = firsts.groupBy((~whole).alias("spread")).agg(F.collect_list("file").alias("files"))
-    # The driver lists the files of a read in any case. The names come as parts of URLs.
-    return {r.spread: [unquote(f) for f in r.files] for r in forms.collect()}
+def _code_of(file: Column) -> Column:
+    """The code that a file's folder names, as the landing writes it."""
+    named = F.regexp_extract(file, r"/code=([^/]+)/", 1)
+    # The path is part of a URL, and a folder's name is escaped once more.
+    return F.when(named != "", F.try_url_decode(F.try_url_decode(F.replace(named, F.lit("+"), F.lit("%2B")))))
 
 
 def read_documents(
@@ -79,36 +53,36 @@ def read_documents(
     only: str | None = None,
     multiline: bool | None = None,
 ) -> DataFrame:
-    """Documents of files that hold one over several lines or one a line. With a pattern in
-    ``paths``, name files or the last folders: partition values above are not told apart."""
-
-    def read(some: list[str], form: bool, **options: str) -> DataFrame:
-        return json_options(spark.read.options(**options), schema, only, form).json(some)
-
-    given = _paths(paths)
-    if multiline is not None:
-        return read(given, multiline)
-    parts = []
-    for path in given:
-        # Files are named one by one; the base path tells which of their folders are values.
-        base = {"basePath": path} if _is_folder(spark, path) else {}
-        parts += [read(files, form, **base) for form, files in _forms(spark, [path], only).items()]
-    if not parts:
-        return spark.createDataFrame([], schema)
-    whole = parts[0].select(*schema.fieldNames())
-    for part in parts[1:]:
-        whole = whole.unionByName(part.select(*schema.fieldNames()))
-    return whole
+    """Documents of files that hold one a line, some over several lines, or both. With
+    ``multiline=False`` all files hold one a line: that saves a look at their brackets.
+
+    A document ends where all its brackets are closed, outside strings; brackets are summed
+    per file and per block of it, and the names of files stay with the data. The code of a
+    folder is the code of documents without one.
+    """
+    if multiline is False:
+        return json_options(spark.read, schema, only, False).json(_paths(paths))
+    lines = json_lines(spark, _paths(paths), only)
+    odd = F.bool_or(open_brackets(F.col("value")) != 0)
+    files = settle(lines.groupBy("file").agg(odd.alias("odd")))
+    texts = whole_records(lines, files, open_brackets(F.col("value")), lambda depth: depth == 0)
+    coded = "code" in schema.fieldNames()
+    extra = [_code_of(F.col("file")).alias("_code")] if coded else []
+    # The generator keeps the parse in one place. A document by itself is an array of one.
+    parsed = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
+    rows = texts.select(*extra, F.inline(parsed))
+    columns = {"code": F.coalesce("code", "_code").alias("code")} if coded else {}
+    return rows.select(*[columns.get(n, F.col(f"`{n}`")) for n in schema.fieldNames()])
 
 
 def batch_paths(spark: SparkSession, paths: Paths, prefix: str, batch: str) -> list[str]:
-    """Where the documents of one batch lie: files named by prefix and batch, and folders
-    of the period as the landing writes them. None at all is an error."""
+    """Patterns of where the documents of one batch lie: files named by prefix and batch,
+    and folders of the period as the landing writes them. None at all is an error."""
     wanted = []
     for path in _paths(paths):
         root = path.rstrip("/")
         for pattern in (f"{root}/{prefix}{batch}.json", f"{root}/code=*/period={batch}", f"{root}/period={batch}"):
-            wanted += matching(spark, pattern)
+            wanted += [pattern] if matching(spark, pattern) else []
     if not wanted:
         raise FileNotFoundError(f"nothing has landed for {prefix}{batch} in {paths}")
     return wanted
@@ -117,29 +91,17 @@ def batch_paths(spark: SparkSession, paths: Paths, prefix: str, batch: str) -> l
 def read_batch(
     spark: SparkSession, paths: Paths, schema: T.StructType, prefix: str, batch: str
 ) -> DataFrame:
-    """All documents of one batch, of whichever form; the code of a folder is the code of
-    its documents."""
-    wanted = batch_paths(spark, paths, prefix, batch)
-    files = [p for p in wanted if p.endswith(".json")]
-    parts = [read_documents(spark, files, schema)] if files else []
-    for folder in (p for p in wanted if not p.endswith(".json")):
-        code = folder.rpartition("/code=")[2].partition("/")[0] if "/code=" in folder else None
-        part = read_documents(spark, folder, schema)
-        if code is not None and "code" in schema.fieldNames():
-            part = part.withColumn("code", F.coalesce("code", F.lit(unquote(code))))
-        parts.append(part.select(*schema.fieldNames()))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    """All documents of one batch, of whichever form, in one scan of what its patterns name;
+    the code of a folder is the code of its documents."""
+    return read_documents(spark, batch_paths(spark, paths, prefix, batch), schema)
 
 
 def read_rates(
     spark: SparkSession, paths: Paths, only: str | None = None, multiline: bool | None = None
 ) -> DataFrame:
     """Mid-rate documents of one or more folders; ``only`` is a file name pattern such
-    as ``rate_*_2025-01-03.json``. Files may hold one document over several lines, or one
-    a line; ``multiline`` saves the look at their first lines where all are of one form."""
+    as ``rate_*_2025-01-03.json``. Files may hold documents over several lines, or one a
+    line; ``multiline=False`` says that all are of the second form."""
     return read_documents(spark, paths, RATE_DOCUMENT, only, multiline)
 
 
@@ -177,6 +139,7 @@ def read_bars(spark: SparkSession, paths: Paths, layout: BarLayout) -> DataFrame
         spark.read.schema(layout.schema)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("recursiveFileLookup", True)
         .csv(_paths(paths))
         .select(*layout.needed)
     )
@@ -196,36 +159,39 @@ BAR_NAMES = {
 
 
 def _cells(line: Column) -> Column:
-    """The cells of a CSV line, without the quotes around them."""
-    cells = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit('("(?:[^"]|"")*"|[^,]*),'), F.lit(1))
+    """The cells of a CSV record, without the quotes around them."""
+    cells = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit('("(?:[^"]|"")*+"|[^,]*),'), F.lit(1))
 
     def bare(cell: Column) -> Column:
         cell = F.trim(cell)
         inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
         return F.when(cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1), inner).otherwise(cell)
 
-    return F.transform(cells, bare)
+    plain = F.transform(F.split(line, ",", -1), lambda cell: F.trim(cell))
+    return F.when(line.contains('"'), F.transform(cells, bare)).otherwise(plain)
 
 
 def read_mixed_bars(spark: SparkSession, paths: Paths) -> DataFrame:
     """Bar files whose headers differ in order, in quotes or in extra columns, as text
-    columns of the vendor layout. Every row is read by the header of its own file: the
-    first line that is not blank. A file whose header names no date or no close is an error.
+    columns of the vendor layout. Every record is read by the header of its own file: the
+    first line that is not blank. A quoted cell may hold line breaks. A file whose header
+    names no date or no close is an error.
     """
-    lines = spark.read.text(_paths(paths)).filter(F.trim("value") != "").select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        "value",
-    )
-    first = _first_lines(lines, "header")
+    lines = file_lines(spark, _paths(paths))
+    # A file's first block is read by one task, in order: its first line has the least place.
+    at_top = F.when(F.col("block") == 0, F.col("at"))
+    odd = F.bool_or(quotes(F.col("value")) % 2 != 0)
+    told = lines.groupBy("file").agg(F.min_by("value", at_top).alias("header"), odd.alias("odd"))
     names = F.transform(_cells(F.col("header")), lambda n: F.lower(F.trim(n)))
-    headers = settle(first.select("file", "header", names.alias("names")))
+    headers = settle(told.select("file", "odd", "header", names.alias("names")))
     lacking = [~F.arrays_overlap("names", F.array(*map(F.lit, BAR_NAMES[k]))) for k in ("date", "close")]
-    odd = [r.file for r in headers.filter(lacking[0] | lacking[1]).select("file").limit(20).collect()]
-    if odd:
-        raise ValueError(f"no header of bars in {', '.join(odd)}")
-    rows = lookup_join(lines.drop("block"), headers, "file").filter(F.col("value") != F.col("header"))
-    cells = rows.select("names", _cells(F.col("value")).alias("cells"))
+    wrong = [r.file for r in headers.filter(lacking[0] | lacking[1]).select("file").limit(20).collect()]
+    if wrong:
+        raise ValueError(f"no header of bars in {', '.join(wrong)}")
+    records = whole_records(lines, headers, quotes(F.col("value")), lambda n: n % 2 == 0).select("file", "value")
+    rows = lookup_join(records, headers.select("file", "header", "names"), "file").filter(F.col("value") != F.col("header"))
+    # The generator keeps the parse in one place, as each of the columns looks into the cells.
+    cells = rows.select("names", F.explode(F.array(_cells(F.col("value")))).alias("cells"))
 
     def named(aliases: Sequence[str]) -> Column:
         found = [F.array_position("names", a).cast("int") for a in aliases]
