@@ -234,6 +234,13 @@ ORACLES: dict[str, str] = {
               FROM orders) AS ranked
         WHERE place <= 30
     """,
+    "last_many_per_key": """
+        SELECT l_returnflag, CAST(l_shipdate AS DATE) AS ship_date, l_orderkey, l_linenumber
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag
+                  ORDER BY CAST(l_shipdate AS DATE) DESC, l_orderkey DESC, l_linenumber DESC) AS place
+              FROM lineitem) AS ranked
+        WHERE place <= 5000
+    """,
     "multi_source_union": _RATES,
     "history_rebuild": f"SELECT DISTINCT * FROM ({_TWO_DAYS}) AS r",
     "fetch_plan": f"""
@@ -390,4 +397,28 @@ ORACLES: dict[str, str] = {
     "landed_rates_stream": _one_per_key(
         _TWO_DAYS, _RATE_KEY, "rate_value DESC", _RATE_COLUMNS
     ),
+    "landed_rates_stream_cut": _one_per_key(
+        _TWO_DAYS, _RATE_KEY, "rate_value DESC", _RATE_COLUMNS
+    ),
+    "rejected_rows": f"""
+        WITH batch AS (
+            SELECT CASE WHEN o_custkey % 7 <> 0 THEN o_orderpriority END AS currency_code,
+                   CAST(o_orderdate AS DATE) AS exchange_date,
+                   CASE WHEN o_custkey % 11 <> 0 THEN CAST(o_totalprice AS DECIMAL(10, 4)) END AS rate_value
+            FROM orders),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY {_RATE_KEY} ORDER BY rate_value DESC NULLS LAST) AS place
+            FROM batch),
+        judged AS (
+            SELECT p.*, CASE WHEN p.currency_code IS NULL THEN 'no key' WHEN s.held THEN 'held'
+                             WHEN place > 1 THEN 'repeated' WHEN rate_value IS NULL THEN 'misfit'
+                             ELSE 'stored' END AS reason
+            FROM placed AS p
+            LEFT JOIN (SELECT DISTINCT {_RATE_KEY}, true AS held FROM ({_STORED}) AS x) AS s
+                ON s.currency_code = p.currency_code AND s.exchange_date = p.exchange_date)
+        SELECT 'stored' AS reason, true AS stored, count(*) AS n_rows FROM judged
+        WHERE reason IN ('stored', 'misfit')
+        UNION ALL
+        SELECT reason, reason = 'misfit', count(*) FROM judged WHERE reason <> 'stored' GROUP BY reason
+    """,
 }

@@ -324,6 +324,15 @@ def last_n_per_key(spark, sf_dir):
     return dedup.last_n_per_key(orders, "currency_code", newest, 30)
 
 
+@query
+def last_many_per_key(spark, sf_dir):
+    """More rows than are ranked: all from a day on, and the greatest of that day."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", iso_date(F.col("l_shipdate")).alias("ship_date"), "l_orderkey", "l_linenumber"
+    )
+    return dedup.last_n_per_key(lines, "l_returnflag", ["ship_date", "l_orderkey", "l_linenumber"], 5000)
+
+
 @query
 def multi_source_union(spark, sf_dir):
     """Orders before 1998 come in one column order, the others in another."""
@@ -574,3 +583,33 @@ def landed_rates_stream(spark, sf_dir):
     for _ in range(2):
         run_available(rate_stream(spark, folder, multiline=False), store, RATES, progress)
     return store.read(RATES)
+
+
+@query
+def landed_rates_stream_cut(spark, sf_dir):
+    """The stream in batches of one file each, of which the greatest row of a key stays."""
+    texts = rate_documents(table(spark, sf_dir, "orders")).repartition(4)
+    folder = _landed_text(texts, "rates")
+    store = _store(spark)
+    stream = rate_stream(spark, folder, multiline=False, files=1)
+    run_available(stream, store, RATES, scratch_path(spark, "progress"), survivor="greatest")
+    return store.read(RATES)
+
+
+@query
+def rejected_rows(spark, sf_dir):
+    """What becomes of all rates, some without a code or a value, after a part of them was
+    stored: rows that are stored, and those that are kept with a reason."""
+    store = _store(spark)
+    append_new(store, stored_rates(spark, sf_dir), RATES)
+    before = store.read(RATES).count()
+    batch = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_orderpriority")).alias("currency_code"),
+        iso_text(F.col("o_orderdate")).alias("exchange_date"),
+        F.when(F.col("o_custkey") % 11 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("rate_value"),
+    )
+    append_new(store, batch, RATES, keep_rejected=True)
+    added = store.read(RATES).agg((F.count("*") - before).alias("n_rows"))
+    added = added.select(F.lit("stored").alias("reason"), F.lit(True).alias("stored"), "n_rows")
+    kept = store.rejected(RATES).groupBy("reason", "stored").agg(F.count("*").alias("n_rows"))
+    return silver.union_by_name(added, kept)

@@ -67,3 +67,25 @@ def test_a_missing_table_is_told_by_the_sql_error_however_deep(spark, state, mis
     wrapped = jvm.java.lang.RuntimeException("outer", jvm.java.lang.IllegalStateException("inner", error))
     assert table_missing(spark, Raised(wrapped)) is missing
     assert table_missing(spark, Raised(jvm.java.lang.RuntimeException("no sql"))) is False
+
+
+def test_an_undated_read_asks_for_its_bounds(spark, store, monkeypatch):
+    from datetime import date as day
+
+    from tidemark.sources import stores
+
+    asked = []
+
+    def answer(self, options):
+        asked.append(dict(options))
+        if "MIN(" in options["dbtable"]:
+            return spark.createDataFrame([(day(2020, 1, 2), day(2024, 5, 6))], "low date, high date")
+        return spark.createDataFrame([], RATES.schema)
+
+    monkeypatch.setattr(stores.JdbcStore, "_stored", answer)
+    assert store.read(RATES).isEmpty()
+    assert asked[0]["dbtable"] == "(SELECT MIN(exchange_date) AS low, MAX(exchange_date) AS high FROM f_currency_rates) sub"
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"], asked[1]["numPartitions"]) == ("2020-01-02", "2024-05-06", "4")
+    asked.clear()
+    store.read(RATES, since=day(2023, 1, 1))
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"]) == ("2023-01-01", "2024-05-06")

@@ -323,3 +323,91 @@ def test_the_gate_follows_the_currency_that_lags(spark, tmp_path):
     key_gate = rate_plans.least_mark(store, RATES, "key").first().watermark
     assert (str(table_gate), str(key_gate)) == ("2025-01-03", "2025-01-01")
     assert str(rate_plans.least_mark(store, RATES, "key", ["EUR", "CHF"]).first().watermark) == "2020-01-01"
+
+
+def files_of(df):
+    return [f for f in df.inputFiles() if "_marks" not in f]
+
+
+def test_marks_are_kept_and_no_fact_file_is_read_for_them(spark, store):
+    append_new(store, rate_rows(spark, ("USD", "2024-06-01", "1"), ("EUR", "2023-01-01", "2")), RATES)
+    for step in range(3):
+        marks = store.watermark_per_key(RATES)
+        assert marks.inputFiles() and not files_of(marks)
+        assert not files_of(store.proxy_watermark(RATES, "USD", date(2020, 1, 1)))
+        plain = store.read(RATES).groupBy("currency_code").agg(F.max("exchange_date"))
+        assert rows_of(marks) == rows_of(plain)
+        assert store.proxy_watermark(RATES, "USD", date(2020, 1, 1)).first()[0] == day(f"202{4 + step}-06-01")
+        append_new(store, rate_rows(spark, ("USD", f"202{5 + step}-06-01", "1"), (f"N{step}", "2022-01-01", "2")), RATES)
+    store.overwrite(rate_rows(spark, ("CHF", "2021-01-01", "1")), RATES)
+    assert rows_of(store.watermark_per_key(RATES)) == [("CHF", day("2021-01-01"))]
+
+
+def test_marks_are_rebuilt_where_they_lack(spark, store):
+    append_new(store, rate_rows(spark, ("USD", "2024-06-01", "1")), RATES)
+    from tidemark.sources.files import remove
+
+    remove(spark, f"{store.root}/_marks")
+    assert rows_of(store.watermark_per_key(RATES)) == [("USD", day("2024-06-01"))]
+    append_new(store, rate_rows(spark, ("USD", "2024-06-01", "1"), ("EUR", "2020-06-01", "1")), RATES)
+    marks = store.watermark_per_key(RATES)
+    assert not files_of(marks) and rows_of(marks) == [("EUR", day("2020-06-01")), ("USD", day("2024-06-01"))]
+
+
+def test_a_failing_rebuild_leaves_the_table(spark, store):
+    append_new(store, rate_rows(spark, ("USD", "2024-06-01", "1")), RATES)
+    broken = rate_rows(spark, ("EUR", "2024-06-01", "1")).withColumn("rate_value", F.raise_error(F.lit("no")).cast("decimal(10,4)"))
+    with pytest.raises(Exception, match="no"):
+        store.overwrite(broken, RATES)
+    assert rows_of(store.read(RATES)) == [rate("USD", "2024-06-01", "1.0000")]
+    assert rows_of(store.watermark_per_key(RATES)) == [("USD", day("2024-06-01"))]
+    # A replacement may read the table that it replaces.
+    store.overwrite(store.read(RATES).unionByName(rate_rows(spark, ("EUR", "2023-06-01", "1"))), RATES)
+    assert store.read(RATES).count() == 2
+
+
+def test_a_replacement_that_was_cut_off_is_taken_back(spark, store):
+    from tidemark.sources.files import move
+
+    append_new(store, rate_rows(spark, ("USD", "2024-06-01", "1")), RATES)
+    move(spark, store.path(RATES), store._replaced(RATES))
+    assert store.read(RATES).count() == 1 and store.exists(RATES)
+    store.overwrite(rate_rows(spark, ("EUR", "2024-06-01", "1")), RATES)
+    assert [r.currency_code for r in store.read(RATES).collect()] == ["EUR"]
+
+
+def test_upserts_keep_the_greatest_row_under_any_cut(spark, tmp_path):
+    from tidemark.sources.stores import upsert_greatest
+
+    rows = [("USD", "2024-06-01", "1"), ("USD", "2024-06-01", "3"), ("USD", "2024-06-01", "2"), ("EUR", "2023-01-01", "5"),
+            ("EUR", "2022-01-01", "7"), ("EUR", "2023-01-01", "4")]
+    tables = []
+    for size in (1, 2, 6):
+        own = ParquetStore(spark, str(tmp_path / f"w{size}"))
+        results = [upsert_greatest(own, rate_rows(spark, *rows[i : i + size]), RATES) for i in range(0, 6, size)]
+        assert all(r.status in ("LOADED", "EMPTY") for r in results)
+        tables.append(rows_of(own.read(RATES)))
+        assert rows_of(own.watermark_per_key(RATES)) == [("EUR", day("2023-01-01")), ("USD", day("2024-06-01"))]
+    assert tables[0] == tables[1] == tables[2] == [
+        rate("EUR", "2022-01-01", "7.0000"), rate("EUR", "2023-01-01", "5.0000"), rate("USD", "2024-06-01", "3.0000")
+    ]
+    again = upsert_greatest(own, rate_rows(spark, *rows), RATES)
+    assert (again.status, again.n_rows) == ("EMPTY", 0)
+
+
+def test_every_row_is_stored_or_kept_with_a_reason(spark, store):
+    append_new(store, rate_rows(spark, ("USD", "2024-06-01", "1")), RATES)
+    batch = spark.createDataFrame(
+        [("USD", "2024-06-01", "9", 1), ("USD", "2024-06-02", "1", 2), ("USD", "2024-06-02", "1", 3), ("USD", "2024-06-02", "2", 4),
+         (None, "2024-06-01", "1", 5), ("EUR", "no date", "1", 6), ("EUR", "2024-06-01", "n/a", 7)],
+        "currency_code string, exchange_date string, rate_value string, extra int",
+    )
+    result = append_new(store, batch, RATES, keep_rejected=True)
+    assert (result.n_rows, result.n_no_key, result.n_misfit) == (2, 2, 1)
+    kept = store.rejected(RATES)
+    told = sorted((r.reason, r.stored, int(re.search(r'"extra":(\d)', r.row)[1])) for r in kept.collect())
+    assert [t for t in told if t[0] != "repeated"] == [("held", False, 1), ("misfit", True, 7), ("no key", False, 5), ("no key", False, 6)]
+    assert sorted(t[2] for t in told if t[0] == "repeated") == [2, 3]
+    assert kept.filter("NOT stored").count() + result.n_rows == batch.count()
+    again = append_new(store, batch, RATES, keep_rejected=True)
+    assert (again.status, again.n_rows) == ("EMPTY", 0) and store.rejected(RATES).filter("reason = 'held'").count() == 6

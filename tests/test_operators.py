@@ -392,3 +392,31 @@ def test_heavy_keys_stay_out_of_the_shuffled_join(spark):
 def test_measured_bytes_of_nested_values(spark):
     rows = spark.range(10).select(F.array_repeat(F.lit(7), 1000).alias("a"), F.struct(F.repeat(F.lit("x"), 500).alias("t")).alias("s"))
     assert scale.measured_bytes(rows) >= 10 * (8 * 1000 + 500)
+
+
+@pytest.mark.parametrize("n", [3, 40, 90, 5000])
+def test_last_n_beyond_what_is_ranked(spark, monkeypatch, n):
+    from tidemark.operators import dedup
+
+    monkeypatch.setattr(dedup, "RANKED", 2)
+    rows = [("a", i % 23, i) for i in range(300)] + [("b", 5, i) for i in range(60)] + [("c", None, 1), ("c", 1, 2), (None, 3, 4)]
+    df = spark.createDataFrame(rows, "k string, d int, v int").repartition(4)
+    dated = df.withColumn("d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")).cast("timestamp"))
+    for table, columns in ((df, ["d", "v"]), (dated, ["d", "v"])):
+        got = sorted(map(str, dedup.last_n_per_key(table, "k", columns, n).collect()))
+        every = {}
+        for r in table.collect():
+            every.setdefault(r.k, []).append(r)
+        low = date(1, 1, 1)
+        order = lambda r: (r.d is not None, r.d if r.d is not None else 0, r.v)
+        wanted = [r for group in every.values() for r in sorted(group, key=order, reverse=True)[:n]]
+        assert got == sorted(map(str, wanted)), low
+
+
+def test_large_n_sorts_no_whole_series(spark):
+    from tidemark.operators import dedup
+
+    df = spark.range(100).selectExpr("'a' AS k", "DATE'2024-01-01' + CAST(id % 50 AS INT) AS d", "id AS v")
+    plan = dedup.last_n_per_key(df, "k", ["d", "v"], 5000)._jdf.queryExecution().optimizedPlan().toString()
+    windows = plan.count("Window [")
+    assert windows == 2 and plan.count("Filter") >= 2  # both over the rows of the last day

@@ -24,7 +24,7 @@ from tidemark.schemas import (
     BarLayout,
 )
 from tidemark.session import settle
-from tidemark.sources.landing import matching
+from tidemark.sources.files import matching
 from tidemark.sources.records import file_lines, json_lines, open_brackets, quotes, whole_records
 
 Paths = str | Sequence[str]

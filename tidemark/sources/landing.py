@@ -13,22 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import safe_symbol
 from tidemark.session import settle
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asks the file system of the path; a failed read would tell as much, but leaves an
-    error in the log for every table not yet written."""
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
-
-
-def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Files and folders that a pattern names, as the file system lists them."""
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = target.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(target)
-    return [status.getPath().toString() for status in found or ()]
+from tidemark.sources.files import path_exists
 
 
 # What stands for the key of documents without a code: those of gold.

@@ -1,8 +1,8 @@
 """The incremental loads as available-now streams over the landing folders.
 
 The stream's checkpoint remembers which files were read, so a run picks up just the
-new ones. A batch that is replayed after a failure adds nothing, because the append
-skips keys the table holds.
+new ones. A batch that is replayed after a failure adds nothing, because keys that the
+table holds are skipped, or compared.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tidemark.schemas import (
     FactTable,
 )
 from tidemark.sources.bronze import json_options
-from tidemark.sources.stores import FactStore, LoadResult, append_new
+from tidemark.sources.stores import FactStore, LoadResult, append_new, upsert_greatest
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -98,17 +98,20 @@ def run_available(
     fact: FactTable,
     checkpoint: str,
     newer: Transform | None = None,
+    survivor: str = "stored",
 ) -> list[LoadResult]:
     """Load everything that has landed since the last run, then stop.
 
     ``newer`` may drop rows at or before a watermark; it sees each batch after the
-    earlier ones are stored.
+    earlier ones are stored. Of rows with one key the ``stored`` one stays, which depends
+    on how the files were cut into batches, or the ``greatest`` under any cut.
     """
     results: list[LoadResult] = []
+    store_rows = {"stored": append_new, "greatest": upsert_greatest}[survivor]
 
     def load(batch: DataFrame, _: int) -> None:
         rows = batch if newer is None else newer(batch)
-        results.append(append_new(store, rows, fact))
+        results.append(store_rows(store, rows, fact))
 
     query = (
         stream.writeStream.foreachBatch(load)
