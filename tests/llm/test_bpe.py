@@ -88,3 +88,26 @@ def test_query_like_the_library(spark):
         text = LIBRARY.decode(ids, skip_special_tokens=False)
         assert (r.n_tokens, r.ids_sha256) == (len(ids), sha256(" ".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == sha256(text.encode()).hexdigest()
+
+
+def test_every_mark_as_the_library_orders_it():
+    import sys
+    import unicodedata
+
+    marks = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M"]
+    assert len(marks) > 2000 and "࢘" in BPE.odd_marks and "́" not in BPE.odd_marks
+    for c in marks:
+        for text in (f"a{c}̣", f"á{c}", f"é{c}ͅ x{c}̴", unicodedata.normalize("NFD", f"b{c}া")):
+            ids = LIBRARY.encode(text, add_special_tokens=False).ids
+            assert list(BPE.encode(text)) == ids, ascii(text)
+
+
+def test_every_letter_as_the_library_has_it():
+    import sys
+    import unicodedata
+
+    for i in range(sys.maxunicode + 1):
+        c = chr(i)
+        if unicodedata.category(c) not in ("Cn", "Cs") and (c.lower() != c or unicodedata.decomposition(c)):
+            text = f"x{c}1 {unicodedata.normalize('NFD', c)}"
+            assert list(BPE.encode(text)) == LIBRARY.encode(text, add_special_tokens=False).ids, hex(i)

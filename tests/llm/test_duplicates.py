@@ -349,3 +349,9 @@ def test_large_clusters_are_compared_by_segment_where_that_is_less(spark, monkey
     assert sorted(map(sorted, groups.values())) == [[k, k + 1] for k in range(30)]
     star = spark.createDataFrame([(k, n) for k in range(40) for n in range(6)], "key long, _node long")
     assert {r.cluster for r in ngrams._dealt(star).collect()} == {0}
+
+
+def test_huge_and_tiny_vectors_link(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1.001e200], 1), (3, [1e-200, 1e-200], 1), (4, [3.0, 3.0], 1), (5, [5e-324, -1e-310], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_copies(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5)}

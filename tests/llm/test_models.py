@@ -107,3 +107,50 @@ def test_whole_text_counts():
     data = b"good words here " * 400 + b"bad # % junk ###" * 4000
     head = quality.difference(quality.blocks_of(data[:6400]), good, bad)[0]
     assert head > 0 > quality.difference(quality.blocks_of(data), good, bad)[0]
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(f"{chr(97 + i % 26) * 3}{chr(97 + i // 26) * 3} " * 20, f"l{i}") for i in range(300)] * 2
+    model = language.fit_language(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.languages) == 300
+
+
+def test_too_many_languages_are_an_error(spark):
+    import pytest
+
+    rows = [(f"some text {i}", f"l{i}") for i in range(1100)]
+    with pytest.raises(ValueError, match="1024"):
+        language.fit_language(spark.createDataFrame(rows, "text string, lang string"))
+
+
+def test_a_small_language_is_learned_beside_large_ones(spark):
+    rows = [(f"the quick brown fox {i} jumps", "en") for i in range(3000)] + [("ein kleiner brauner hund", "de")]
+    model = language.fit_language(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == ("de", "en")
+
+
+def test_sums_of_weights_do_not_depend_on_their_parts(monkeypatch):
+    import numpy as np
+
+    source = np.random.default_rng(1)
+    model = language.LanguageModel(("a", "b", "c"), source.normal(size=(language.FEATURES, 3)).astype(np.float32))
+    texts = ["some words of a text", None, "", "x", "longer words " * 50]
+    flags = np.zeros(language.FEATURES, bool)
+    whole = model.predict(texts, flags)
+    monkeypatch.setattr(language, "PICKED", 12)
+    names, scores = model.predict(texts, flags)
+    assert names == whole[0] and np.allclose(scores, whole[1])
+
+
+def test_a_row_that_repeats_is_fitted_once(spark):
+    docs = [(i, f"good words number {i} and more of them. " * 30) for i in range(0, 40)]
+    docs += [(i, f"BAD!!! {i} buy $$$ " * 30) for i in range(40, 80)]
+    labels = [(i, int(i < 40)) for i in range(80)]
+    repeated = docs + [docs[1]] * 500 + [(1, "another text")]
+    models = [
+        quality.fit_quality(spark.createDataFrame(d, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+        for d in (docs, docs + [docs[1]] * 500)
+    ]
+    assert models[0] == models[1]
+    many = quality.fit_quality(spark.createDataFrame(repeated, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert many.curve is not None

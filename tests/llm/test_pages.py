@@ -114,3 +114,24 @@ def test_query_against_the_articles(spark):
         inside = re.search("<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         wanted = html.unescape(re.sub("<[^>]*>", " ", re.sub("</?b>", "", inside))).split()
         assert r.text == " ".join(wanted) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize(
+    "end",
+    [
+        "<script>var a = 1; b()",
+        "<script>var a = '<p>no</p>'; b()",
+        "<style>p { color: red }",
+        "<!-- hidden <b>note</b> secret words",
+        "<!-- hidden secret words",
+        "<p class='x",
+        "</articl",
+    ],
+)
+def test_what_never_ends_shows_nothing(end):
+    page = "<article><p>Hello, this is a text of some words that is told to all who read it here.</p>"
+    assert one(page + end) == "Hello, this is a text of some words that is told to all who read it here."
+
+
+def test_a_lone_sign_is_text():
+    assert one("<article><p>We know that 1 < 2 and also that 3 <4 holds for all of those who count</article>").endswith("1 < 2 and also that 3 <4 holds for all of those who count")

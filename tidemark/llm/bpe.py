@@ -12,7 +12,8 @@ stable, and goes on: memory is constant, however long a run of letters is.
 The vocabulary file is of the `tokenizers` library: characters composed (NFC), lower case,
 split by a pattern, bytes as characters, a mark at the end of a word. Special tokens in a
 text are found before anything else. Characters that Python's tables do not know are
-normalised and split by the library's own, which are newer.
+normalised and split by the library itself; so are texts with marks that its tables order
+otherwise than Python's do, which is found out mark by mark.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ import codecs
 import hashlib
 import heapq
 import json
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -43,6 +46,8 @@ SLICE = 1 << 16
 #: be left from before, until they are asked for or replaced), and the longest.
 REMEMBERED, LONGEST = 120_000, 64
 _NEVER = 1 << 60
+#: Bits of a token's number in that of a pair.
+SHIFT = 24
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")
 
@@ -55,6 +60,14 @@ def byte_characters() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+#: A mark of each of the common places: through, below, above, and last of all.
+COMMON_MARKS = "\u0334\u0323\u0301\u0345"
+
+
+def _marks() -> Iterator[str]:
+    return (c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M")
+
+
 @lru_cache(maxsize=1 << 16)
 def _unassigned(char: str) -> bool:
     return unicodedata.category(char) == "Cn"
@@ -86,7 +99,9 @@ class Bpe:
         pattern = tokenizers.Regex(split["pattern"]["Regex"])
         self.newer_split = tokenizers.pre_tokenizers.Split(pattern, "removed", invert=True)
         names = tokenizers.normalizers
-        self.newer_form = names.Sequence([names.NFC(), names.Lowercase()])
+        self.own_form = names.Sequence([names.NFC(), names.Lowercase()])
+        odd = [c for c in _marks() if self._ordered_otherwise(c)]
+        self.odd_marks = frozenset(odd).union(*(unicodedata.normalize("NFD", c) for c in odd))
         ids, self.ends = model["vocab"], model["end_of_word_suffix"]
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         found = sorted(map(regex.escape, self.special), key=len, reverse=True)
@@ -97,6 +112,8 @@ class Bpe:
         self.final = [ids[c + self.ends] for c in chars]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {(ids[a], ids[b]): r for r, (a, b) in enumerate(merges)}
+        # The same under one number for a pair, which is quicker to look up.
+        self.packed = {a << SHIFT | b: r for (a, b), r in self.rank.items()}
         self.made = [ids[a + b] for a, b in merges]
         if len(set(self.made)) < len(merges):
             raise ValueError("two merges make the same token")
@@ -111,6 +128,12 @@ class Bpe:
         self.memory: dict[str, tuple[int, str, str]] = {}
         self.older: dict[str, tuple[int, str, str]] = {}
 
+    def _ordered_otherwise(self, mark: str) -> bool:
+        """Whether the library puts the mark at another place among marks of every kind, or
+        makes it of other parts."""
+        text = "".join(f"a{c}{mark}{c}" for c in COMMON_MARKS) + unicodedata.normalize("NFD", "a" + mark)
+        return self.own_form.normalize_str(text) != unicodedata.normalize("NFC", text).lower()
+
     def _raw(self, token: str, bytes_of: dict[str, int]) -> bytes:
         """Bytes that a token stands for; the end of a word stands for a space."""
         ends = token.endswith(self.ends)
@@ -133,16 +156,16 @@ class Bpe:
         """Tokens after all merges, lowest rank first, then from left to right."""
         if len(tokens) > LONGEST:
             return self._merge_long(tokens)
-        get, made, tokens = self.rank.get, self.made, list(tokens)
-        ranks = [get(pair, _NEVER) for pair in zip(tokens, tokens[1:])]  # noqa: B905
+        get, made, tokens = self.packed.get, self.made, list(tokens)
+        ranks = [get(a << SHIFT | b, _NEVER) for a, b in pairwise(tokens)]
         while ranks and (least := min(ranks)) < _NEVER:
             i = ranks.index(least)
             tokens[i] = new = made[least]
             del ranks[i], tokens[i + 1]
             if i < len(ranks):
-                ranks[i] = get((new, tokens[i + 1]), _NEVER)
+                ranks[i] = get(new << SHIFT | tokens[i + 1], _NEVER)
             if i:
-                ranks[i - 1] = get((tokens[i - 1], new), _NEVER)
+                ranks[i - 1] = get(tokens[i - 1] << SHIFT | new, _NEVER)
         return tokens
 
     def _merge_long(self, tokens: list[int]) -> list[int]:
@@ -201,7 +224,11 @@ class Bpe:
             # Letters alone are one match of the pattern; so are most matches in the rest.
             matches = (stretch,) if stretch.isalpha() else list(self.matches(stretch))
             if len(matches) == 1 and matches[0] == stretch:
-                ids = list(self.piece(stretch))
+                data = stretch.encode()
+                if len(data) <= self.window:
+                    ids = self.merge([*[self.inner[b] for b in data[:-1]], self.final[data[-1]]])
+                else:
+                    ids = list(self.piece(stretch))
                 found = (len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]))
             else:
                 counts, ids, names = zip(*map(self.remembered, matches), strict=True) if matches else ((), (), ())
@@ -229,8 +256,8 @@ class Bpe:
             part = text[start:stop]
             if part.isascii():
                 part = part.lower()
-            elif _unknown(part):
-                part = self.newer_form.normalize_str(part)
+            elif _unknown(part) or not self.odd_marks.isdisjoint(part):
+                part = self.own_form.normalize_str(part)
             else:
                 # Each character by itself: str.lower() alone would heed the end of a word.
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()

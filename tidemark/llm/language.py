@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, in_arrow, row_hash, table
-from tidemark.llm.sampling import stratified
+from tidemark.llm.sampling import least_of_each
 
 N_MAX = 4
 FEATURES = 1 << 16
 #: Sample texts of a language, and of all languages, at most; and landmarks among them.
 FIT_TEXTS, FIT_MOST, LANDMARKS = 300, 1500, 256
+#: Weights that are summed at a time, over all languages.
+PICKED = 1 << 20
 RIDGE = 1e-2
 UNDETERMINED = "und"
 #: Characters that are hashed at a time.
@@ -76,11 +78,18 @@ class LanguageModel:
         named, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
         if not sizes.any():
             return named, scores
-        # The product of the sparse 0/1 rows with the weights: sums of the weights' rows.
-        picked = self.weights[np.concatenate([r for r in rows if r is not None])]
+        # The product of the sparse 0/1 rows with the weights: sums of the weights' rows, of
+        # which some thousands are taken at a time.
         full = np.flatnonzero(sizes)
-        starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-        margins = np.add.reduceat(picked, starts, axis=0) / np.sqrt(sizes[full])[:, None]
+        features = np.concatenate([r for r in rows if r is not None])
+        owner = np.repeat(np.arange(len(full)), sizes[full])
+        margins = np.zeros((len(full), len(self.languages)), np.float64)
+        step = max(1, PICKED // len(self.languages))
+        for start in range(0, len(features), step):
+            part = owner[start : start + step]
+            begins = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            margins[part[begins]] += np.add.reduceat(self.weights[features[start : start + step]], begins, axis=0)
+        margins /= np.sqrt(sizes[full])[:, None]
         best = margins.argmax(axis=1)
         for at, k, margin in zip(full, best, margins[np.arange(len(full)), best], strict=True):
             named[at] = self.languages[k]
@@ -99,8 +108,9 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_language(df: DataFrame, text: str = "text", lang: str = "lang", each: int = FIT_TEXTS) -> LanguageModel:
-    """Model from the labelled rows of `df`: about `each` texts of every language (of up
-    to 256 languages) and `FIT_MOST` in all, chosen by a hash. Equal texts of a language
+    """Model from the labelled rows of `df`: up to `each` texts of every language and about
+    `FIT_MOST` in all, of the least hashes; one of every language at least. More than 1024
+    languages are an error. Equal texts of a language
     count as one, however many there are. What comes to the driver is, for each of them,
     its features, 128 KB at most. Null languages and texts without letters are not learned
     from. Without any labelled text the model knows no language.
@@ -110,7 +120,7 @@ def fit_language(df: DataFrame, text: str = "text", lang: str = "lang", each: in
     # Counted and chosen by their hashes; of equal texts, which share one, one row is read.
     place = row_hash(labelled, "language")
     hashes = labelled.select("lang", place.alias("place")).distinct()
-    few, sizes = stratified(hashes, "lang", each, F.col("place"), FIT_MOST)
+    few, sizes = least_of_each(hashes, "lang", each, F.col("place"), FIT_MOST)
     if not sizes:
         return LanguageModel((), np.zeros((FEATURES, 0), np.float32))
     # The hashes of a bounded sample; `first` keeps one text for each in every task.

@@ -145,13 +145,15 @@ SHAPE_NAMES = frozenset(
 # Every part matches in one way only, so a broken page takes no more steps than a whole one.
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
 _TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    rf"|<(?P<unseen>{'|'.join(UNSEEN)})(?=[\s/>]){_ATTRIBUTES}>.*?(?:</(?P=unseen)\s*>|\Z)"
+    r"<!--(?:>|->|.*?(?:--!?>|(?P<cut>\Z)))"
+    rf"|<(?P<unseen>{'|'.join(UNSEEN)})(?=[\s/>]){_ATTRIBUTES}>.*?(?:</(?P=unseen)\s*>|(?P<cut2>\Z))"
     rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>{_ATTRIBUTES})>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>"  # quotes without an end
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
+#: What begins a tag or a comment; without an end it takes all the rest of the page.
+_BEGINS = re.compile(r"<[a-zA-Z/!?]")
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _HEADING = re.compile(r"h[1-6]$")
@@ -257,13 +259,18 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, int, bool]]:
         linked.clear()
         return (" ".join(words), len(words), min(inside, len(words)), around, heading) if words else None
 
-    # Behind the last `>` no tag ends; nothing there needs to be tried.
-    for m in _TOKEN.finditer(page, 0, page.rfind(">") + 1):
+    # Behind the last `>` no tag ends; what begins there, or goes on there, is cut.
+    behind = page.rfind(">") + 1
+    begins = _BEGINS.search(page, behind)
+    shown = begins.start() if begins else len(page)
+    for m in _TOKEN.finditer(page, 0, behind):
         if m.start() > at:
             text.append(page[at : m.start()])
             if link:
                 linked.append(page[at : m.start()])
         at = m.end()
+        if m["cut"] is not None or m["cut2"] is not None:
+            shown = at
         tag = m["tag"] or m["tag2"]
         if tag is None:
             continue
@@ -288,7 +295,7 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, int, bool]]:
                 if not rest.endswith("/"):
                     stack.append((tag, around, fixed))
                     around, fixed = _says(tag, rest, around, fixed)
-    text.append(page[at:])
+    text.append(page[at:shown])
     if made := block():
         yield made
 

@@ -119,7 +119,8 @@ def fit_quality(documents: DataFrame, labels: DataFrame, each: int = FIT_DOCUMEN
     other label values, or nulls. At most about `each` documents of each label are read,
     of each at most `FIT_BLOCKS` blocks; that much comes to the driver (64 MB with the
     defaults). Half of them, by a hash of the id, train the dictionaries, the others the
-    curve, weighted to the labels' shares in the whole table. If a label has too few texts
+    curve, weighted to the labels' shares in the whole table. Of an id with several rows one
+    text is read, that of the least hash. If a label has too few texts
     for a dictionary, every score is the prior, (good + 1) / (labelled + 1).
     """
     sure = (
@@ -135,6 +136,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame, each: int = FIT_DOCUMEN
         return QualityModel(prior)
     # The ids of a bounded sample: about 2 * each rows of two numbers.
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
     turn = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("turn")
     found = in_arrow(
         rows.select("text", "label", turn), _fit_blocks, "label int, turn long, blocks array<binary>"

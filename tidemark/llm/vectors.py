@@ -86,7 +86,11 @@ def packed(df: DataFrame, vec_id: str, vector: str, label: str, rest: list[str])
             out: list[bytes | None] = []
             for v, told in zip(batch.column(3).to_pylist(), batch.column(2).is_valid().to_pylist(), strict=True):
                 x = np.array(v, np.float64) if told and v and None not in v else np.zeros(0)
-                square = float(x @ x)
+                top = np.abs(x).max(initial=0.0)
+                if np.isfinite(top) and top and not 1e-100 < top < 1e100:
+                    # Squares would leave the range of doubles; a power of two changes no digit.
+                    x = np.ldexp(x, -int(np.frexp(top)[1]))
+                square = float(x @ x) if np.isfinite(top) else np.inf
                 out.append((x + 0.0).tobytes() if np.isfinite(square) and square > 0 else None)
             sizes = [0 if o is None else len(o) // 8 for o in out]
             yield pa.RecordBatch.from_arrays(
