@@ -115,6 +115,7 @@ def classes_by_hand(rows, p=80, q=100):
 @pytest.mark.parametrize(("seed", "longest"), [(1, 60), (2, 12), (3, 7), (4, 200)])
 def test_similar_classes(spark, monkeypatch, seed, longest):
     monkeypatch.setattr(ngrams, "BLOCK_SETS", 4)
+    monkeypatch.setattr(ngrams, "LARGE", 4)
     rows = rows_of(corpus(seed, 80, longest=longest))
     found = ngrams.similar_classes(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
     wanted = classes_by_hand(rows)
@@ -340,6 +341,7 @@ def test_folded_words_take_only_latin_letters():
 
 def test_large_clusters_are_compared_by_segment_where_that_is_less(spark, monkeypatch):
     monkeypatch.setattr(ngrams, "BLOCK_SETS", 2)
+    monkeypatch.setattr(ngrams, "LARGE", 2)
     # A chain of groups that share one key each: few pairs by key, many in the cluster.
     mixed = spark.createDataFrame([(k, n) for k in range(30) for n in (k, k + 1)], "key long, _node long")
     dealt = ngrams._dealt(mixed).collect()

@@ -49,6 +49,8 @@ NO_ID = -(2**63)
 SPARE, MORE = 1.3, 8
 #: Members of a block, and n-grams in their sets, on average at most.
 BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 18
+#: Sets of a cluster beyond which it is asked whether segments by themselves are less work.
+LARGE = 16 * BLOCK_SETS
 #: N-grams that are columns of a matrix at a time.
 TILE = 2048
 #: Sets that a task remembers to have sent; then it begins anew.
@@ -410,11 +412,13 @@ def _dealt(mixed: DataFrame) -> DataFrame:
     the segments with members of different classes."""
     ties = mixed.select(F.col("_node").alias("a"), F.min("_node").over(Window.partitionBy("key")).alias("b"))
     clusters = kept(components(ties.distinct()).select(F.col("node").alias("_node"), F.col("component").alias("cluster")))
-    placed = kept(mixed.join(clusters, "_node"))
+    size = clusters.groupBy("cluster").agg(F.count("*").alias("n")).filter(F.col("n") > LARGE)
+    if not size.limit(1).count():
+        return clusters
+    placed = kept(mixed.distinct().join(clusters, "_node"))
     # Pairs that are compared, and members that are sent (each for as many as a block has).
     each = placed.groupBy("cluster", "key").agg(F.count("*").alias("m"))
     work = each.groupBy("cluster").agg(F.sum(F.col("m") * (F.col("m") + BLOCK_SETS)).alias("by_key"))
-    size = clusters.groupBy("cluster").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK_SETS)
     apart = size.join(work, "cluster").filter(F.col("by_key") < 2.0 * F.col("n") * F.col("n"))
     apart = kept(apart.select("cluster", F.lit(True).alias("apart")))
     whole = lookup_join(clusters, apart, "cluster").filter("apart IS NULL").select("_node", "cluster")
@@ -467,7 +471,7 @@ def _classed(
 
     named = found.join(class_of, "_node", "left").withColumn("c", F.coalesce("c", "_node"))
     mixed = named.withColumns({"low": F.min("c").over(group), "high": F.max("c").over(group)}).filter("low != high")
-    clusters = _dealt(kept(mixed.select("key", "_node").distinct()))
+    clusters = _dealt(mixed.select("key", "_node"))
     across = compared(clusters, sets, class_of, bands)
     classes = kept(components(links.union(across)))
 
