@@ -3,7 +3,8 @@ import re
 
 import pytest
 
-from tidemark.llm.pages import blocks, extract, grow, main_texts, op8_text_blocks, trained
+from tidemark.llm.page_samples import KEEP, LINKED, PAGES, SAMPLES, TEXTS
+from tidemark.llm.pages import DEPTH, FEATURES, LEAF, NAMED, blocks, extract, grow, labelled, main_texts, op8_text_blocks, trained
 
 
 def one(page):
@@ -135,3 +136,74 @@ def test_what_never_ends_shows_nothing(end):
 
 def test_a_lone_sign_is_text():
     assert one("<article><p>We know that 1 < 2 and also that 3 <4 holds for all of those who count</article>").endswith("1 < 2 and also that 3 <4 holds for all of those who count")
+
+
+LONG = " ".join(["word"] * 40)
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<p>One two three.</p>", "One two three."),
+        ("<p>Short note.</p><p>Second line here.</p>", "Short note. Second line here."),
+        (f"<div><a href=/>Home</a></div><div><h1>A title of it</h1><p>{LONG}</p><p>Last line.</p></div>", f"A title of it {LONG} Last line."),
+        (
+            f"<div><a href=/>Home</a></div><div><h1>A title of it</h1><p>{LONG}</p><p>It stands.</p></div><div><a href=/t>Terms</a></div><div>All rights reserved</div>",
+            f"A title of it {LONG} It stands.",
+        ),
+        (f"{ARTICLE}<section id='discussion'><p>{LONG}</p></section>", TEXT),
+        (f"{ARTICLE}<div class='responses'><p>{LONG}</p></div>", TEXT),
+        (f"{ARTICLE}<div class='user-feedback'><p>{LONG}</p></div>", TEXT),
+        (f"<div class='cookie-wall'><p>{LONG}</p></div>{ARTICLE}", TEXT),
+        (f"<main>{ARTICLE}<section class='author-comments-section'><p>{LONG}</p></section></main>", TEXT),
+        ("<article><p>We saw it.</p><section id='discussion'><h2>Discussion</h2><p>It holds.</p></section></article>", "We saw it. Discussion It holds."),
+    ],
+)
+def test_pages_of_other_kinds(page, text):
+    assert one(page) == text
+
+
+@pytest.mark.parametrize("before", ["", "<div><a>Home</a></div>", "<div><a>Home of us all</a></div><div><a>X</a></div>", "<h2>Head</h2>", f"<p>{LONG}</p>"])
+@pytest.mark.parametrize("after", ["", "<div><a>Up</a></div>", "<p>So.</p>", f"<h2>Next part</h2><p>{LONG}</p>"])
+@pytest.mark.parametrize("many", [15, 18, 25, 100, 400])
+def test_prose_stays_where_nothing_is_named(before, after, many):
+    text = " ".join(["prose"] * many)
+    assert text in one(f"{before}<p>{text}</p>{after}")
+
+
+@pytest.mark.parametrize("links", ["", "<p><a href=/l>The whole of it</a></p>", "<ul><li><a href=/l>X</a></li><li><a>Y z</a></li></ul>"])
+@pytest.mark.parametrize("tag", ["p", "h2"])
+def test_all_of_an_article_stays(tag, links):
+    nav = "<nav><a href=/>Home</a><ul><li><a href=/a>A b c</a></li></ul></nav>"
+    for n in (1, 2, 4, 7, 10, 14, 18, 30, 80):
+        for m in (1, 3, 8, 13, 17, 40, 100):
+            body = f"<{tag}>{' '.join(['w'] * n)}</{tag}>{links}<p>{' '.join(['v'] * m)}</p>"
+            text = " ".join(re.sub("<[^>]*>", " ", body).split())
+            assert one(f"{nav}<article>{body}</article><footer><a href=/x>Imprint</a></footer>") == text
+            assert one(f"<article>{body}</article>") == text
+
+
+def _asked(tree):
+    return set() if tree.feature < 0 else {FEATURES[tree.feature]} | _asked(tree.below) | _asked(tree.above)
+
+
+def test_the_tree_asks_for_both_neighbours():
+    assert _asked(trained()) >= {"words", "links", "words_before", "links_before", "words_after", "links_after"}
+
+
+def test_blocks_of_pages_that_were_not_learned():
+    """A page, or a text in all its frames, is left out and then judged."""
+    right = blocks_judged = 0
+    for page in PAGES + TEXTS + LINKED:
+        rows, keep = labelled((page,))
+        tree = grow(*labelled(tuple(s for s in SAMPLES if page not in s)), DEPTH, LEAF)
+        if page in LINKED:  # only the elements of a frame tell these links from a menu
+            rows[:, FEATURES.index("around")] = 1.0
+        right += int((tree.decide(rows) == keep).sum())
+        blocks_judged += len(keep)
+    print(right, blocks_judged)
+    assert blocks_judged > 100 * NAMED and right / blocks_judged > 0.9
+
+
+def test_the_sign_of_the_samples_is_no_text():
+    assert not any(KEEP in text for text in main_texts([p.replace(KEEP, "") for p in PAGES]))

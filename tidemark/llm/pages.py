@@ -3,7 +3,9 @@
 A page is cut at every tag that is not inline into blocks of text. A block has eight
 features: its words and the share of them inside links, both also of the block before and
 of the block after, what the elements around it say, and whether it is a heading. A tree
-that is grown from `LABELLED` by Gini impurity decides which blocks stay.
+that is grown by Gini impurity from the blocks of labelled pages decides which blocks stay.
+It learns each page also as if no element said anything, so that the words and links of a
+block and its neighbours must do where names are missing.
 
 What the elements say: 1 inside an article or main part or an element whose class, id or
 role is named like one; -1 inside navigation, footer, aside, form and the like or an
@@ -26,89 +28,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_arrow, table
+from tidemark.llm.page_samples import KEEP, SAMPLES
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "around", "heading")
 
-#: Blocks and whether they belong to the main text: the features in order, then the label.
-LABELLED = """
-45 0.00  60 0.00  52 0.00  1 0 keep
- 2 0.00  40 0.00  35 0.00  1 0 keep
- 1 0.00   0 0.00  12 0.00  1 1 keep
- 6 0.00   1 1.00  48 0.00  1 1 keep
- 9 0.33  31 0.05   2 0.00  1 0 keep
- 1 0.00   1 0.00   1 0.00  1 0 keep
- 3 1.00  28 0.00  30 0.00  1 0 keep
- 4 1.00   3 1.00   5 1.00  1 0 keep
- 8 0.00  40 0.00   0 0.00  1 0 keep
- 9 0.00   0 0.00   0 0.00  1 0 keep
-18 0.00   5 1.00   0 0.00  1 0 keep
-70 0.02   8 0.00   3 0.00  1 0 keep
- 1 1.00   0 0.00   1 1.00 -1 0 drop
- 2 1.00   1 1.00   1 1.00 -1 0 drop
- 1 0.00   2 1.00  14 0.00 -1 0 drop
- 9 0.00   1 1.00   7 0.00 -1 0 drop
-30 0.00   1 1.00  55 0.00 -1 0 drop
-12 0.00  40 0.00   0 0.00 -1 0 drop
-55 0.00  48 0.00  33 0.00 -1 0 drop
- 5 0.00  60 0.00  42 0.00 -1 1 drop
-80 0.10  20 0.00   6 0.50 -1 0 drop
-25 0.00   0 0.00  25 0.00 -1 0 drop
-60 0.00  45 0.00  50 0.00  0 0 keep
-35 0.03  22 0.00  70 0.00  0 0 keep
-22 0.00   8 0.00  40 0.00  0 0 keep
-90 0.10  30 0.00   4 1.00  0 0 keep
-28 0.00   3 1.00   3 1.00  0 0 keep
-17 0.12  50 0.00  25 0.00  0 0 keep
-40 0.25   5 0.00  60 0.00  0 0 keep
-33 0.00   0 0.00   0 0.00  0 0 keep
-20 0.00  42 0.00   1 1.00  0 0 keep
-18 0.05  30 0.00   2 1.00  0 0 keep
-24 0.00  60 0.00   0 0.00  0 0 keep
-42 0.00   1 1.00  20 0.00  0 0 keep
-26 0.00  12 0.00   9 1.00  0 0 keep
-50 0.06   4 1.00   1 1.00  0 0 keep
-19 0.00   5 0.00   5 0.00  0 0 keep
-75 0.00   2 1.00   2 1.00  0 0 keep
-16 0.00  25 0.00  16 0.00  0 0 keep
-30 0.15   6 0.00  12 0.50  0 0 keep
- 2 1.00  25 0.00   0 0.00  0 0 drop
- 6 1.00  40 0.00   2 1.00  0 0 drop
- 3 1.00  55 0.00  20 0.00  0 0 drop
- 9 1.00   9 1.00   9 1.00  0 0 drop
-14 1.00  30 0.00  16 1.00  0 0 drop
-20 1.00  20 1.00  20 1.00  0 0 drop
- 1 0.00   4 1.00   0 0.00  0 0 drop
- 4 0.00  10 1.00   2 1.00  0 0 drop
-12 0.00  45 0.00  38 0.00  0 0 keep
- 9 0.00  30 0.00   3 0.00  0 0 keep
- 9 0.40  30 0.00  20 0.00  0 0 keep
-12 0.00  30 0.00   0 0.00  0 0 keep
- 6 0.00  33 0.00  41 0.00  0 0 keep
- 3 0.00  27 0.00  52 0.00  0 0 keep
- 8 0.00   2 1.00  45 0.00  0 1 keep
- 4 0.00   1 0.00  30 0.00  0 1 keep
- 7 0.00  36 0.00  48 0.00  0 1 keep
- 5 0.00   3 1.00  66 0.00  0 1 keep
- 9 0.00  40 0.00  20 0.00  0 1 keep
- 1 1.00   1 1.00   1 1.00  0 0 drop
- 2 1.00   1 1.00   2 1.00  0 0 drop
- 4 1.00   2 1.00  50 0.00  0 0 drop
- 3 1.00  60 0.00   3 1.00  0 0 drop
-10 0.90  20 0.00  25 0.00  0 0 drop
- 8 0.60   3 1.00   6 0.80  0 0 drop
-25 0.85   5 1.00  10 1.00  0 0 drop
-40 0.70   3 0.00   3 0.00  0 0 drop
- 3 0.00   1 1.00   1 1.00  0 0 drop
- 5 0.00   2 1.00   4 1.00  0 0 drop
- 7 0.10   3 1.00   0 0.00  0 0 drop
- 4 0.00   0 0.00   1 1.00  0 0 drop
- 6 0.00   4 0.50   3 0.00  0 0 drop
- 2 0.00   3 0.00   2 0.00  0 0 drop
- 9 0.00   5 0.00   0 0.00  0 0 drop
- 3 0.00   2 1.00   1 1.00  0 1 drop
- 2 0.00   4 0.00   3 1.00  0 1 drop
- 5 0.00   6 0.00   2 1.00  0 1 drop
-"""
+#: Questions that lead to a leaf at most, and labelled blocks in a leaf at least.
+DEPTH, LEAF = 10, 2
+#: Words that, with links around, can be told from a text without names.
+SHORT = 6
+#: How often a page counts as it is, for once without what its elements say.
+NAMED = 4
 
 #: Elements of the markup, by what they mean for text.
 INLINE = frozenset(
@@ -128,6 +57,8 @@ ASIDE_NAMES = frozenset(
     "topbar toolbar widget widgets complementary contentinfo search form".split()
 )
 COMMENT_NAMES = frozenset("comment comments reply replies disqus".split())
+#: Readers' words beside a text; inside a main part they may be a chapter of it.
+TALK_NAMES = frozenset("discussion discussions feedback response responses".split())
 MAIN_NAMES = frozenset("article main content post entry story maincontent articlebody".split())
 #: Next to a main name in one name, as in `entry-header` or `content-sidebar`, these say nothing.
 LAYOUT_NAMES = frozenset(
@@ -136,10 +67,10 @@ LAYOUT_NAMES = frozenset(
 )
 #: Words of place and shape, which leave the meaning of a name as it is.
 SHAPE_NAMES = frozenset(
-    "area articles bar block body bottom box btn button buttons card cards center col column container desktop div "
+    "area articles author bar block body bottom box btn button buttons card cards center col column container desktop div "
     "first fixed global google gpt group holder icon icons inner item items last left link links list media middle "
     "mobile outer page panel placeholder posts primary right row secondary section site slot sticky stories text "
-    "title top unit wrap wrapper zone".split()
+    "title top unit user users wall wrap wrapper zone".split()
 )
 
 # Every part matches in one way only, so a broken page takes no more steps than a whole one.
@@ -178,9 +109,9 @@ class Tree:
         return out
 
 
-def grow(rows: np.ndarray, keep: np.ndarray, depth: int = 6) -> Tree:
+def grow(rows: np.ndarray, keep: np.ndarray, depth: int = 6, leaf: int = 1) -> Tree:
     """Tree whose questions each lower the Gini impurity the most; of equally good ones the
-    first feature and lowest border win."""
+    first feature and lowest border win. Each side of a question has `leaf` rows or more."""
     share = float(keep.mean())
     if depth == 0 or share in (0.0, 1.0):
         return Tree(share)
@@ -189,6 +120,8 @@ def grow(rows: np.ndarray, keep: np.ndarray, depth: int = 6) -> Tree:
         values = np.unique(rows[:, f])
         for border in (values[1:] + values[:-1]) / 2:
             low = rows[:, f] < border
+            if min(low.sum(), (~low).sum()) < leaf:
+                continue
             p, q = keep[low].mean(), keep[~low].mean()
             impurity = low.sum() * p * (1 - p) + (~low).sum() * q * (1 - q)
             if best is None or impurity < best[0] - 1e-12:
@@ -196,26 +129,22 @@ def grow(rows: np.ndarray, keep: np.ndarray, depth: int = 6) -> Tree:
     if best is None:
         return Tree(share)
     low = rows[:, best[1]] < best[2]
-    return Tree(share, best[1], best[2], grow(rows[low], keep[low], depth - 1), grow(rows[~low], keep[~low], depth - 1))
-
-
-@lru_cache(maxsize=1)
-def trained() -> Tree:
-    lines = [line.split() for line in LABELLED.strip().splitlines()]
-    return grow(np.array([line[:-1] for line in lines], float), np.array([line[-1] == "keep" for line in lines]))
+    below, above = (grow(rows[side], keep[side], depth - 1, leaf) for side in (low, ~low))
+    return Tree(share, best[1], best[2], below, above)
 
 
-def _named(rest: str) -> tuple[bool, bool, bool]:
-    """Whether the names of an element are those of a main part, of an aside, of comments."""
+def _named(rest: str, inside: bool) -> tuple[bool, bool, bool]:
+    """Whether the names of an element are those of a main part, of an aside, of comments;
+    `inside`: within a main part."""
     main = aside = comments = False
     for m in _NAMED.finditer(rest):
         for name in (m[1] or m[2] or m[3] or "").lower().split():
             words = {w for w in _WORD.findall(name) if len(w) > 1}
-            known = words & ASIDE_NAMES
-            if known and words <= ASIDE_NAMES | SHAPE_NAMES:
+            known = words & (ASIDE_NAMES if inside else ASIDE_NAMES | TALK_NAMES)
+            if known and words <= known | SHAPE_NAMES:
                 aside = True
                 comments |= bool(known & COMMENT_NAMES)
-            elif known and words <= ASIDE_NAMES | SHAPE_NAMES | MAIN_NAMES:
+            elif known and words <= known | SHAPE_NAMES | MAIN_NAMES:
                 aside |= not known & LAYOUT_NAMES
             else:
                 main |= bool(words & MAIN_NAMES)
@@ -228,7 +157,7 @@ def _says(tag: str, rest: str, above: int, fixed: bool) -> tuple[int, bool]:
         return above, True
     main = aside = comments = False
     if "=" in rest and tag not in ("html", "body"):
-        main, aside, comments = _named(rest)
+        main, aside, comments = _named(rest, above == 1)
     if comments and not main and tag != "main":
         return -1, True
     # One sign of a main part makes the name doubtful, two or the tag `main` outweigh it.
@@ -300,15 +229,48 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, int, bool]]:
         yield made
 
 
+def features(found: list[tuple[str, int, int, int, bool]]) -> list[tuple[float, ...]]:
+    """The features of a page's blocks; a block that is missing has no words."""
+    size = [(float(b[1]), b[2] / b[1]) for b in found]
+    edge = [(0.0, 0.0)]
+    return [
+        (*here, *before, *after, float(b[3]), float(b[4]))
+        for b, here, before, after in zip(found, size, edge + size, size[1:] + edge, strict=False)
+    ]
+
+
+def labelled(samples: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the blocks of labelled pages, and whether they are main text.
+
+    Each page counts as it is and without what its elements say; there, blocks that only
+    an element tells apart (links in a text; prose beside it, or words without links
+    around) are left out.
+    """
+    rows, keep = [], []
+    around, links = FEATURES.index("around"), [FEATURES.index(f) for f in ("links", "links_before", "links_after")]
+    for page in samples:
+        found = list(blocks(page))
+        for block, row in zip(found, features(found), strict=True):
+            main = block[0].startswith(KEEP)
+            rows += [row] * NAMED
+            keep += [main] * NAMED
+            told = block[1] < SHORT and max(row[i] for i in links) >= 0.5
+            link = row[links[0]] >= 0.5
+            if row[around] and (not link if main else told or link):
+                rows.append((*row[:around], 0.0, *row[around + 1 :]))
+                keep.append(main)
+    return np.array(rows), np.array(keep)
+
+
+@lru_cache(maxsize=1)
+def trained() -> Tree:
+    return grow(*labelled(SAMPLES), DEPTH, LEAF)
+
+
 def main_texts(pages: list[str | None]) -> list[str]:
     """Main text of each page, its blocks joined by one space."""
     each = [list(blocks(p)) if p else [] for p in pages]
-    rows = []
-    for found in each:
-        size = [(float(b[1]), b[2] / b[1]) for b in found]
-        edge = [(0.0, 0.0)]
-        for b, here, before, after in zip(found, size, edge + size, size[1:] + edge, strict=False):
-            rows.append((*here, *before, *after, float(b[3]), float(b[4])))
+    rows = [row for found in each for row in features(found)]
     if not rows:
         return [""] * len(pages)
     stays = iter(trained().decide(np.array(rows)).tolist())
