@@ -250,6 +250,18 @@ def test_recall_on_the_given_vectors(spark):
     assert all(n <= m for (_, n), (_, m) in zip(found, wanted, strict=True))
 
 
+@pytest.mark.parametrize("shape", [(1, 1), (1, 7), (9, 1), (12, 17), (40, 40)])
+@pytest.mark.parametrize("kinds", [2, 5, 10**6])
+def test_cells_come_from_the_nearest_on(shape, kinds):
+    """All cells once, in the order of their distances, ties and all."""
+    source = np.random.default_rng(shape[1] + kinds)
+    x, y = (source.integers(0, kinds, n) / kinds for n in shape)
+    found = list(vectors.nearest_cells(x, y))
+    far = [f for f, _, _ in found]
+    assert far == sorted(far) and sorted((a, b) for _, a, b in found) == [(a, b) for a in range(shape[0]) for b in range(shape[1])]
+    assert all(f == x[a] + y[b] for f, a, b in found)
+
+
 def test_recall_over_hundreds_of_cells(spark, monkeypatch):
     """Vectors that differ along one direction, that in which the codewords lie."""
     monkeypatch.setattr(vectors, "CELL_ROWS", 4)

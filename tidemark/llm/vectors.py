@@ -16,8 +16,10 @@ spanning forest of links, never pairs.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +130,25 @@ def fit_codebooks(vectors: DataFrame, rows: int = FIT_ROWS) -> Codebooks | None:
     return Codebooks(size, tuple(_kmeans(h, words) for h in halves))
 
 
+def nearest_cells(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[float, int, int]]:
+    """Cells of the grid from the nearest on, with their distances: the sums of one number
+    of each half. Multi-sequence traversal: a cell enters the queue once the cells before
+    it, in the order of either half, have left it, so the queue holds a staircase."""
+    order_x, order_y = np.argsort(x, kind="stable"), np.argsort(y, kind="stable")
+    far_x, far_y = x[order_x].tolist(), y[order_y].tolist()
+    order_x, order_y = order_x.tolist(), order_y.tolist()
+    queue = [(far_x[0] + far_y[0], 0, 0)]
+    left = [0] * len(far_x)  # of each row of the grid, how many cells have left the queue
+    while queue:
+        far, i, j = heapq.heappop(queue)
+        left[i] = j + 1
+        yield far, order_x[i], order_y[j]
+        if i + 1 < len(far_x) and left[i + 1] == j:
+            heapq.heappush(queue, (far_x[i + 1] + far_y[j], i + 1, j))
+        if j + 1 < len(far_y) and (i == 0 or left[i - 1] > j + 1):
+            heapq.heappush(queue, (far_x[i] + far_y[j + 1], i, j + 1))
+
+
 def _cells(books: Codebooks | None, reach: float):
     """Rows of members and visitors: label, size, cell, who, own cell, weight, vector."""
 
@@ -156,8 +177,9 @@ def _cells(books: Codebooks | None, reach: float):
                 for i in range(len(sizes)):
                     visits = [(0, 0)]
                     if (k := turn.get(i)) is not None:
-                        a, b = np.nonzero(x[k][:, None] + y[k][None, :] <= reach)
-                        visits = list(zip(a.tolist(), b.tolist(), strict=True))
+                        # Behind the first cell that is too far no link can be missed.
+                        near = takewhile(lambda cell: cell[0] <= reach, nearest_cells(x[k], y[k]))
+                        visits = [(a, b) for _, a, b in near]
                     at += [i] * (len(visits) + 1)
                     cell += [(int(own[0, i]), int(own[1, i])), *visits]
                     member += [True] + [False] * len(visits)
