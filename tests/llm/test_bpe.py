@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -53,6 +54,28 @@ def test_slices_of_long_texts():
     same(" ".join(source.choice(words) for _ in range(40000)))
 
 
+def test_many_texts_a_few_words_ahead(monkeypatch):
+    import tidemark.llm.bpe as module
+
+    monkeypatch.setattr(module, "AHEAD", 300)
+    monkeypatch.setattr(module, "REMEMBERED", 40)
+    source = random.Random(5)
+    alphabet = "aehinorst" * 4 + "é日'.,7"
+    words = ["".join(source.choice(alphabet) for _ in range(n)) for n in range(1, 90) for _ in range(3)]
+    words += ["é" * n for n in (31, 32, 33, 40, 64, 65)] + ["日" * 22, "<|endoftext|>", "\t\n"]
+    texts = [None, "", " ", *(" ".join(source.choices(words, k=n)) for n in (1, 2, 40, 400, 3, 0, 90)), "a"]
+    found = [[] for _ in texts]
+    BPE.forget()
+    for row, ids in BPE.ids_of(texts):
+        assert len(ids)
+        found[row] += ids.tolist()
+    assert found == [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in texts]
+    data = [w.encode() for w in words if len(w.encode()) <= module.LONGEST]
+    alone = [[*(BPE.inner[b] for b in w[:-1]), BPE.final[w[-1]]] for w in data]
+    many = [np.frombuffer(ids, np.int32).tolist() for ids in BPE.merge_many(data)]
+    assert many == [BPE.merge(ids) for ids in alone] and BPE.merge_many([]) == []
+
+
 def test_readable_text_comes_back():
     text = "the thing's über 12 日本 end"
     pieces = re.sub(r"\s+", " ", "".join(BPE.text(BPE.encode(text)))).strip()
