@@ -472,7 +472,7 @@ def encode(df: DataFrame, words: Broadcast, text: str = "text", ids: str = "ids"
                 parts[row].append(ids)
             return [(np.concatenate(p),) for p in parts]
 
-        return convert, bpe.forget
+        return convert, _load.cache_clear
 
     return _mapped(df, text, {ids: T.ArrayType(T.IntegerType())}, each)
 
@@ -496,6 +496,7 @@ def fingerprints(df: DataFrame, words: Broadcast, text: str = "text") -> DataFra
 
     Encoder and decoder run in step and what they give goes into the digests at once, so
     neither ids nor decoded text of a document are ever held: memory is a few slices.
+    Between its tasks a worker keeps the merge list (about 50 MB), not the words it met.
     """
 
     def each():

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +36,23 @@ def in_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> D
         digits = (now or "").rstrip("b")
         if not digits.isdigit() or not 0 < int(digits) <= most:
             conf.set(f"spark.sql.execution.arrow.{name}", str(most))
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    """Return to the system what a task took: its worker lives on, idle, beside those of
+    later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def row_hash(df: DataFrame, *salts: int | str) -> Column:
