@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.scale import lookup_join
+from tidemark.operators.scale import lookup_join, lookup_side
 from tidemark.schemas import (
     API_BARS,
     GOLD_DOCUMENT,
@@ -25,7 +25,7 @@ from tidemark.schemas import (
 )
 from tidemark.session import settle
 from tidemark.sources.files import matching
-from tidemark.sources.records import file_lines, json_lines, open_brackets, quotes, whole_records
+from tidemark.sources.records import file_lines, json_lines, look_at, open_brackets, quotes, whole_records
 
 Paths = str | Sequence[str]
 
@@ -63,9 +63,8 @@ def read_documents(
     if multiline is False:
         return json_options(spark.read, schema, only, False).json(_paths(paths))
     lines = json_lines(spark, _paths(paths), only)
-    odd = F.bool_or(open_brackets(F.col("value")) != 0)
-    files = settle(lines.groupBy("file").agg(odd.alias("odd")))
-    texts = whole_records(lines, files, open_brackets(F.col("value")), lambda depth: depth == 0)
+    depth, closed = open_brackets(F.col("value")), lambda depth: depth == 0
+    texts = whole_records(lines, look_at(lines, depth, closed), depth, closed)
     coded = "code" in schema.fieldNames()
     extra = [_code_of(F.col("file")).alias("_code")] if coded else []
     # The generator keeps the parse in one place. A document by itself is an array of one.
@@ -158,17 +157,22 @@ BAR_NAMES = {
 }
 
 
-def _cells(line: Column) -> Column:
-    """The cells of a CSV record, without the quotes around them."""
+# A CSV record of which no cell has a comma between quotes: before each comma quotes are paired.
+_NO_QUOTED_COMMA = '^(?:[^",]|"[^",]*+")*+(?:,(?:[^",]|"[^",]*+")*+)*+$'
+
+
+def _raw_cells(line: Column) -> Column:
+    """The cells of a CSV record as they stand, with blanks and quotes."""
     cells = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit('("(?:[^"]|"")*+"|[^,]*),'), F.lit(1))
+    plain = ~line.contains('"') | line.rlike(_NO_QUOTED_COMMA)
+    return F.when(plain, F.split(line, ",", -1)).otherwise(cells)
 
-    def bare(cell: Column) -> Column:
-        cell = F.trim(cell)
-        inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
-        return F.when(cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1), inner).otherwise(cell)
 
-    plain = F.transform(F.split(line, ",", -1), lambda cell: F.trim(cell))
-    return F.when(line.contains('"'), F.transform(cells, bare)).otherwise(plain)
+def _bare(cell: Column) -> Column:
+    """A cell without the blanks and the quotes around it."""
+    bare = F.trim(cell)
+    inner = F.replace(F.substring(bare, F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"'))
+    return F.when(bare.startswith('"') & bare.endswith('"') & (F.length(bare) > 1), inner).otherwise(bare)
 
 
 def read_mixed_bars(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -178,25 +182,29 @@ def read_mixed_bars(spark: SparkSession, paths: Paths) -> DataFrame:
     names no date or no close is an error.
     """
     lines = file_lines(spark, _paths(paths))
-    # A file's first block is read by one task, in order: its first line has the least place.
-    at_top = F.when(F.col("block") == 0, F.col("at"))
-    odd = F.bool_or(quotes(F.col("value")) % 2 != 0)
-    told = lines.groupBy("file").agg(F.min_by("value", at_top).alias("header"), odd.alias("odd"))
-    names = F.transform(_cells(F.col("header")), lambda n: F.lower(F.trim(n)))
-    headers = settle(told.select("file", "odd", "header", names.alias("names")))
+    marks, closed = quotes(F.col("value")), lambda n: n % 2 == 0
+    # The least place is a number, so that the look sorts no lines; the headers take a second one.
+    blocks = look_at(lines, marks, closed, F.min("at").alias("top"))
+    tops = blocks.groupBy("file").agg(F.min_by("top", "block").alias("at"))
+    told = lines.join(lookup_side(tops.select("at")), "at").select("file", F.col("value").alias("header"))
+    names = F.transform(_raw_cells(F.col("header")), lambda n: F.lower(F.trim(_bare(n))))
+    told = settle(told.select("file", "header", names.alias("names")))
     lacking = [~F.arrays_overlap("names", F.array(*map(F.lit, BAR_NAMES[k]))) for k in ("date", "close")]
-    wrong = [r.file for r in headers.filter(lacking[0] | lacking[1]).select("file").limit(20).collect()]
+    wrong = [r.file for r in told.filter(lacking[0] | lacking[1]).select("file").limit(20).collect()]
     if wrong:
         raise ValueError(f"no header of bars in {', '.join(wrong)}")
-    records = whole_records(lines, headers, quotes(F.col("value")), lambda n: n % 2 == 0).select("file", "value")
-    rows = lookup_join(records, headers.select("file", "header", "names"), "file").filter(F.col("value") != F.col("header"))
-    # The generator keeps the parse in one place, as each of the columns looks into the cells.
-    cells = rows.select("names", F.explode(F.array(_cells(F.col("value")))).alias("cells"))
 
-    def named(aliases: Sequence[str]) -> Column:
+    def place(aliases: Sequence[str]) -> Column:
         found = [F.array_position("names", a).cast("int") for a in aliases]
-        place = F.coalesce(*[F.when(p > 0, p) for p in found])
-        value = F.try_element_at("cells", place)
-        return F.when(value != "", value)
-
-    return cells.select(*(named(BAR_NAMES[n]).alias(n) for n in API_BARS.needed))
+        return F.coalesce(*[F.when(p > 0, p - 1) for p in found])
+
+    # Places are looked up once a file: in the rows they would make code too long to compile.
+    wanted = API_BARS.needed
+    places = settle(told.select("file", "header", *(place(BAR_NAMES[n]).alias(n) for n in wanted)))
+    records = whole_records(lines, blocks, marks, closed)
+    rows = lookup_join(records, places, "file").filter(F.col("value") != F.col("header"))
+    # The generators keep the parse in one place, as each of the columns looks into the cells.
+    cells = rows.select(*wanted, F.explode(F.array(_raw_cells(F.col("value")))).alias("cells"))
+    values = F.struct(*(_bare(F.get("cells", F.col(n))).alias(n) for n in wanted))
+    texts = cells.select(F.inline(F.array(values)))
+    return texts.select(*(F.when(F.col(n) != "", F.col(n)).alias(n) for n in wanted))

@@ -3,18 +3,22 @@
 Whether a line ends a record depends on all lines of its file before it: on brackets that
 are open (JSON), on quotes that are (CSV). Both are running sums of what a line adds. Sums are
 taken within a block of a file, and the sums of blocks before it are added, so no file is
-read by one task. A file of which every line is whole by itself needs none of this: its
-lines stay where they are, and only lines of other files are shuffled.
+read by one task. Lines stay where they are: the task that reads a block joins those of a
+record, and only records that go over the end of a block are shuffled. A file of which every
+line is whole by itself needs none of this.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.scale import lookup_join
+from tidemark.operators.scale import BROADCAST_BYTES, lookup_join, lookup_side, measured_bytes
 from tidemark.session import settle
 
 # A JSON string, read without going back: a backslash takes the next letter along.
@@ -58,39 +62,107 @@ def quotes(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))).cast("long")
 
 
-def _before(rows: DataFrame, name: str) -> DataFrame:
-    """(file, block, ``before``): the sum of ``name`` over the earlier blocks of a file."""
-    sums = rows.groupBy("file", "block").agg(F.sum(name).alias("_sum"))
+def look_at(lines: DataFrame, adds: Column, closed: Callable[[Column], Column], *told: Column) -> DataFrame:
+    """(file, block, adds, odd), settled: what a block's lines add together, and whether one
+    of them isn't a record by itself; ``told`` are further aggregates of a block. Those that
+    are numbers leave the lines unsorted."""
+    odd = F.bool_or(~closed(adds)).alias("odd")
+    return settle(lines.groupBy("file", "block").agg(F.sum(adds).alias("adds"), odd, *told))
+
+
+def _cut_at(blocks: DataFrame, closed: Callable[[Column], Column]) -> DataFrame:
+    """(file, block, split, before, cut) of files with odd lines: a number for each block,
+    the sum of the blocks before it, and whether a record goes over one of its ends."""
+    odd = blocks.join(blocks.filter("odd").select("file").distinct(), "file", "left_semi")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return settle(sums.select("file", "block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("before")))
-
-
-def joined_lines(lines: DataFrame, adds: str, closed: Callable[[Column], Column]) -> DataFrame:
-    """(file, block, at, value): records made of the lines of each file. A line adds the
-    column ``adds`` to what is open; ``closed`` of the sum tells that a record ends. What a
-    file leaves open at its end is a record, too: its reader finds it broken."""
-    within = Window.partitionBy("file", "block").orderBy("at")
-    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
-    opened = lines.join(_before(lines, adds), ["file", "block"])
-    opened = opened.withColumn("_ends", closed(F.col("before") + F.sum(adds).over(so_far)).cast("long")).drop("before")
-    opened = settle(opened)
-    numbered = opened.join(_before(opened, "_ends"), ["file", "block"])
-    number = F.col("before") + F.sum("_ends").over(so_far) - F.col("_ends")
-    parts = numbered.select("file", number.alias("record"), F.struct("block", "at", "value").alias("line"))
-    whole = parts.groupBy("file", "record").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-    first = F.element_at("lines", 1)
+    summed = odd.withColumn("before", F.coalesce(F.sum("adds").over(earlier), F.lit(0)))
+    cut = ~closed(F.col("before")) | ~closed(F.col("before") + F.col("adds"))
+    return settle(summed.select("file", "block", F.monotonically_increasing_id().alias("split"), "before", cut.alias("cut")))
+
+
+def _joined(batches: Iterator[pa.RecordBatch], closed: Callable, whole: bool) -> Iterator[pa.RecordBatch]:
+    """(split, follows, value) of lines that come in order: the records that lie in one split,
+    or, without ``whole``, the pieces of those that go over its ends. A piece ``follows`` if
+    its record began in a split before. Of a record, only its lines are held."""
+    split, total, follows, held = None, 0, False, []
+
+    def rest() -> list[pa.RecordBatch]:
+        if not held or whole:
+            return []
+        return [pa.record_batch({"split": [split], "follows": [follows], "value": ["\n".join(held)]})]
+
+    for batch in batches:
+        splits = batch.column("split").to_numpy()
+        starts = np.flatnonzero(np.diff(splits, prepend=splits[:1] - 1)) if len(splits) else []
+        for start, stop in zip(starts, [*starts[1:], len(splits)]):
+            if splits[start] != split:
+                yield from rest()
+                split, total, held = int(splits[start]), batch.column("before")[int(start)].as_py(), []
+                follows = not closed(total)
+            lines = batch.column("value").slice(start, stop - start)
+            sums = total + np.cumsum(batch.column("adds").slice(start, stop - start).to_numpy())
+            total = int(sums[-1])
+            ends = np.flatnonzero(closed(sums)) + 1
+            if len(ends) and (held or follows):
+                # The record that was open, here or in a split before.
+                first = "\n".join([*held, *lines.slice(0, ends[0]).to_pylist()])
+                if follows != whole:
+                    yield pa.record_batch({"split": [split], "follows": [follows], "value": [first]})
+                held, follows = [], False
+                lines, ends = lines.slice(ends[0]), ends[1:] - ends[0]
+            last = int(ends[-1]) if len(ends) else 0
+            if whole and last:
+                places = pa.array(np.concatenate([[0], ends]), pa.int32())
+                joined = pc.binary_join(pa.ListArray.from_arrays(places, pa.concat_arrays([lines.slice(0, last)])), "\n")
+                n = len(joined)
+                yield pa.record_batch({"split": np.full(n, split), "follows": np.zeros(n, bool), "value": joined})
+            held += lines.slice(last).to_pylist()
+    yield from rest()
+
+
+def _in_order(lines: DataFrame, splits: DataFrame, adds: Column) -> DataFrame:
+    """(split, before, adds, value): the lines of ``splits``, those of one in order and in one
+    task. A scan has them so, unless there are too many splits to send to its tasks."""
+    small = measured_bytes(splits) <= BROADCAST_BYTES
+    found = lines.join(F.broadcast(splits) if small else splits, ["file", "block"])
+    found = found if small else found.repartition("split").sortWithinPartitions("split", "at")
+    return found.select("split", "before", adds.alias("adds"), "value")
+
+
+def joined_lines(lines: DataFrame, blocks: DataFrame, adds: Column, closed: Callable) -> DataFrame:
+    """(file, value): records made of the lines of files that have odd ones. A line adds
+    ``adds`` to what is open; ``closed`` of the sum, a column or an array, tells that a record
+    ends. What a file leaves open at its end is a record, too: its reader finds it broken.
+
+    Lines are joined where they are read. Only pieces of records that go over the end of a
+    block, at most two of a block, are shuffled."""
+    splits = _cut_at(blocks, closed)
+
+    def run(where: DataFrame, whole: bool) -> DataFrame:
+        ordered = _in_order(lines, where.select("file", "block", "split", "before"), adds)
+        joined = ordered.mapInArrow(lambda batches: _joined(batches, closed, whole), "split long, follows boolean, value string")
+        return lookup_join(joined, where.select("split", "file", "block"), "split")
+
+    inside = run(splits, True).select("file", "value")
+    cut = splits.filter("cut")
+    if cut.isEmpty():
+        return inside
+    pieces = settle(run(cut, False))
+    begun = Window.partitionBy("file").orderBy("block", F.desc("follows")).rowsBetween(Window.unboundedPreceding, 0)
+    record = F.count_if(~F.col("follows")).over(begun)
+    parts = pieces.select("file", record.alias("record"), F.struct("block", (~F.col("follows")).alias("begins"), "value").alias("line"))
+    across = parts.groupBy("file", "record").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     text = F.array_join(F.transform("lines", lambda part: part["value"]), "\n")
-    return whole.select("file", first["block"].alias("block"), first["at"].alias("at"), text.alias("value"))
+    return inside.unionByName(across.select("file", text.alias("value")))
 
 
-def whole_records(
-    lines: DataFrame, files: DataFrame, adds: Column, closed: Callable[[Column], Column]
-) -> DataFrame:
-    """(file, block, at, value): records of all files. ``files`` has (file, ``odd``): whether
-    a file has lines that are not records by themselves; it is settled."""
-    kinds = {r.odd for r in files.select("odd").distinct().collect()}
+def whole_records(lines: DataFrame, blocks: DataFrame, adds: Column, closed: Callable) -> DataFrame:
+    """(file, value): records of all files; ``blocks`` is what ``look_at`` found."""
+    kinds = {r.odd for r in blocks.groupBy("file").agg(F.bool_or("odd").alias("odd")).select("odd").distinct().collect()}
     if kinds <= {False}:
-        return lines
-    marked = lookup_join(lines, files.select("file", "odd"), "file") if len(kinds) > 1 else lines.withColumn("odd", F.lit(True))
-    spread = joined_lines(marked.filter("odd").drop("odd").withColumn("_adds", adds), "_adds", closed)
-    return marked.filter(~F.col("odd")).select(*lines.columns).unionByName(spread) if len(kinds) > 1 else spread
+        return lines.select("file", "value")
+    spread = joined_lines(lines, blocks, adds, closed)
+    if kinds == {True}:
+        return spread
+    files = blocks.filter("odd").select("file").distinct()
+    return lines.join(lookup_side(files), "file", "left_anti").select("file", "value").unionByName(spread)
