@@ -22,7 +22,7 @@ from tidemark.operators import silver
 from tidemark.plans import bars as bar_plans
 from tidemark.plans import rates as rate_plans
 from tidemark.schemas import BARS, GOLD_DOCUMENT, HISTORY_BARS, INCREMENT_BARS, RATE_DOCUMENT, RATES, SPREADS
-from tidemark.sources import bronze, landing, payloads
+from tidemark.sources import bronze, landing, payloads, records
 from tidemark.sources.stores import ParquetStore
 
 
@@ -461,3 +461,16 @@ def test_cells_with_and_without_commas_in_quotes(spark):
     rows = spark.createDataFrame([(line,) for line in lines], "value string")
     for line, fast, slow in rows.select("value", bronze._raw_cells(F.col("value")), every).collect():
         assert fast == slow, line
+
+
+def test_records_of_more_blocks_than_can_be_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "BROADCAST_BYTES", 0)
+    documents = [rates_a(f"C{i}", **{"2025-01-02": i + 0.5}) for i in range(60)]
+    put_text(tmp_path, "a.json", *(json.dumps(d, indent=1 if i % 3 else None) for i, d in enumerate(documents)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        got = {r.code: r.rates[0].mid for r in bronze.read_rates(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {f"C{i}": i + 0.5 for i in range(60)}
