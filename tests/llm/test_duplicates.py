@@ -3,6 +3,9 @@ against brute force on small tables."""
 
 import random
 import re
+import time
+from contextlib import suppress
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -369,3 +372,67 @@ def test_huge_and_tiny_vectors_link(spark):
     rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1.001e200], 1), (3, [1e-200, 1e-200], 1), (4, [3.0, 3.0], 1), (5, [5e-324, -1e-310], 1)]
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_copies(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
     assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5)}
+
+
+def shuffled_files(spark):
+    """Bytes of shuffle files that lie on disk now."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    total = 0
+    for path in (p for f in folders for p in Path(f).rglob("shuffle_*")):
+        with suppress(OSError):  # it may go meanwhile
+            total += path.stat().st_size
+    return total
+
+
+def left_behind(spark, make, most):
+    """Bytes of shuffle files that `make` leaves, waiting for those that are being removed."""
+    before, made = shuffled_files(spark), make()
+    for _ in range(50):
+        if (left := shuffled_files(spark) - before) <= most:
+            break
+        time.sleep(0.2)
+    return left, made
+
+
+def near_copies_of(many, length, copies):
+    source = random.Random(5)
+    texts = [" ".join(f"w{source.randrange(10**6)}" for _ in range(length)) for _ in range(many)]
+    return [(i + k * many, f"{t} copy{k}", "k", 1) for i, t in enumerate(texts) for k in range(copies)]
+
+
+def test_near_copies_leave_no_shuffle_files_before_the_last_join(spark):
+    """What slices and rounds shuffle goes when they end, not when the driver collects garbage."""
+    rows = near_copies_of(60, 300, 6)
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    left, found = left_behind(spark, lambda: ngrams.similar_classes(df), 400_000)
+    assert left <= 400_000
+    assert {r.doc_id: r.component_id for r in found.collect()} == {r[0]: r[0] % 60 for r in rows}
+
+
+@pytest.mark.parametrize(("seed", "slices"), [(1, 2), (4, 3), (5, 7)])
+def test_similar_classes_in_slices_and_rounds(spark, monkeypatch, seed, slices):
+    for name, value in {"SLICES": slices, "SLICE_GRAMS": 1, "ROUND": 0, "ROUND_GRAMS": 800, "BLOCK_SETS": 4, "LARGE": 4}.items():
+        monkeypatch.setattr(ngrams, name, value)
+    rows = rows_of(corpus(seed, 80, longest=120))
+    found = ngrams.similar_classes(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == classes_by_hand(rows)
+
+
+def test_parts_of_slices_add_up():
+    """Each slice has a part of the differences that its filled segments allow; all add up."""
+    source = np.random.default_rng(3)
+    for parts in (1, 2, 3, 7):
+        filled = source.integers(0, 60, 40)
+        owner = np.repeat(np.arange(40), filled)
+        number = np.concatenate([source.choice(200, n, replace=False) for n in filled])
+        found = ngrams.Segments(owner, owner, filled, owner, owner, number)
+        differ = source.integers(0, 50, 40)
+        most, seen = np.zeros(40, int), np.zeros(len(owner), int)
+        for part in range(parts):
+            inside, share = found.shares(differ, part, parts)
+            here = np.bincount(owner[inside], minlength=40)
+            strong = filled > differ
+            assert (share[~strong] == 0).all() and (share[strong] >= 1).all() and (share[strong] <= here[strong] + 1).all()
+            most += here - share + 1
+            seen += inside
+        assert (most[strong] == differ[strong] + 1).all() and (seen == 1).all()

@@ -5,13 +5,15 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, scratch_path
+from tidemark.sources.files import remove
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +82,36 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Has Spark remove the shuffle files of a query when it ends, not when the driver happens to
+#: collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What is made and computed inside leaves no shuffle files behind."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table that `stored` made; it can't be read any more."""
+    for path in df.inputFiles()[:1]:
+        remove(df.sparkSession, path.rpartition("/")[0])
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once into a table below the checkpoint folder that `dropped` can
+    delete as soon as nothing reads it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def held_out(doc_id: Column) -> Column:
     """The fourth of the rows that nothing is learned from; a row without id is learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

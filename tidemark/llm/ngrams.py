@@ -13,6 +13,13 @@ only k segments or fewer has no such guarantee; in its band all sets also send t
 segments with each single n-gram left out (then two differences are needed to hide a
 segment), or, where even that is too little, each n-gram by itself.
 
+What a search takes on disk is bounded by taking it in slices. Segments are dealt into
+slices, each with its part of the differences: where k + 1 is the sum of their parts, two
+sets that link have a slice in which fewer segments differ than its part says. Texts are
+sent to be compared in rounds of a part of all n-grams, and what a slice or round has
+shuffled is removed when it ends. Segments whose sets all are of one class, by links found
+so far, are not kept.
+
 Equal sets are one: a set goes by a hash of its n-grams, and a task sends what it has to say
 of a set once, so that a text which a third of all documents have sends few rows. Candidates
 of a segment are compared with its least member and linked ones merged, so that a group of
@@ -34,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_arrow, keyed, kept, table
+from tidemark.llm.common import dropped, in_arrow, keyed, kept, stored, table, tidy
 from tidemark.llm.graph import components
 from tidemark.llm.words import Hasher, Words, mix, new_key, signed, words_of
 from tidemark.llm.words import gathered as joined
@@ -55,6 +62,11 @@ LARGE = 16 * BLOCK_SETS
 TILE = 2048
 #: Sets that a task remembers to have sent; then it begins anew.
 REMEMBERED = 200_000
+#: Slices that segments are searched in, at most, and n-grams of all sets for each.
+SLICES, SLICE_GRAMS = 3, 8_000_000
+#: N-grams that are sent to be compared in a round, as a part of those of all documents, and at
+#: least.
+ROUND, ROUND_GRAMS = 0.4, 4_000_000
 #: Bits of the filter that keeps sets nobody compares from being sent.
 FILTER_BITS = 1 << 22
 
@@ -100,7 +112,9 @@ def sets_of(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
             for i in range(n):
                 found = mix(found + words.hashes[at + i])
             hashes, owner = np.concatenate([hashes, found]), np.concatenate([owner, short])
-    turn = np.lexsort((hashes, owner))
+    # By owner and hash: a quick sort of the hashes, then a stable one of small numbers.
+    turn = np.argsort(hashes)
+    turn = turn[np.argsort(owner[turn].astype(np.uint16 if len(counts) <= 1 << 16 else np.int64), kind="stable")]
     hashes, owner = hashes[turn], owner[turn]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
@@ -148,6 +162,7 @@ class Segments:
     filled: np.ndarray  # of each set
     grams: np.ndarray  # hash of each n-gram in its segment
     gram_segment: np.ndarray
+    number: np.ndarray  # of each filled segment, in its band
 
     @staticmethod
     def of(hashes: np.ndarray, first: np.ndarray, chosen: np.ndarray, band: np.ndarray, many: np.ndarray) -> Segments:
@@ -157,7 +172,7 @@ class Segments:
         salted = mix(grams ^ (band[rows].astype(np.uint64) + np.uint64(1)) * np.uint64(0xA24BAED4963EE407))
         segment = ((salted >> np.uint64(20)) % many[rows].astype(np.uint64)).astype(np.int64)
         place = rows * (int(many.max(initial=1)) + 1) + segment
-        turn = np.argsort(place, kind="stable")
+        turn = np.argsort(place)
         place, salted, rows, segment = place[turn], salted[turn], rows[turn], segment[turn]
         new = np.ones(len(place), bool)
         new[1:] = place[1:] != place[:-1]
@@ -167,9 +182,20 @@ class Segments:
         value = mix(salted)
         return Segments(
             owner, _sums(value, starts) + name, np.bincount(owner, minlength=len(first) - 1),
-            value, np.cumsum(new) - 1,
+            value, np.cumsum(new) - 1, segment[starts[:-1]],
         )
 
+    def shares(self, differ: np.ndarray, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which filled segments lie in a slice, and for each set how many of its segments
+        there a linked set must share, if it shares so many in no other slice. The parts that
+        slices have of `differ` + 1 add up to it; none has more than its filled segments."""
+        inside = self.number % parts == part
+        here = np.bincount(self.owner[inside], minlength=len(self.filled))
+        upto = np.bincount(self.owner[self.number % parts <= part], minlength=len(self.filled))
+        some = np.maximum(self.filled, 1)
+        most = (differ + 1) * upto // some - (differ + 1) * (upto - here) // some
+        return inside, np.where(self.filled > differ, here - most + 1, 0)
+
 
 def describe(docs: DataFrame, length: int, bands: Bands, secret: bytes) -> DataFrame:
     """`_node`, `_id`, `n`, `set` (hash) of all documents, and `weak`: bands, times four,
@@ -199,9 +225,11 @@ def describe(docs: DataFrame, length: int, bands: Bands, secret: bytes) -> DataF
     return in_arrow(docs.select("_node", "_id", "text"), run, "_node long, _id long, n long, set long, weak array<int>")
 
 
-def signatures(docs: DataFrame, length: int, bands: Bands, levels: dict[int, int], secret: bytes) -> DataFrame:
-    """`key` (hash of a segment), `_node` (name of the set), `code`: its size (times two,
-    plus the side) and, from bit 32 on, how many of its segments a linked set must share.
+def signatures(
+    docs: DataFrame, length: int, bands: Bands, levels: dict[int, int], secret: bytes, part: int = 0, parts: int = 1
+) -> DataFrame:
+    """`key` (hash of a segment), `_node` (name of the set), `code`: how many of its segments a
+    linked set must share (times two, plus the side), of one of several slices of the segments.
     Several tasks may send the same rows.
     """
 
@@ -216,22 +244,24 @@ def signatures(docs: DataFrame, length: int, bands: Bands, levels: dict[int, int
                 wanted = fresh(node) & (size > 0)
                 for side, chosen, band, differ in bands.sides(some):
                     chosen = chosen & wanted
-                    parts = Segments.of(hashes, first, chosen, band, bands.segments(np.maximum(band, 0)))
+                    found = Segments.of(hashes, first, chosen, band, bands.segments(np.maximum(band, 0)))
                     level = np.array([levels.get(int(b), 1) for b in band])
-                    share = np.where(level > 1, 0, np.maximum(parts.filled - differ, 0))
-                    code = (share.astype(np.int64) << 32) | (size << 1) | side
-                    yield parts.hash, node[parts.owner], code[parts.owner]
-                    gram_owner = parts.owner[parts.gram_segment]
+                    inside, share = found.shares(differ, part, parts)
+                    code = (np.where(level > 1, 0, share).astype(np.int64) << 1) | side
+                    owner = found.owner[inside]
+                    yield found.hash[inside], node[owner], code[owner]
+                    gram_owner = found.owner[found.gram_segment]
+                    gram_inside = inside[found.gram_segment]
                     if (level > 1).any():
-                        use = level[gram_owner] > 1
-                        less = (parts.hash[parts.gram_segment] - parts.grams)[use]
+                        use = (level[gram_owner] > 1) & gram_inside
+                        less = (found.hash[found.gram_segment] - found.grams)[use]
                         # A segment of one n-gram, without it, is empty and says nothing.
-                        alone = np.bincount(parts.gram_segment, minlength=len(parts.owner))[parts.gram_segment] == 1
+                        alone = np.bincount(found.gram_segment, minlength=len(found.owner))[found.gram_segment] == 1
                         use2 = ~alone[use]
                         yield less[use2], node[gram_owner[use]][use2], code[gram_owner[use]][use2]
                     if (level > 2).any():
-                        use = level[gram_owner] > 2
-                        single = mix(parts.grams[use] ^ np.uint64(0x2545F4914F6CDD1D))
+                        use = (level[gram_owner] > 2) & gram_inside
+                        single = mix(found.grams[use] ^ np.uint64(0x2545F4914F6CDD1D))
                         yield single, node[gram_owner[use]], code[gram_owner[use]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,46 +285,90 @@ def _filter_of(nodes: DataFrame) -> np.ndarray:
     return table
 
 
-def gathered(docs: DataFrame, wanted: DataFrame, length: int, secret: bytes) -> DataFrame:
-    """`_node` (name of the set), `grams` (sorted, 8 bytes each) of the sets wanted, from
-    (`set`, `_node`): their names, and documents that have them."""
-    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(_filter_of(wanted)))
+def gathered(docs: DataFrame, rows: DataFrame, first: DataFrame) -> DataFrame:
+    """`rows`, which name sets (`_node`), each with the `text` of a document that has the set.
+    `first` has the documents of sets (`set`, `_node`). A row can come several times, if its
+    document does."""
+    named = rows.withColumnRenamed("_node", "set").join(first.select("set", "_node"), "set")
+    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(_filter_of(named.select("_node"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = np.unpackbits(packed.value).view(bool)
-        hasher, fresh = Hasher(secret), _Fresh()
+        fresh = _Fresh()
         for batch in batches:
             nodes = np.asarray(batch.column(0)).astype(np.int64)
-            texts = batch.column(1).filter(pa.array(passes[nodes % FILTER_BITS]))
-            for words in words_of(texts, hasher, fold=True):
-                hashes, first = sets_of(words, length)
-                names = set_names(hashes, first)
-                new = np.flatnonzero(fresh(names))
-                grams = [hashes[first[i] : first[i + 1]].tobytes() for i in new]
-                yield pa.RecordBatch.from_arrays([pa.array(names[new]), pa.array(grams, pa.binary())], ["_node", "grams"])
+            at = np.flatnonzero(passes[nodes % FILTER_BITS])
+            at = at[fresh(nodes[at])]
+            yield batch.take(pa.array(at))
 
-    found = in_arrow(docs.select("_node", "text"), run, "_node long, grams binary")
-    names = wanted.select(F.col("set").alias("_node"))
-    # A repeated row of the table gives its set once.
-    return found.join(names, "_node", "left_semi").dropDuplicates(["_node"])
+    found = in_arrow(docs.select("_node", "text"), run, "_node long, text string")
+    return found.join(named, "_node").drop("_node").withColumnRenamed("set", "_node")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs (`a`, `b`) whose sets reach the similarity."""
+def _grams(texts: pa.Array, hasher: Hasher, length: int) -> list[np.ndarray]:
+    """The n-grams of each text, in ascending order."""
+    out = []
+    for words in words_of(texts, hasher, fold=True):
+        hashes, first = sets_of(words, length)
+        out += [hashes[first[i] : first[i + 1]] for i in range(len(first) - 1)]
+    return out
+
+
+def _in_groups(
+    rows: DataFrame, docs: DataFrame, first: DataFrame, group: tuple[str, ...], rest: tuple[str, ...], total: int,
+    length: int, secret: bytes, found_in,
+) -> DataFrame:
+    """Links `a`, `b` that `found_in` finds in groups of rows: from the group's values and
+    from each member once, with its `_node`, the values `rest` and its n-grams. Groups are
+    dealt into rounds, and none sends much more than a part of the n-grams of all documents."""
+    grams = rows.join(first.select(F.col("set").alias("_node"), "n"), "_node").agg(F.sum("n").alias("n")).first().n or 0
+    rounds = max(1, -(-grams // max(ROUND_GRAMS, int(ROUND * total))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            found = found_in(key, list(held.values()))
+            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+        hasher, key, held = Hasher(secret), None, {}
         for batch in batches:
-            left, right = (batch.column(i).to_pylist() for i in (2, 3))
-            keep = []
-            for x, y in zip(left, right, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(bands.q * both >= bands.p * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns - 1)]
+            for *values, own in zip(*columns, _grams(batch.column(batch.num_columns - 1), hasher, length), strict=True):
+                if (new := tuple(values[: len(group)])) != key:
+                    if held:
+                        yield flush()
+                    key, held = new, {}
+                held[values[len(group)]] = (*values[len(group) :], own)
+        if held:
+            yield flush()
+
+    out = None
+    for i in range(rounds):
+        some = rows.filter(F.pmod(F.xxhash64(F.lit("round"), *group), F.lit(rounds)) == i)
+        texts = gathered(docs, some, first).select(*group, "_node", *rest, "text")
+        links = kept(in_arrow(texts.repartition(*group).sortWithinPartitions(*group), run, "a long, b long"))
+        out = links if out is None else out.union(links)
+    return out
 
-    first = pairs.join(sets.select(F.col("_node").alias("a"), F.col("grams").alias("x")), "a")
-    second = first.join(sets.select(F.col("_node").alias("b"), F.col("grams").alias("y")), "b")
-    return in_arrow(second.select("a", "b", "x", "y"), run, "a long, b long")
+
+def linked(pairs: DataFrame, docs: DataFrame, first: DataFrame, total: int, length: int, bands: Bands, secret: bytes) -> DataFrame:
+    """The pairs (`a`, `b`) whose sets reach the similarity. The sets that are paired with one
+    are dealt into blocks, to each of which that one is sent as well."""
+
+    def found_in(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
+        centre = next((grams for node, grams in held if node == key[0]), None)
+        if centre is None:
+            return []
+        found = []
+        for node, grams in held:
+            both = len(np.intersect1d(centre, grams, assume_unique=True)) if node != key[0] else 0
+            if both and bands.q * both >= bands.p * (len(centre) + len(grams) - both):
+                found.append((node, key[0]))
+        return found
+
+    many = kept(pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("parts")))
+    members = pairs.join(many, "b").select("b", F.pmod(F.xxhash64(F.lit("star"), "a"), "parts").cast("int").alias("part"), F.col("a").alias("_node"))
+    centres = many.select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("b").alias("_node"))
+    return _in_groups(kept(members.union(centres)), docs, first, ("b", "part"), (), total, length, secret, found_in)
 
 
 def _forest(links: np.ndarray) -> list[tuple[int, int]]:
@@ -340,48 +414,35 @@ def _block_links(sets: list[np.ndarray], classes: np.ndarray, cross: np.ndarray
     return _forest(links)
 
 
-def compared(clusters: DataFrame, sets: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
+def compared(
+    clusters: DataFrame, docs: DataFrame, first: DataFrame, classes: DataFrame, total: int, length: int, bands: Bands, secret: bytes
+) -> DataFrame:
     """Links `a`, `b` that connect what is linked in a cluster across classes.
 
     `clusters` has `_node`, `cluster`; `classes` has `_node`, `c` where that is another. A cluster of n members in k blocks sends each member
     k times, with k about n / BLOCK_SETS, and at once if it is small.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> pa.RecordBatch:
-            found = []
-            if len(held) > 1 and len({h[1] for h in held}) > 1:
-                own = np.array([h[2] for h in held])
-                cross = own == key[1] if key[1] != key[2] else None
-                grams = [np.frombuffer(h[3], np.uint64) for h in held]
-                found = _block_links(grams, np.array([h[1] for h in held]), cross, bands)
-            ends = [[held[e[i]][0] for e in found] for i in (0, 1)]
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], ["a", "b"])
-
-        key, held = None, []
-        for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            for cluster, i, j, node, label, own, grams in zip(*columns, strict=True):
-                if (cluster, i, j) != key:
-                    if held:
-                        yield flush()
-                    key, held = (cluster, i, j), []
-                held.append((node, label, own, grams))
-        if held:
-            yield flush()
-
-    members = clusters.join(sets, "_node").join(classes, "_node", "left")
-    members = members.select("cluster", "_node", F.coalesce("c", "_node").alias("c"), "grams")
-    many = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.octet_length("grams")).alias("bytes"))
-    parts = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("bytes") / (8 * BLOCK_GRAMS))).cast("int")
+    def found_in(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
+        if len(held) < 2 or len({h[1] for h in held}) < 2:
+            return []
+        own = np.array([h[2] for h in held])
+        cross = own == key[1] if key[1] != key[2] else None
+        found = _block_links([h[3] for h in held], np.array([h[1] for h in held]), cross, bands)
+        return [(held[u][0], held[v][0]) for u, v in found]
+
+    sizes = first.select(F.col("set").alias("_node"), "n")
+    members = clusters.join(sizes, "_node").join(classes, "_node", "left")
+    members = kept(members.select("cluster", "_node", F.coalesce("c", "_node").alias("c"), "n"))
+    many = members.groupBy("cluster").agg(F.count("*").alias("many"), F.sum("n").alias("grams"))
+    parts = F.greatest(F.ceil(F.col("many") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
     dealt = members.join(kept(many.select("cluster", parts.alias("parts"))), "cluster")
     own = F.pmod(F.xxhash64(F.lit("block"), "_node"), F.col("parts")).cast("int")
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select(
-        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "_node", "c", "own", "grams"
+        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "_node", "c", "own"
     )
-    order = ("cluster", "i", "j")
-    return in_arrow(dealt.repartition(*order).sortWithinPartitions(*order), run, "a long, b long")
+    return _in_groups(dealt, docs, first, ("cluster", "i", "j"), ("c", "own"), total, length, secret, found_in)
 
 
 def _fits(n: str, m: str, bands: Bands):
@@ -391,20 +452,29 @@ def _fits(n: str, m: str, bands: Bands):
 
 
 def searched(keys: DataFrame) -> DataFrame:
-    """Segments that several sets share and at least one is searched by: `key`, `_node`,
-    `n`, `probe`."""
+    """Segments that several sets share and at least one is searched by: `key`, `_node`."""
     each = Window.partitionBy("key")
     told = {"times": F.count("*").over(each), "low": F.min("_node").over(each), "high": F.max("_node").over(each)}
     shared = keys.withColumns(told).filter("low != high").drop("low", "high").distinct()
-    own = Window.partitionBy("_node", F.col("code") % 2)
-    rank = F.row_number().over(own.orderBy("times", "key"))
-    # Of its shared segments a set must have `code >> 32` in common with any that it links to.
-    probe = rank <= F.count("*").over(own) - F.shiftright("code", 32) + 1
-    n = F.shiftright(F.col("code") % (1 << 32), 1).alias("n")
-    found = shared.select("key", "_node", n, probe.alias("probe"))
+    # One number of the side, the times and the segments to share makes the rows that move smaller.
+    info = F.shiftleft(F.least("times", F.lit((1 << 30) - 1)), 32).bitwiseOR(F.col("code"))
+    own = Window.partitionBy("_node", F.col("info") % 2)
+    rank = F.row_number().over(own.orderBy(F.shiftright("info", 32), "key"))
+    # Of its shared segments a set must have `code >> 1` in common with any that it links to.
+    share = F.shiftright(F.col("info") % (1 << 32), 1)
+    probe = rank <= F.count("*").over(own) - share + 1
+    found = shared.select("key", "_node", info.alias("info")).select("key", "_node", probe.alias("probe"))
     group = Window.partitionBy("key")
     found = found.withColumns({"size": F.count("*").over(group), "any": F.max("probe").over(group)})
-    return found.filter("size > 1 AND any").select("key", "_node", "n", "probe")
+    return found.filter("size > 1 AND any").select("key", "_node")
+
+
+def _mixed(found: DataFrame, class_of: DataFrame) -> DataFrame:
+    """Of (`key`, `_node`) the segments with members of different classes."""
+    group = Window.partitionBy("key")
+    named = found.join(class_of, "_node", "left").withColumn("c", F.coalesce("c", "_node"))
+    mixed = named.withColumns({"low": F.min("c").over(group), "high": F.max("c").over(group)})
+    return mixed.filter("low != high").select("key", "_node")
 
 
 def _dealt(mixed: DataFrame) -> DataFrame:
@@ -442,7 +512,11 @@ def _classed(
     equal id and text are one document; different texts of one id are different documents.
     An empty table gives no rows; other columns pass unchanged.
     """
-    bands = Bands(*similarity)
+    with tidy(df.sparkSession):
+        return _classed_in_slices(df, doc_id, text, length, Bands(*similarity))
+
+
+def _classed_in_slices(df: DataFrame, doc_id: str, text: str, length: int, bands: Bands) -> DataFrame:
     plain = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
         F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("_id"),
@@ -456,24 +530,36 @@ def _classed(
 
     first = filled.groupBy("set", "n").agg(F.min(F.struct("_id", "_node")).alias("r"))
     first = kept(first.select("set", "n", "r._id", "r._node"))
-    found = kept(searched(signatures(docs, length, bands, levels, secret)))
-    names = found.select(F.col("_node").alias("set")).distinct()
-    wanted = kept(first.select("set", "_node").join(names, "set", "left_semi"))
-    sets = kept(gathered(docs, wanted, length, secret))
-
-    group = Window.partitionBy("key")
-    star = found.withColumn("p", F.min(F.struct("_node", "n")).over(group))
-    star = star.filter((F.col("_node") != F.col("p._node")) & _fits("n", "p.n", bands))
-    star = kept(star.select(F.col("_node").alias("a"), F.col("p._node").alias("b")).distinct())
-    links = kept(linked(star, sets, bands))
-    # A class so far is a least member and what links to it.
-    class_of = kept(links.groupBy(F.col("a").alias("_node")).agg(F.min("b").alias("c")))
-
-    named = found.join(class_of, "_node", "left").withColumn("c", F.coalesce("c", "_node"))
-    mixed = named.withColumns({"low": F.min("c").over(group), "high": F.max("c").over(group)}).filter("low != high")
-    clusters = _dealt(mixed.select("key", "_node"))
-    across = compared(clusters, sets, class_of, bands)
+    total = sizes.agg(F.sum("n").alias("n")).first().n or 0
+    parts = max(1, min(SLICES, -(-total // SLICE_GRAMS)))
+    links, class_of, tried, slices = None, None, None, []
+    for part in range(parts):
+        found = stored(searched(signatures(docs, length, bands, levels, secret, part, parts)), "segments")
+        if class_of is not None:
+            whole, found = found, stored(_mixed(found, class_of), "segments")
+            dropped(whole)
+        star = found.withColumn("b", F.min("_node").over(Window.partitionBy("key"))).filter("_node != b")
+        star = star.select(F.col("_node").alias("a"), "b").distinct()
+        for end, n in (("a", "n"), ("b", "m")):
+            star = star.join(first.select(F.col("set").alias(end), F.col("n").alias(n)), end)
+        star = star.filter(_fits("n", "m", bands)).select("a", "b")
+        star = kept(star if tried is None else star.join(tried, ["a", "b"], "left_anti"))
+        tried = star if tried is None else tried.union(star)
+        new = linked(star, docs, first, total, length, bands, secret)
+        links = new if links is None else links.union(new)
+        # A class so far is a least member and what links to it.
+        class_of = kept(links.groupBy(F.col("a").alias("_node")).agg(F.min("b").alias("c")))
+        slices.append(stored(_mixed(found, class_of), "segments"))
+        dropped(found)
+
+    mixed = slices[0]
+    for some in slices[1:]:
+        mixed = mixed.union(some)
+    clusters = _dealt(mixed)
+    across = compared(clusters, docs, first, class_of, total, length, bands, secret)
     classes = kept(components(links.union(across)))
+    for some in slices:
+        dropped(some)
 
     # From representatives to all sets, from sets to documents. Each least member is
     # written before it is joined, so that a large class can be split.
