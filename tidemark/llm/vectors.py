@@ -8,10 +8,13 @@ region and the other's, until the next cell is farther than two vectors that lin
 apart. A vector is never nearer to a region than to its plane, so the target recall is 1,
 whichever way vectors differ. All that is found is verified by cosine.
 
-Every vector is a member of its cell and a visitor of the cells it searches. Members and
-visitors of a large cell are dealt into blocks, and each pair of blocks is one product of
-matrices. Equal vectors are one member with a weight. What comes out are counts and a
-spanning forest of links, never pairs.
+Every vector is a member of its cell and a visitor of the cells it searches. Vectors of a
+label are dealt into blocks of bounded size, and each pair of blocks goes to one task, which
+holds the grid of the block in memory: vectors of one cell visit together what any of them
+has to search, as products of matrices. So a vector is sent once for each block of its label,
+not for each cell; pairs of blocks are dealt into rounds that send about all vectors once, and
+what a round has shuffled is removed when it ends. Equal vectors are one member with a weight.
+What comes out are counts and a spanning forest of links, never pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_arrow, kept, table, unit
+from tidemark.llm.common import in_arrow, kept, table, tidy, unit
 from tidemark.llm.graph import components
 
 THRESHOLD = 0.98
@@ -35,9 +38,10 @@ ROUNDING = 1e-12
 #: Vectors that codebooks are fitted on, about, at most; codewords of a half at most;
 #: vectors in a cell on average, as long as the codebooks can still grow.
 FIT_ROWS, MOST_WORDS, CELL_ROWS = 20_000, 256, 1024
-BLOCK = 1024
-#: Rows of members and visitors that a task makes at a time, about.
-VISITS = 8192
+#: Vectors of a block at most, and numbers in them.
+BLOCK, BLOCK_NUMBERS = 1 << 16, 1 << 22
+#: Pairs of vectors that a task compares at a time, about.
+PRODUCT = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -73,19 +77,30 @@ def _kmeans(rows: np.ndarray, words: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
-def _unit_rows(packed: list[bytes]) -> np.ndarray:
-    rows = np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
+def _bytes_of(x: np.ndarray) -> bytes:
+    """The numbers in four bytes each where none loses a digit by it, otherwise in eight."""
+    small = x.astype(np.float32)
+    return small.tobytes() if np.array_equal(small, x) else x.tobytes()
+
+
+def _unit_rows(packed: list[bytes], size: int) -> np.ndarray:
+    """Vectors of `size` numbers as rows of length 1."""
+    rows = np.empty((len(packed), size))
+    narrow = np.array([len(p) == 4 * size for p in packed], bool)
+    for some, kind in ((narrow, np.float32), (~narrow, np.float64)):
+        at = np.flatnonzero(some)
+        rows[at] = np.frombuffer(b"".join([packed[i] for i in at]), kind).reshape(len(at), size)
     return rows / np.sqrt((rows**2).sum(1))[:, None]
 
 
 def packed(df: DataFrame, vec_id: str, vector: str, label: str, rest: list[str]) -> DataFrame:
-    """`row` (the columns `rest`), `_id`, `label`, `vec` (the numbers as doubles, packed),
-    `size`, and two hashes of label and vector, `same` and `also`. `vec` is null if the row
-    can't link."""
+    """`row` (the columns `rest`), `_id`, `label`, `vec` (the numbers, packed), `size`, and two hashes
+    of label and vector, `same` and `also`. `vec` is null if the row can't link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[bytes | None] = []
+            sizes = []
             for v, told in zip(batch.column(3).to_pylist(), batch.column(2).is_valid().to_pylist(), strict=True):
                 x = np.array(v, np.float64) if told and v and None not in v else np.zeros(0)
                 top = np.abs(x).max(initial=0.0)
@@ -93,8 +108,8 @@ def packed(df: DataFrame, vec_id: str, vector: str, label: str, rest: list[str])
                     # Squares would leave the range of doubles; a power of two changes no digit.
                     x = np.ldexp(x, -int(np.frexp(top)[1]))
                 square = float(x @ x) if np.isfinite(top) else np.inf
-                out.append((x + 0.0).tobytes() if np.isfinite(square) and square > 0 else None)
-            sizes = [0 if o is None else len(o) // 8 for o in out]
+                out.append(_bytes_of(x + 0.0) if np.isfinite(square) and square > 0 else None)
+                sizes.append(0 if out[-1] is None else len(x))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(3)], pa.array(out, pa.binary()), pa.array(sizes, pa.int32())],
                 ["row", "_id", "label", "vec", "size"],
@@ -123,7 +138,7 @@ def fit_codebooks(vectors: DataFrame, rows: int = FIT_ROWS) -> Codebooks | None:
     packed = sorted(bytes(r.vec) for r in sample.limit(2 * rows).collect())
     if not packed:
         return None
-    found = _unit_rows(packed)
+    found = _unit_rows(packed, size)
     words = int(min(MOST_WORDS, len(found), max(1, round((many / CELL_ROWS) ** 0.5))))
     order = np.random.default_rng(1).permutation(len(found))
     halves = found[order, : size // 2], found[order, size // 2 :]
@@ -149,95 +164,115 @@ def nearest_cells(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[float, int, in
             heapq.heappush(queue, (far_x[i] + far_y[j + 1], i, j + 1))
 
 
-def _cells(books: Codebooks | None, reach: float):
-    """Rows of members and visitors: label, size, cell, who, own cell, weight, vector."""
-
-    def made(batch: pa.RecordBatch, at: list[int], cell: list[tuple[int, int]], member: list[bool]) -> pa.RecordBatch:
-        rows = batch.take(pa.array(at, pa.int64()))
-        a, b = zip(*cell, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [rows.column(1), rows.column(2), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
-             pa.array(member, pa.bool_()), rows.column(0), rows.column(3), rows.column(4)],
-            ["label", "size", "a", "b", "member", "_id", "weight", "vec"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
-                sizes = np.asarray(batch.column(2))
-                own = np.zeros((2, len(sizes)), np.int64)
-                fit = np.flatnonzero(sizes == books.size) if books else np.zeros(0, np.int64)
-                turn = {int(i): k for k, i in enumerate(fit)}
-                if len(fit):
-                    found = _unit_rows(batch.column(4).take(pa.array(fit)).to_pylist())
-                    words, (x, y) = books.gaps(found)
-                    own[0, fit], own[1, fit] = words
-                at, cell, member = [], [], []
-                for i in range(len(sizes)):
-                    visits = [(0, 0)]
-                    if (k := turn.get(i)) is not None:
-                        # Behind the first cell that is too far no link can be missed.
-                        near = takewhile(lambda cell: cell[0] <= reach, nearest_cells(x[k], y[k]))
-                        visits = [(a, b) for _, a, b in near]
-                    at += [i] * (len(visits) + 1)
-                    cell += [(int(own[0, i]), int(own[1, i])), *visits]
-                    member += [True] + [False] * len(visits)
-                    if len(at) >= VISITS or i == len(sizes) - 1:
-                        yield made(batch, at, cell, member)
-                        at, cell, member = [], [], []
-
-    return run
+def _visits(books: Codebooks | None, reach: float, x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Groups of rows of `x` (of one cell each) with the rows of `y` in all cells that any of
+    the group has to visit."""
+    if not books or x.shape[1] != books.size:
+        yield np.arange(len(x)), np.arange(len(y))
+        return
+    wide = len(books.halves[1])
+
+    def in_cells(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows in the order of their cells, which cells there are, and where each begins."""
+        cells = np.empty(len(rows), np.int64)
+        for start in range(0, len(rows), 8192):
+            (a, b), _ = books.gaps(rows[start : start + 8192])
+            cells[start : start + 8192] = a * wide + b
+        order = np.argsort(cells, kind="stable")
+        found, first = np.unique(cells[order], return_index=True)
+        return order, found, np.append(first, len(rows))
+
+    mine, _, mine_first = in_cells(x)
+    theirs, there, their_first = in_cells(y) if y is not x else (mine, _, mine_first)
+    place = {int(c): i for i, c in enumerate(there)}
+    for start, stop in zip(mine_first[:-1], mine_first[1:], strict=True):
+        group = mine[start:stop]
+        # What is nearest to any of the group. Behind the first cell that is too far no link
+        # can be missed.
+        far = [np.full(len(words), np.inf) for words in books.halves]
+        for k in range(0, len(group), 8192):
+            far = [np.minimum(f, gap.min(0)) for f, gap in zip(far, books.gaps(x[group[k : k + 8192]])[1], strict=True)]
+        near = takewhile(lambda cell: cell[0] <= reach, nearest_cells(*far))
+        at = [place[c] for _, a, b in near if (c := a * wide + b) in place]
+        if at:
+            yield group, np.concatenate([theirs[their_first[i] : their_first[i + 1]] for i in at])
 
 
 def _links(books: Codebooks | None, reach: float, threshold: float):
-    """Links between the members and visitors of a pair of blocks: `u`, `v`, `n`. With u = v
-    it is a number of links, otherwise a link."""
-
-    def found_in(rows: list[tuple]) -> list[tuple[int, int, int]]:
-        members = [r for r in rows if r[0]]
-        visitors = [r for r in rows if not r[0]]
-        if not members or not visitors:
-            return []
-        y, x = _unit_rows([r[3] for r in members]), _unit_rows([r[3] for r in visitors])
-        id_y, id_x = (np.array([r[1] for r in some]) for some in (members, visitors))
-        w_y, w_x = (np.array([r[2] for r in some]) for some in (members, visitors))
-        links = (x @ y.T >= threshold) & (id_x[:, None] != id_y[None, :])
-        if not links.any():
-            return []
-        back = np.ones_like(links)
-        if books and x.shape[1] == books.size:
-            # Does the member visit the visitor's cell? Then it counts its link there.
-            (a, b), (_, (p, q)) = books.gaps(x)[0], books.gaps(y)
-            back = (p[:, a] + q[:, b]).T <= reach
-        once = links & ~back
-        for_x, for_y = links @ w_y, once.T @ w_x
-        out = [(int(i), int(i), int(n)) for i, n in zip(id_x, for_x, strict=True) if n]
-        out += [(int(i), int(i), int(n)) for i, n in zip(id_y, for_y, strict=True) if n]
-        return out + [(int(id_x[i]), int(id_y[j]), 0) for i, j in _two_sided_forest(links)]
+    """Links between the vectors of a pair of blocks, from rows of label, size, both blocks,
+    a vector's own block, its number, weight and numbers: `u`, `v`, `n`. With u = v it is a
+    number of links, otherwise a link."""
+
+    def found_in(size: int, visitors: list[tuple], members: list[tuple]) -> Iterator[tuple[np.ndarray, ...]]:
+        x = _unit_rows([r[2] for r in visitors], size)
+        y = x if members is visitors else _unit_rows([r[2] for r in members], size)
+        id_x, id_y = (np.array([r[0] for r in some], np.int64) for some in (visitors, members))
+        weight = np.array([r[1] for r in members], np.int64)
+        for group, others in _visits(books, reach, x, y):
+            right, right_id, right_weight = y[others].T, id_y[others], weight[others]
+            step = max(1, PRODUCT // len(others))
+            for start in range(0, len(group), step):
+                some = group[start : start + step]
+                links = (x[some] @ right >= threshold) & (id_x[some][:, None] != right_id[None, :])
+                hit, near = np.flatnonzero(links.any(1)), np.flatnonzero(links.any(0))
+                if not len(hit):
+                    continue
+                links = links[np.ix_(hit, near)]
+                u, v = id_x[some][hit], right_id[near]
+                yield u, u, links @ right_weight[near]
+                edges = np.array(_two_sided_forest(links), np.int64).reshape(-1, 2)
+                yield u[edges[:, 0]], v[edges[:, 1]], np.zeros(len(edges), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(rows: list[tuple]) -> pa.RecordBatch:
-            found = found_in(rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f[i] for f in found], pa.int64()) for i in range(3)], ["u", "v", "n"]
-            )
-
-        key, held = None, []
+        def made() -> Iterator[pa.RecordBatch]:
+            _, size, i, j = key
+            # Each visits the other's cells; in a pair of one block with itself, its own.
+            sides = [(i, j), (j, i)] if i != j else [(i, i)]
+            for mine, theirs in sides:
+                if held.get(mine) and held.get(theirs):
+                    for found in found_in(size, held[mine], held[theirs]):
+                        yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], ["u", "v", "n"])
+
+        key, held = None, {}
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for *group, member, node, weight, vec in zip(*columns, strict=True):
+            for *group, own, node, weight, vec in zip(*columns, strict=True):
                 if group != key:
                     if held:
-                        yield made(held)
-                    key, held = group, []
-                held.append((member, node, weight, vec))
+                        yield from made()
+                    key, held = group, {}
+                held.setdefault(own, []).append((node, weight, vec))
         if held:
-            yield made(held)
+            yield from made()
 
     return run
 
 
+def _all_links(nodes: DataFrame, books: Codebooks | None, reach: float, threshold: float) -> DataFrame:
+    """`u`, `v`, `n` of all pairs of blocks; see `_links`."""
+    group = ["label", "size"]
+    most = F.least(F.lit(BLOCK), F.greatest(F.lit(1), F.floor(F.lit(BLOCK_NUMBERS) / F.greatest("size", F.lit(1)))))
+    counts = nodes.groupBy(*group).agg(F.count("*").alias("many"))
+    counts = kept(counts.withColumn("blocks", F.ceil(F.col("many") / most).cast("int")))
+    sent = counts.agg(F.sum("many").alias("n"), F.sum(F.col("many") * F.col("blocks")).alias("sent")).first()
+    # A vector is sent to the pairs of its block with all blocks; a round sends about as many as there are.
+    rounds = max(1, round(sent.sent / sent.n)) if sent.n else 1
+    own = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int")
+    dealt = nodes.join(counts.select(*group, "blocks"), group).withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    order = [*group, "i", "j"]
+    dealt = dealt.select(
+        *group, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "weight", "vec"
+    )
+    out = None
+    for i in range(rounds):
+        some = dealt.filter(F.pmod(F.xxhash64(F.lit("round"), *order), F.lit(rounds)) == i)
+        some = some.repartition(*order).sortWithinPartitions(*order)
+        links = kept(in_arrow(some, _links(books, reach, threshold), "u long, v long, n long"))
+        out = links if out is None else out.union(links)
+    return out
+
+
 def _two_sided_forest(links: np.ndarray) -> list[tuple[int, int]]:
     """Row and column of edges of a spanning forest of a table of links."""
     fresh_row, fresh_column = np.ones(links.shape[0], bool), np.ones(links.shape[1], bool)
@@ -276,7 +311,23 @@ def near_copies(
     new = ("n_links", "component_id", "kept")
     rest = [c for c in df.columns if c.lower() not in new]
     low = F.lit(-(2**63))
-    rows = kept(packed(df, vec_id, vector, label, rest))
+    with tidy(df.sparkSession):
+        named = _counted(packed(df, vec_id, vector, label, [vec_id]).drop("row"), threshold)
+    rows = packed(df, vec_id, vector, label, rest)
+    linked = rows.filter("vec IS NOT NULL").select("row", "same", "also").join(named, ["same", "also"]).select("row", "n", "c")
+    alone = rows.filter("vec IS NULL").select("row", F.lit(0).cast("long").alias("n"), F.col("_id").alias("c"))
+    out = linked.union(alone)
+    component = F.when(F.col("c") != low, F.col("c"))
+    return out.select(
+        *[F.col(f"row.`{c}`") for c in rest],
+        F.col("n").alias("n_links"),
+        component.alias("component_id"),
+        component.eqNullSafe(F.col(f"row.`{vec_id}`").cast("long")).alias("kept"),
+    )
+
+
+def _counted(rows: DataFrame, threshold: float) -> DataFrame:
+    """`same`, `also`, `n` (links) and `c` (least id of the class) of each distinct vector."""
     found = rows.filter("vec IS NOT NULL")
     first = found.groupBy("same", "also").agg(F.min(F.struct("_id", "label", "size", "vec")).alias("r"), F.count("*").alias("weight"))
     # The hash is the number of a distinct vector; ids can be shared.
@@ -284,26 +335,7 @@ def near_copies(
     books = fit_codebooks(nodes)
     # The squared distance of vectors of length 1 at the threshold.
     reach = 2 - 2 * threshold + 1e-9
-    placed = in_arrow(
-        nodes.select("node", "label", "size", "weight", "vec"), _cells(books, reach), "label string, size int, a int, b int, member boolean, _id long, weight long, vec binary"
-    )
-    placed = kept(placed)
-    cell = ["label", "size", "a", "b"]
-
-    def blocks(rows_: Column) -> Column:
-        return F.greatest(F.ceil(rows_ / BLOCK), F.lit(1)).cast("int")
-
-    counts = placed.groupBy(*cell).agg(F.count("*").alias("all"), F.count_if("member").alias("mine"))
-    many = kept(counts.select(*cell, blocks(F.col("mine")).alias("mine"), blocks(F.col("all") - F.col("mine")).alias("theirs")))
-    dealt = placed.join(many, cell)
-    own = F.pmod(F.xxhash64(F.lit("block"), "_id"), F.when(F.col("member"), F.col("mine")).otherwise(F.col("theirs"))).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.when(F.col("member"), F.col("theirs")).otherwise(F.col("mine")) - 1))
-    dealt = dealt.withColumn("own", own).withColumn("other", others)
-    i = F.when(F.col("member"), F.col("own")).otherwise(F.col("other")).alias("i")
-    j = F.when(F.col("member"), F.col("other")).otherwise(F.col("own")).alias("j")
-    order = [*cell, "i", "j"]
-    dealt = dealt.select(*cell, i, j, "member", "_id", "weight", "vec").repartition(*order).sortWithinPartitions(*order)
-    links = kept(in_arrow(dealt, _links(books, reach, threshold), "u long, v long, n long"))
+    links = _all_links(nodes.select("node", "label", "size", "weight", "vec"), books, reach, threshold)
     counts = kept(links.filter("u = v").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n")))
     classes = kept(components(links.filter("u != v").select(F.col("u").alias("a"), F.col("v").alias("b"))))
 
@@ -312,17 +344,7 @@ def near_copies(
                          F.coalesce("component", "node").alias("class"))
     named = kept(named)
     least = kept(named.groupBy("class").agg(F.min("_id").alias("c")))
-    named = kept(named.join(least, "class").select("same", "also", "n", "c"))
-    linked = found.select("row", "same", "also").join(named, ["same", "also"]).select("row", "n", "c")
-    alone = rows.filter("vec IS NULL").select("row", F.lit(0).cast("long").alias("n"), F.col("_id").alias("c"))
-    out = linked.union(alone)
-    component = F.when(F.col("c") != low, F.col("c"))
-    return out.select(
-        *[F.col(f"row.`{c}`") for c in rest],
-        F.col("n").alias("n_links"),
-        component.alias("component_id"),
-        component.eqNullSafe(F.col(f"row.`{vec_id}`").cast("long")).alias("kept"),
-    )
+    return kept(named.join(least, "class").select("same", "also", "n", "c"))
 
 
 def op2_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
