@@ -208,18 +208,22 @@ def _links(books: Codebooks | None, reach: float, threshold: float):
         y = x if members is visitors else _unit_rows([r[2] for r in members], size)
         id_x, id_y = (np.array([r[0] for r in some], np.int64) for some in (visitors, members))
         weight = np.array([r[1] for r in members], np.int64)
+        # Products of short numbers, wrong by less than the margin, tell which are worth exact ones.
+        short_x, short_y, least = x.astype(np.float32), y.astype(np.float32), threshold - 2.5e-7 * (size + 4)
         for group, others in _visits(books, reach, x, y):
-            right, right_id, right_weight = y[others].T, id_y[others], weight[others]
+            right = short_y[others].T
             step = max(1, PRODUCT // len(others))
             for start in range(0, len(group), step):
                 some = group[start : start + step]
-                links = (x[some] @ right >= threshold) & (id_x[some][:, None] != right_id[None, :])
+                close = others[(short_x[some] @ right).max(0) >= least]
+                links = (x[some] @ y[close].T >= threshold) & (id_x[some][:, None] != id_y[close][None, :])
                 hit, near = np.flatnonzero(links.any(1)), np.flatnonzero(links.any(0))
                 if not len(hit):
                     continue
                 links = links[np.ix_(hit, near)]
-                u, v = id_x[some][hit], right_id[near]
-                yield u, u, links @ right_weight[near]
+                near = close[near]
+                u, v = id_x[some][hit], id_y[near]
+                yield u, u, links @ weight[near]
                 edges = np.array(_two_sided_forest(links), np.int64).reshape(-1, 2)
                 yield u[edges[:, 0]], v[edges[:, 1]], np.zeros(len(edges), np.int64)
 
